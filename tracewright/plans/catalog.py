@@ -1,6 +1,6 @@
 """Imports every query module so the registry is complete."""
 
-from tracewright.plans import q_timeline  # noqa: F401
+from tracewright.plans import q_blobs, q_redact, q_timeline  # noqa: F401
 from tracewright.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
