@@ -50,7 +50,7 @@ SCORE_NAMES = (
 
 # ---------------------------------------------------------------------------
 # Field rules. kind is one of: str, int, bool, float, enum:<domain>,
-# list_str, dict, selection (two 2-int lists).
+# list_str, list_enum:<domain>, dict, int_pair (a list of exactly two ints).
 # ---------------------------------------------------------------------------
 @dataclass(frozen=True)
 class Field:
@@ -71,7 +71,8 @@ PAYLOAD_RULES: dict[str, tuple[Field, ...]] = {
     "file_edit": (
         Field("file_path", "str"), Field("edit_kind", "enum:edit_kind"),
         Field("patch_format", "str", required=False), Field("patch_blob_id", "str"),
-        _opt("pre_hash", "str"), _opt("post_hash", "str"), _opt("selection", "selection"),
+        _opt("pre_hash", "str"), _opt("post_hash", "str"), _opt("selection", "dict"),
+        Field("selection.start", "int_pair"), Field("selection.end", "int_pair"),
         _opt("reason_ref", "str"),
     ),
     "file_snapshot": (
