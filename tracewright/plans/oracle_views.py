@@ -81,7 +81,7 @@ FROM (SELECT *, CAST(substring(event_id, 4) AS BIGINT) AS n FROM tel_events WHER
 }
 
 
-def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
+def with_views(body: str, *names: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:
     """Prefix ``body`` with the CTEs it needs (dependencies first).
 
     ``extra`` adds query-specific CTEs (name -> SQL) after the views.
@@ -102,4 +102,4 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
         ctes.append(f"{k} AS ({v}\n)")
     if not ctes:
         return body
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n" + body
