@@ -75,7 +75,7 @@ SELECT trace_id, CASE WHEN n % 9 = 0 THEN '{}' WHEN n % 9 = 1 THEN '{"final_stat
                                   CASE WHEN n % 2 = 0 THEN '""' ELSE '"desc"' END, ',"diff_blob_id":null}}}') END AS body_json
 FROM (SELECT *, CAST(substring(trace_id, 3) AS BIGINT) AS n FROM tel_traces) t"""),
     "tel_test_runs": (("tel_events",), """
-SELECT trace_id, ts_ms, 'pytest -q' AS command, CAST(n % 3 AS INT) AS exit_code, CAST(n % 5000 AS BIGINT) AS duration_ms,
+SELECT trace_id, concat('inv-', n) AS invocation_id, ts_ms, 'pytest -q' AS command, CAST(n % 3 AS INT) AS exit_code, CAST(n % 5000 AS BIGINT) AS duration_ms,
        concat('ran ', n, ' tests') AS stdout, CASE WHEN n % 3 = 0 THEN '' ELSE concat('E failure ', n) END AS stderr
 FROM (SELECT *, CAST(substring(event_id, 4) AS BIGINT) AS n FROM tel_events WHERE type = 'test_run') t"""),
 }

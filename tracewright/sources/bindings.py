@@ -252,13 +252,13 @@ def tel_finalize_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tr.select("trace_id", body.alias("body_json"))
 
 
-def tel_test_runs(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+def tel_test_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test invocations (S10): one per test_run event, with its exit code and
-    duration, stdout = the output blob text, stderr empty unless the run failed."""
-    te = events if events is not None else tel_events(spark, sf_dir)
+    duration, a stdout text, stderr empty unless the run failed."""
+    te = tel_events(spark, sf_dir)
     t = te.where(F.col("type") == "test_run")
     n = F.substring(F.col("event_id"), 4, 1 << 20).cast("bigint")
-    return t.select("trace_id", "ts_ms",
+    return t.select("trace_id", F.concat(F.lit("inv-"), n.cast("string")).alias("invocation_id"), "ts_ms",
                     F.lit("pytest -q").alias("command"),
                     (n % 3).cast("int").alias("exit_code"),
                     (n % 5000).cast("long").alias("duration_ms"),
