@@ -108,7 +108,7 @@ PAYLOAD_RULES: dict[str, tuple[Field, ...]] = {
 }
 
 # Judge raw output (scores object, overall, rationale, flags).
-JUDGE_RULES: tuple[Field, ...] = tuple(
+JUDGE_RULES: tuple[Field, ...] = (Field("scores", "dict"),) + tuple(
     Field(f"scores.{n}", "float", ge=0.0, le=5.0) for n in SCORE_NAMES
 ) + (
     Field("overall", "float", ge=0.0, le=5.0),
