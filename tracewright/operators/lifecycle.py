@@ -69,7 +69,7 @@ def finalize_outcomes(requests: DataFrame, traces: DataFrame, now_ms: int) -> Da
         F.when(ok, F.lit("finalizing")).otherwise(F.col("_status")).alias("status"),
         F.when(ok, F.lit(now_ms).cast("long")).alias("finalized_at_ms"),
         F.when(ok, _js(b, "final_state.commit_head")).alias("commit_head"),
-        F.when(ok, pr_kind == "{").alias("pr_present"),
+        F.when(ok, F.coalesce(pr_kind == "{", F.lit(False))).alias("pr_present"),
         F.when(ok, _js(b, "final_state.pr.title")).alias("pr_title"),
         F.when(ok, _js(b, "final_state.pr.description")).alias("pr_description"),
         F.when(ok, _js(b, "final_state.pr.diff_blob_id")).alias("pr_diff_blob_id"))
@@ -111,31 +111,49 @@ def qa_tests(invocations: DataFrame, image: str | None = None) -> DataFrame:
         F.sum(F.when(F.col("passed"), 1).otherwise(0)).cast("long").alias("n_passed"))
 
 
-def completeness_gate(traces: DataFrame, tests: DataFrame, judge: DataFrame) -> DataFrame:
-    """Q4/Q5/Q6/Q8: the QA pipeline per trace as chained stages.
+def qa_pipeline(traces: DataFrame, tests: DataFrame, judge: DataFrame) -> DataFrame:
+    """Q4/Q5/Q6/Q8: run_tests -> run_judge -> finalize_qa per finalizing trace,
+    as chained column stages.
 
-    ``tests``: trace_id with a QA test section; ``judge``: (trace_id, outcome)
-    from judge processing. Judge failure marks the trace failed (schema_valid
-    stays true); the gate needs qa, tests, judge in that order and then sets
-    complete; a gate error leaves the trace as it was (finalizing)."""
+    ``tests``: traces with a QA test section; ``judge``: (trace_id, outcome).
+    A test-stage failure (no invocation) marks the trace failed with
+    schema_valid=false; a judge failure marks it failed and keeps
+    schema_valid; otherwise the gate checks qa -> tests -> judge and sets
+    complete. Traces not in ``finalizing`` are left unchanged."""
     t = traces.select("trace_id", "status")
     j = judge.select("trace_id", F.col("outcome").alias("judge_outcome"))
-    x = (t.join(tests.select("trace_id", F.lit(True).alias("has_tests")), "trace_id", "left")
+    x = (t.join(tests.select("trace_id", F.lit(True).alias("_t")), "trace_id", "left")
          .join(j, "trace_id", "left"))
-    has_tests = F.coalesce(F.col("has_tests"), F.lit(False))
-    judge_ok = F.col("judge_outcome") == "ok"
-    judge_failed = F.col("judge_outcome").isNotNull() & ~judge_ok
+    has_tests = F.coalesce(F.col("_t"), F.lit(False))
     in_qa = F.col("status") == "finalizing"
-    gate_error = (F.when(~has_tests & F.col("judge_outcome").isNull(), F.lit("no QA data"))
-                  .when(~has_tests, F.lit("missing qa.tests"))
-                  .when(~judge_ok, F.lit("missing qa.judge")))
-    new_status = (F.when(~in_qa, F.col("status"))
-                  .when(has_tests & judge_failed, F.lit("failed"))
-                  .when(gate_error.isNull(), F.lit("complete"))
-                  .otherwise(F.col("status")))
-    return x.select("trace_id", F.col("status").alias("status_before"), new_status.alias("status"),
-                    has_tests.alias("has_tests"), F.col("judge_outcome"),
-                    F.when(in_qa & ~(has_tests & judge_failed), gate_error).alias("gate_error"))
+    judge_ok = F.coalesce(F.col("judge_outcome") == "ok", F.lit(False))
+    failed_stage = (F.when(~in_qa, F.lit(None).cast("string"))
+                    .when(~has_tests, F.lit("tests"))
+                    .when(~judge_ok, F.lit("judge")))
+    error = (F.when(~in_qa, F.lit(None).cast("string"))
+             .when(~has_tests, F.lit("no test invocations"))
+             .when(F.col("judge_outcome").isNull(), F.lit("no judge response"))
+             .when(~judge_ok, F.concat(F.lit("judge "), F.col("judge_outcome"))))
+    status = (F.when(~in_qa, F.col("status")).when(failed_stage.isNotNull(), F.lit("failed"))
+              .otherwise(F.lit("complete")))
+    return x.select("trace_id", F.col("status").alias("status_before"), status.alias("status"),
+                    has_tests.alias("has_tests"), "judge_outcome", failed_stage.alias("failed_stage"),
+                    F.when(in_qa, failed_stage.isNull() | (failed_stage != "tests")).alias("schema_valid"),
+                    error.alias("error"))
+
+
+def completeness_gate(traces: DataFrame, tests: DataFrame, judge: DataFrame) -> DataFrame:
+    """Q4 alone: for finalizing traces, the first missing QA piece in the order
+    qa -> tests -> judge; none missing -> complete. A gate error changes
+    nothing (the trace stays finalizing)."""
+    t = traces.where(F.col("status") == "finalizing").select("trace_id")
+    x = (t.join(tests.select("trace_id", F.lit(True).alias("_t")), "trace_id", "left")
+         .join(judge.where(F.col("outcome") == "ok").select("trace_id", F.lit(True).alias("_j")), "trace_id", "left"))
+    has_t, has_j = F.col("_t").isNotNull(), F.col("_j").isNotNull()
+    err = (F.when(~has_t & ~has_j, F.lit("has no QA data")).when(~has_t, F.lit("missing qa.tests"))
+           .when(~has_j, F.lit("missing qa.judge")))
+    return x.select("trace_id", F.when(err.isNull(), F.lit("complete")).otherwise(F.lit("finalizing")).alias("status"),
+                    err.alias("gate_error"))
 
 
 def trace_documents(traces: DataFrame, events: DataFrame, finals: DataFrame, tests: DataFrame,

@@ -1,6 +1,6 @@
 """Imports every query module so the registry is complete."""
 
-from tracewright.plans import q_blobs, q_ingest, q_judge, q_packet, q_redact, q_timeline, q_validate  # noqa: F401
+from tracewright.plans import q_blobs, q_ingest, q_judge, q_lifecycle, q_packet, q_redact, q_timeline, q_validate  # noqa: F401
 from tracewright.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

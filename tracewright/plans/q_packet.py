@@ -107,9 +107,16 @@ def _packet_sql(body: str) -> str:
 
 
 def registered(spark, sf):
-    """Traces with a valid create body, bug-report fields normalized."""
-    tr = B.tel_traces(spark, sf).select("trace_id", "created_at_ms")
-    return LC.register_traces(B.tel_trace_bodies(spark, sf), tr)
+    """Stored traces: valid create bodies, normalized (written once)."""
+    def build():
+        tr = B.tel_traces(spark, sf).select("trace_id", "created_at_ms")
+        return LC.register_traces(B.tel_trace_bodies(spark, sf), tr)
+    return B.materialized(spark, sf, "registered_traces", build)
+
+
+def finals(spark, sf):
+    """Stored final states: valid finalize bodies, normalized (written once)."""
+    return B.materialized(spark, sf, "final_states", lambda: LC.final_states(B.tel_finalize_bodies(spark, sf)))
 
 
 def _runs(spark, sf):
@@ -139,7 +146,7 @@ def packet_event_lines(spark, sf):
 def judge_packet(spark, sf):
     """Packet parts for every registered trace."""
     return PK.packet_parts(registered(spark, sf), B.tel_events(spark, sf), B.tel_blobs(spark, sf),
-                           LC.final_states(B.tel_finalize_bodies(spark, sf)), _runs(spark, sf))
+                           finals(spark, sf), _runs(spark, sf))
 
 
 @query("packet_tests_section", _packet_sql("SELECT trace_id, tests_text FROM pk_tests"))

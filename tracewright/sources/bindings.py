@@ -43,11 +43,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _code_version() -> str:
+    """Hash of the package source: any code change gives new table paths."""
     h = hashlib.sha1()
-    here = os.path.dirname(os.path.abspath(__file__))
-    for rel in ("bindings.py", os.path.join("..", "operators", "ranking.py"), os.path.join("..", "functions", "hashing.py")):
-        with open(os.path.join(here, rel), "rb") as fh:
-            h.update(fh.read())
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for d, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(d, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
     return h.hexdigest()[:12]
 
 
