@@ -19,4 +19,4 @@ def stage_boundary(df: DataFrame) -> DataFrame:
     per row; no shuffle, no materialization.
     """
     cols = df.columns
-    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in cols]))))
+    return df.select(F.inline_outer(F.array(F.struct(*[F.col(f"`{c}`") for c in cols]))))

@@ -166,7 +166,7 @@ def fold_outcomes(summ: DataFrame) -> DataFrame:
     b = F.struct("batch_no", "pre", "lo", "hi", "internal_bad", "dup_stored", "dup_in_batch", "rep_ids")
     per = (summ.groupBy("trace_id")
            .agg(F.array_sort(F.collect_list(b)).alias("bs"), F.max("high0").alias("high0")))
-    res = per.select("trace_id", F.explode(F.expr(_FOLD)).alias("o"))
+    res = per.select("trace_id", F.explode_outer(F.expr(_FOLD)).alias("o")).where(F.col("o").isNotNull())
     return res.select("trace_id", "o.batch_no", "o.outcome", "o.high_before", "o.dup_ids")
 
 
@@ -195,8 +195,8 @@ def violation_report(subs: DataFrame) -> DataFrame:
     Envelope errors win; payload errors are reported only when the whole
     batch passed the envelope phase. Errors ordered by (pos, rule)."""
     rows = batch_rows(subs)
-    items = rows.select(*BATCH_KEYS, "pos", F.explode("env").alias("e"), F.lit(0).alias("phase")) \
-        .unionByName(rows.select(*BATCH_KEYS, "pos", F.explode("pay").alias("e"), F.lit(1).alias("phase"))) \
+    items = rows.select(*BATCH_KEYS, "pos", F.explode_outer("env").alias("e"), F.lit(0).alias("phase")) \
+        .unionByName(rows.select(*BATCH_KEYS, "pos", F.explode_outer("pay").alias("e"), F.lit(1).alias("phase"))) \
         .where(F.col("e").isNotNull())
     per = (items.groupBy(*BATCH_KEYS)
            .agg(F.min("phase").alias("_phase"),

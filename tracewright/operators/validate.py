@@ -61,7 +61,9 @@ def violations_array(df: DataFrame, doc_col: str, rules_by_gate: Mapping[str | N
 
 def explode_violations(df: DataFrame, keys: Sequence[str], arr: str = "violations") -> DataFrame:
     """One row per violation (the rule slots holding NULL are dropped)."""
-    return (df.select(*keys, F.explode(arr).alias("_v"))
+    # explode_outer: no inferred size(arr) > 0 filter pushed below (and
+    # inlining) the rule projection; NULL slots are dropped above the generator.
+    return (df.select(*keys, F.explode_outer(arr).alias("_v"))
             .where(F.col("_v").isNotNull())
             .select(*keys, "_v.idx", "_v.field", "_v.code", "_v.message"))
 

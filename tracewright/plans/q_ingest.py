@@ -219,7 +219,7 @@ FROM (SELECT trace_id, batch_no, pos, unnest(env) AS v FROM sub_rows) x WHERE v
 def envelope_violations(spark, sf):
     """V3: envelope errors per event (seq, ts_ms, type, actor.kind, payload)."""
     e = I.envelope_violations(B.tel_submissions(spark, sf))
-    return (e.select("trace_id", "batch_no", "pos", F.explode("env").alias("v")).where(F.col("v").isNotNull())
+    return (e.select("trace_id", "batch_no", "pos", F.explode_outer("env").alias("v")).where(F.col("v").isNotNull())
             .select("trace_id", "batch_no", "pos", "v.idx", "v.field", "v.code", "v.message"))
 
 

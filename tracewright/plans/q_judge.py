@@ -77,7 +77,7 @@ FROM (SELECT trace_id, unnest(violations) AS v FROM jg_out WHERE parsed_ok) x WH
 def judge_violations(spark, sf):
     """Rule violations of parsed responses."""
     p = _parsed(spark, sf).where(F.col("_parsed_ok"))
-    return (p.select("trace_id", F.explode("violations").alias("v")).where(F.col("v").isNotNull())
+    return (p.select("trace_id", F.explode_outer("violations").alias("v")).where(F.col("v").isNotNull())
             .select("trace_id", "v.idx", "v.field", "v.code", "v.message"))
 
 
