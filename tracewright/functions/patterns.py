@@ -46,3 +46,10 @@ JAVA_PII_PATTERNS = (
 # the source's does not, hence ``\z``.
 JAVA_BLOB_ID_PATTERN = r"^sha256:[a-f0-9]+\z"
 SOURCE_BLOB_ID_PATTERN = r"^sha256:[a-f0-9]+$"
+
+# Literal requirements of each pattern (same order as the rule chain): a
+# pattern can only match text containing one of these. Replacement tokens
+# never introduce them, so checking the *original* text is exact; rows that
+# fail the check skip that regex pass.
+SECRET_REQUIRES = ((":", "="), ("_",), ("AKIA",), ("-----BEGIN ",))
+PII_REQUIRES = (("@",), None)  # None: needs a decimal digit (checked with \p{Nd})

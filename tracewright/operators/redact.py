@@ -16,7 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.functions.patterns import JAVA_PII_PATTERNS, JAVA_SECRET_PATTERNS, SECRET_TOKEN
+from tracewright.functions.patterns import (JAVA_PII_PATTERNS, JAVA_SECRET_PATTERNS, PII_REQUIRES, SECRET_REQUIRES,
+                                           SECRET_TOKEN)
+from tracewright.operators.common import stage_boundary
 from tracewright.schemas import ENUMS, MAX_BLOB_BYTES
 
 ALL_RULES = ENUMS["redaction_rule"]
@@ -38,18 +40,25 @@ def redact(df: DataFrame, content: str, rules: Sequence[str] | None = None,
              .withColumn(ok, F.expr(f"is_valid_utf8(cast(`{raw}` as string))"))
              .withColumn(txt, F.col(raw).cast("string")))
     hit_cols: dict[str, list[str]] = {"secret_scan": [], "pii_mask": []}
-    steps: list[tuple[str, str, str]] = []
+    steps: list[tuple[str, str, str, tuple[str, ...] | None]] = []
     if "secret_scan" in rules:
-        steps += [("secret_scan", p, SECRET_TOKEN) for p in JAVA_SECRET_PATTERNS]
+        steps += [("secret_scan", p, SECRET_TOKEN, q) for p, q in zip(JAVA_SECRET_PATTERNS, SECRET_REQUIRES)]
     if "pii_mask" in rules:
-        steps += [("pii_mask", p, r) for p, r in JAVA_PII_PATTERNS]
-    for i, (rule, pat, repl) in enumerate(steps):
+        steps += [("pii_mask", p, r, q) for (p, r), q in zip(JAVA_PII_PATTERNS, PII_REQUIRES)]
+    guards = []
+    for i, (_, _, _, req) in enumerate(steps):
+        g = f"{prefix}_g{i}"
+        cond = F.col(txt).rlike(r"\p{Nd}") if req is None else \
+            F.greatest(*[F.col(txt).contains(x) for x in req]) if len(req) > 1 else F.col(txt).contains(req[0])
+        out = out.withColumn(g, F.col(ok) & cond)
+        guards.append(g)
+    for i, (rule, pat, repl, _) in enumerate(steps):
         hit = f"{prefix}_hit{i}"
-        # Each step references the previous text once in each column, so if
-        # Catalyst inlines the chain (e.g. a filter pushed below it) the cost
-        # stays linear in the number of patterns, not exponential.
-        out = (out.withColumn(hit, F.col(ok) & F.col(txt).rlike(pat))
-                  .withColumn(txt, F.regexp_replace(F.col(txt), pat, _escape_repl(repl))))
+        # The regex runs only where the cheap literal guard (on the original
+        # text) holds; each step is its own projection, computed once.
+        out = (out.withColumn(hit, F.col(guards[i]) & F.col(txt).rlike(pat))
+                  .withColumn(txt, F.when(F.col(hit), F.regexp_replace(F.col(txt), pat, _escape_repl(repl)))
+                              .otherwise(F.col(txt))))
         hit_cols[rule].append(hit)
 
     def any_of(cols: list[str]) -> Column:
@@ -65,8 +74,10 @@ def redact(df: DataFrame, content: str, rules: Sequence[str] | None = None,
         trunc = F.lit(False)
     applied = F.filter(F.array(F.when(sec, F.lit("secret_scan")), F.when(pii, F.lit("pii_mask")),
                                F.when(trunc, F.lit("truncate_large"))), lambda x: x.isNotNull())
-    tmp = [raw, ok, txt] + [c for cs in hit_cols.values() for c in cs]
-    return (out.withColumn(f"{prefix}content", body)
+    tmp = [raw, ok, txt] + guards + [c for cs in hit_cols.values() for c in cs]
+    # stage_boundary: later filters on these columns must not be pushed into
+    # (and re-evaluate) the regex chain.
+    return stage_boundary(out.withColumn(f"{prefix}content", body)
                .withColumn(f"{prefix}rules_applied", applied)
                .withColumn(f"{prefix}was_modified", text_mod | trunc)
                .withColumn(f"{prefix}was_truncated", trunc)

@@ -12,7 +12,8 @@ from tracewright.streaming.incremental import EVENT_COLS, replay_incremental
 def incremental_ingest(spark, sf):
     """Submissions streamed in batch_no ranges (availableNow, one range per
     micro-batch); the stored events equal the batch fold's accepted events."""
-    return replay_incremental(spark, B.tel_submissions(spark, sf), B.tel_traces(spark, sf)).select(*EVENT_COLS)
+    return replay_incremental(spark, B.tel_submissions(spark, sf), B.tel_traces(spark, sf),
+                              batches_per_file=16).select(*EVENT_COLS)
 
 
 _ = q_ingest  # the oracle is shared with accepted_events
