@@ -71,7 +71,7 @@ def _duck_default(p: str, t: str, d: str) -> str:
 SELECT trace_id, coalesce(event_id, concat('ev-', sha256(concat(trace_id, '/', seq)))) AS event_id, seq, actor_kind,
        CAST(NULL AS VARCHAR) AS actor_id, payload_json,
        {", ".join(_duck_default(p, t, d) for p, (t, d) in _DEFAULTS.items())},
-       CASE WHEN type = 'thought' THEN coalesce(json_array_length(payload_json, '$.links_to'), 0) END AS n_links
+       CASE WHEN type = 'thought' THEN CAST(coalesce(json_array_length(payload_json, '$.links_to'), 0) AS BIGINT) END AS n_links
 FROM tel_events""", "tel_events"))
 def event_normalize(spark, sf):
     """Envelope normalized (actor defaults, deterministic id when
@@ -86,7 +86,7 @@ def event_normalize(spark, sf):
                     .otherwise(F.when(F.substring(j, 1, 1) == '"', F.expr(f"try_variant_get(_v, '$.{p}', 'string')"))
                                .otherwise(j)).alias(p))
     links = F.when(F.col("type") == "thought",
-                   F.coalesce(F.size(F.expr("try_variant_get(_v, '$.links_to', 'array<variant>')")), F.lit(0)))
+                   F.coalesce(F.size(F.expr("try_variant_get(_v, '$.links_to', 'array<variant>')")), F.lit(0)).cast("long"))
     eid = F.coalesce(F.col("event_id"), F.concat(F.lit("ev-"), F.sha2(F.concat_ws("/", "trace_id", F.col("seq").cast("string")), 256)))
     return ev.select("trace_id", eid.alias("event_id"), "seq", "actor_kind", F.lit(None).cast("string").alias("actor_id"),
                      "payload_json", *cols, links.alias("n_links"))
