@@ -44,12 +44,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local one cannot be used "
                                "on a cluster")
         d = tempfile.mkdtemp(prefix="tw-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # sessions without a driver-side context (Spark Connect)
+        pass
     return d
 
 
