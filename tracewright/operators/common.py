@@ -2,9 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import SparkContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_EXPR_CACHE: dict[tuple[int, str], Column] = {}
+
+
+def sql_expr(sql: str) -> Column:
+    """``F.expr`` memoized per SQL text and active context: the rule compiler
+    emits the same large expressions for every query, parsing them once is
+    enough (columns are unresolved expressions, reusable across plans)."""
+    key = (id(SparkContext._active_spark_context), sql)
+    col = _EXPR_CACHE.get(key)
+    if col is None:
+        col = _EXPR_CACHE[key] = F.expr(sql)
+    return col
+
 
 def stage_boundary(df: DataFrame) -> DataFrame:
     """Keep later filters from being pushed below (and inlining) expensive

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.jsonrules import SparkDialect, compile_rules, kind_paths
+from tracewright.operators.common import sql_expr
 from tracewright.schemas import PAYLOAD_RULES, Field
 
 VIOLATION_FIELDS = ("field", "code", "message")
@@ -27,7 +28,7 @@ def _add_kinds(df: DataFrame, d: SparkDialect, rules_by_gate: Mapping[str | None
             users.setdefault(p, []).append(g)
     cols = []
     for p, gates in users.items():
-        e = F.expr(d.kind_expr(p))
+        e = sql_expr(d.kind_expr(p))
         if gate_col is not None and None not in gates:
             e = F.when(F.col(gate_col).isin(*gates), e)
         cols.append(e.alias(d.col_name(p)))
@@ -43,7 +44,7 @@ def violations_array(df: DataFrame, doc_col: str, rules_by_gate: Mapping[str | N
     """
     vcol = "_doc_v"
     d = SparkDialect(f"`{vcol}`")
-    base = df.withColumn(vcol, F.expr(f"try_parse_json(`{doc_col}`)"))
+    base = df.withColumn(vcol, sql_expr(f"try_parse_json(`{doc_col}`)"))
     if prefix is not None:
         base = base.withColumn("_vprefix", prefix)
     pre = "`_vprefix`" if prefix is not None else "''"
@@ -56,7 +57,7 @@ def violations_array(df: DataFrame, doc_col: str, rules_by_gate: Mapping[str | N
         expr = f"CASE {branches} ELSE {compile_rules(d, [], pre)} END"
     kind_cols = [d.col_name(p) for fs in rules_by_gate.values() for p in kind_paths(fs)]
     drop = [vcol] + sorted(set(kind_cols)) + (["_vprefix"] if prefix is not None else [])
-    return base.withColumn(out, F.expr(expr)).drop(*drop)
+    return base.withColumn(out, sql_expr(expr)).drop(*drop)
 
 
 def explode_violations(df: DataFrame, keys: Sequence[str], arr: str = "violations") -> DataFrame:
