@@ -16,14 +16,15 @@ function (no Python). Only ids that occur in two or more batches of a trace
 are carried in the fold state; everything else is decided by joins and
 partial aggregates before the fold.
 
-Shuffles: one on (trace_id, batch_no) for the per-batch windows and summary
-(the aggregate reuses the window's partitioning), one on (trace_id, event_id)
-for repeated/stored ids, then only per-batch summaries (small) move.
+No windows: the in-batch seq step is an equi-join on (trace_id, batch_no, pos)
+with pos - 1, ids are counted per (trace_id, event_id, batch_no), and the
+batch summary is a partial aggregate, so neither a hot trace nor an oversized
+batch lands in one task; after that only per-batch summaries move.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.jsonrules import enum_message
@@ -67,56 +68,70 @@ def _non_null(arr: str) -> Column:
 
 
 def batch_rows(subs: DataFrame) -> DataFrame:
-    """Per-event flags: envelope/payload violations, in-batch seq and id checks.
+    """Per-event flags: envelope/payload violations and the in-batch seq step.
 
-    The two windows share the partitioning (trace_id, batch_no): one shuffle.
+    The step check compares each event with the one at ``pos - 1`` (request
+    positions are dense from 0) by an equi-join on (trace_id, batch_no, pos):
+    no window, so even an oversized batch is spread over tasks by position.
     """
     x = envelope_violations(subs)
     x = violations_array(x, "payload_json", PAYLOAD_RULES, gate_col="type", out="pay",
                          prefix=F.concat(F.lit("events."), F.col("pos").cast("string"), F.lit(".payload.")))
     x = x.withColumn("n_env", _non_null("env")).withColumn("n_pay", _non_null("pay"))
-    by_pos = Window.partitionBy(*BATCH_KEYS).orderBy("pos")
-    by_id = Window.partitionBy(*BATCH_KEYS).orderBy("event_id", "pos")
-    return (x.withColumn("prev_seq", F.lag("seq").over(by_pos))
-             .withColumn("seq_step_bad", F.coalesce(F.col("seq") <= F.col("prev_seq"), F.lit(False)))
-             .withColumn("id_repeat_in_batch", F.coalesce(F.lag("event_id").over(by_id) == F.col("event_id"),
-                                                          F.lit(False))))
+    prev = subs.select(*BATCH_KEYS, (F.col("pos") + 1).alias("pos"), F.col("seq").alias("prev_seq"))
+    return (x.join(prev, [*BATCH_KEYS, "pos"], "left")
+             .withColumn("seq_step_bad", F.coalesce(F.col("seq") <= F.col("prev_seq"), F.lit(False))))
 
 
-def repeated_ids(subs: DataFrame) -> DataFrame:
-    """(trace_id, event_id) pairs that occur in two or more batches of a trace.
+def id_counts(subs: DataFrame) -> DataFrame:
+    """Occurrences per (trace_id, event_id, batch_no): a partial aggregate."""
+    return subs.groupBy("trace_id", "event_id", "batch_no").agg(F.count(F.lit(1)).alias("_n"))
 
-    A partial aggregate keyed by the pair: a hot trace spreads over tasks."""
-    return (subs.groupBy("trace_id", "event_id")
+
+def repeated_ids(counts: DataFrame) -> DataFrame:
+    """(trace_id, event_id) pairs that occur in two or more batches of a trace."""
+    return (counts.groupBy("trace_id", "event_id")
             .agg(F.min("batch_no").alias("_b0"), F.max("batch_no").alias("_b1"))
             .where(F.col("_b0") < F.col("_b1"))
             .select("trace_id", "event_id", F.lit(True).alias("_rep")))
 
 
-def flag_ids(subs: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+def in_batch_duplicates(counts: DataFrame) -> DataFrame:
+    """Batches holding one event id twice (small: only such batches)."""
+    return counts.where(F.col("_n") > 1).select(*BATCH_KEYS).distinct().withColumn("_dib", F.lit(True))
+
+
+def flag_ids(subs: DataFrame, stored: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Per event: ``_rep`` (id occurs in another batch of the trace) and
     ``_in_store`` (id already stored, V13). Joins keyed by (trace_id, event_id);
     the repeated-id side is small and AQE broadcasts it at runtime."""
-    r = subs.join(repeated_ids(subs), ["trace_id", "event_id"], "left")
+    counts = counts if counts is not None else id_counts(subs)
+    r = subs.join(repeated_ids(counts), ["trace_id", "event_id"], "left")
     if stored is not None:
         st_ids = stored.select("trace_id", "event_id").distinct().withColumn("_in_store", F.lit(True))
         return r.join(st_ids, ["trace_id", "event_id"], "left")
     return r.withColumn("_in_store", F.lit(None).cast("boolean"))
 
 
-def batch_summaries(rows: DataFrame, traces: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+def batch_summaries(rows: DataFrame, traces: DataFrame, stored: DataFrame | None = None,
+                    dups: DataFrame | None = None) -> DataFrame:
     """One row per batch with everything the outcome needs except the fold.
-    ``rows`` = ``batch_rows(flag_ids(subs))``; the aggregate reuses the window
-    partitioning on (trace_id, batch_no)."""
+    ``rows`` = ``batch_rows(flag_ids(subs))``; all partial aggregates, so a
+    hot batch is combined map-side. ``rep_ids`` holds only ids repeated across
+    batches (bounded by the batch size)."""
     r = rows
     summ = (r.groupBy(*BATCH_KEYS)
             .agg(F.count(F.lit(1)).alias("n_events"),
                  F.sum("n_env").alias("n_env"), F.sum("n_pay").alias("n_pay"),
                  F.min_by("seq", "pos").alias("lo"), F.max("seq").alias("hi"),
                  F.max("seq_step_bad").alias("internal_bad"),
-                 F.max("id_repeat_in_batch").alias("dup_in_batch"),
                  F.coalesce(F.max("_in_store"), F.lit(False)).alias("dup_stored"),
                  F.sort_array(F.collect_list(F.when(F.col("_rep"), F.col("event_id")))).alias("rep_ids")))
+    if dups is not None:
+        summ = (summ.join(dups, BATCH_KEYS, "left")
+                .withColumn("dup_in_batch", F.coalesce(F.col("_dib"), F.lit(False))).drop("_dib"))
+    else:
+        summ = summ.withColumn("dup_in_batch", F.lit(False))
     status = traces.select("trace_id", F.col("status").alias("_status"))
     summ = summ.join(status, "trace_id", "left")
     if stored is not None:
@@ -172,8 +187,9 @@ def fold_outcomes(summ: DataFrame) -> DataFrame:
 
 def batch_outcomes(subs: DataFrame, traces: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """V18/V19/V20 + A2/A3: one row per batch with outcome and response fields."""
-    rows = batch_rows(flag_ids(subs, stored))
-    summ = batch_summaries(rows, traces, stored)
+    counts = id_counts(subs)
+    rows = batch_rows(flag_ids(subs, stored, counts))
+    summ = batch_summaries(rows, traces, stored, in_batch_duplicates(counts))
     out = fold_outcomes(summ)
     status = F.create_map(*[x for k, v in OUTCOME_STATUS.items() for x in (F.lit(k), F.lit(v))])
     acc = F.col("outcome") == "accepted"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.jsonrules import enum_message
@@ -149,9 +148,10 @@ def seq_monotonic(spark, sf):
     high-water mark the fold left before it: ``seq <= lag(seq, 1, high)``."""
     subs = B.tel_submissions(spark, sf)
     o = I.batch_outcomes(subs, B.tel_traces(spark, sf)).where(~F.col("outcome").isin("schema", "missing", "state"))
-    w = Window.partitionBy("trace_id", "batch_no").orderBy("pos")
+    prev = subs.select("trace_id", "batch_no", (F.col("pos") + 1).alias("pos"), F.col("seq").alias("_p"))
     x = (subs.join(o.select("trace_id", "batch_no", "high_before"), ["trace_id", "batch_no"])
-         .withColumn("prev", F.coalesce(F.lag("seq").over(w), F.col("high_before"))))
+         .join(prev, ["trace_id", "batch_no", "pos"], "left")
+         .withColumn("prev", F.coalesce(F.col("_p"), F.col("high_before"))))
     return x.where(F.col("seq") <= F.col("prev")).select(
         "trace_id", "batch_no", "pos", "seq", "prev",
         F.concat(F.lit("events."), F.col("pos").cast("string"), F.lit(".seq")).alias("field"),
