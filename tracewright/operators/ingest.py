@@ -225,3 +225,29 @@ def violation_report(subs: DataFrame) -> DataFrame:
                       F.concat(F.size(errs).cast("string"), F.lit(" validation error(s)")).alias("summary"),
                       F.concat(F.lit('{"detail":"Validation failed","errors":['), F.array_join(err_json, ","),
                                F.lit("]}")).alias("body"))
+
+
+def batch_outcomes_in_rounds(spark, subs: DataFrame, traces: DataFrame, work_dir: str,
+                             batches_per_round: int = 32) -> DataFrame:
+    """V20 with a bounded fold: replay batch_no ranges in rounds, each folded
+    onto the state the previous rounds stored (accepted events: high-water
+    mark and ids). A trace's fold list never exceeds ``batches_per_round``
+    summaries. Each round's outcomes and accepted events are written under
+    ``work_dir`` (shared storage), which also cuts the lineage between rounds.
+    The number of rounds comes from one scalar aggregate (max batch_no)."""
+    events_path, outcomes_path = f"{work_dir}/events", f"{work_dir}/outcomes"
+    top = subs.agg(F.max("batch_no")).first()[0]
+    n_rounds = 0 if top is None else top // batches_per_round + 1
+    schema = "trace_id string, event_id string, seq int"
+    for r in range(n_rounds):
+        lo, hi = r * batches_per_round, (r + 1) * batches_per_round - 1
+        part = subs.where(F.col("batch_no").between(lo, hi))
+        stored = spark.read.parquet(events_path).select("trace_id", "event_id", "seq") if r else \
+            spark.createDataFrame([], schema)
+        out = batch_outcomes(part, traces, stored).withColumn("round", F.lit(r))
+        out.drop("rep_ids", "dup_ids", "lo").write.mode("append").parquet(outcomes_path)
+        done = spark.read.parquet(outcomes_path).where(F.col("round") == r)
+        accepted_events(part, done).select("trace_id", "event_id", "seq").write.mode("append").parquet(events_path)
+    if n_rounds == 0:
+        return batch_outcomes(subs, traces)
+    return spark.read.parquet(outcomes_path).drop("round")

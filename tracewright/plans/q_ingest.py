@@ -94,9 +94,12 @@ def _outcomes(spark, sf):
     return I.batch_outcomes(B.tel_submissions(spark, sf), B.tel_traces(spark, sf))
 
 
-@query("batch_outcomes", _ingest_sql("""
+ORACLE_BATCH_OUTCOMES = _ingest_sql("""
 SELECT trace_id, batch_no, CAST(n_events AS BIGINT) AS n_events, outcome, http_status, accepted, seq_high, high_before
-FROM sub_outcomes"""))
+FROM sub_outcomes""")
+
+
+@query("batch_outcomes", ORACLE_BATCH_OUTCOMES)
 def batch_outcomes(spark, sf):
     return _outcomes(spark, sf).select("trace_id", "batch_no", "n_events", "outcome", "http_status", "accepted",
                                        "seq_high", "high_before")
@@ -236,3 +239,16 @@ FROM (SELECT *, min(phase) OVER (PARTITION BY trace_id, batch_no) AS min_phase
 WHERE phase = min_phase GROUP BY trace_id, batch_no"""))
 def violation_report(spark, sf):
     return I.violation_report(B.tel_submissions(spark, sf))
+
+
+@query("ingestion_rounds", ORACLE_BATCH_OUTCOMES)
+def ingestion_rounds(spark, sf):
+    """V20 in rounds of batch_no ranges (bounded per-trace fold); must equal
+    the one-shot ``batch_outcomes``."""
+    import uuid
+    from tracewright.session import scratch_path
+    work = scratch_path(spark, f"tw-rounds-{uuid.uuid4().hex}")
+    out = I.batch_outcomes_in_rounds(spark, B.tel_submissions(spark, sf), B.tel_traces(spark, sf), work,
+                                     batches_per_round=4)
+    return out.select("trace_id", "batch_no", "n_events", "outcome", "http_status", "accepted", "seq_high",
+                      "high_before")
