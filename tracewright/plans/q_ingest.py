@@ -249,6 +249,6 @@ def ingestion_rounds(spark, sf):
     from tracewright.session import scratch_path
     work = scratch_path(spark, f"tw-rounds-{uuid.uuid4().hex}")
     out = I.batch_outcomes_in_rounds(spark, B.tel_submissions(spark, sf), B.tel_traces(spark, sf), work,
-                                     batches_per_round=4)
+                                     batches_per_round=8)
     return out.select("trace_id", "batch_no", "n_events", "outcome", "http_status", "accepted", "seq_high",
                       "high_before")
