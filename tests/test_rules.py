@@ -108,3 +108,16 @@ def test_judge_rules(spark):
     assert codes[1] == [("scores.clarity", "less_than_equal")]
     assert codes[2] == [("flags.0", "enum")]
     assert codes[3] == [("overall", "less_than_equal"), ("rationale", "string_too_short")]
+
+
+def test_new_event_type_is_one_rule_table_entry(spark):
+    """An extra event type is validated by adding its rules, no code."""
+    from tracewright.operators.validate import explode_violations, violations_array
+    from tracewright.schemas import PAYLOAD_RULES, Field
+    rules = dict(PAYLOAD_RULES, review_comment=(Field("file_path", "str"), Field("line", "int", ge=1)))
+    df = spark.createDataFrame([("a", "review_comment", json.dumps({"file_path": "f", "line": 3})),
+                                ("b", "review_comment", json.dumps({"line": 0}))],
+                               "event_id string, type string, payload_json string")
+    got = sorted((r.event_id, r.field, r.code) for r in
+                 explode_violations(violations_array(df, "payload_json", rules, gate_col="type"), ["event_id"]).collect())
+    assert got == [("b", "file_path", "missing"), ("b", "line", "greater_than_equal")]
