@@ -111,7 +111,7 @@ def qa_tests(invocations: DataFrame, image: str | None = None) -> DataFrame:
         F.sum(F.when(F.col("passed"), 1).otherwise(0)).cast("long").alias("n_passed"))
 
 
-def qa_pipeline(traces: DataFrame, tests: DataFrame, judge: DataFrame) -> DataFrame:
+def qa_stages(traces: DataFrame, tests: DataFrame, judge: DataFrame) -> DataFrame:
     """Q4/Q5/Q6/Q8: run_tests -> run_judge -> finalize_qa per finalizing trace,
     as chained column stages.
 

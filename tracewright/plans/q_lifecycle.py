@@ -39,7 +39,7 @@ SELECT t.trace_id, t.status AS status_before,
 FROM tel_traces t LEFT JOIN lc_tests q USING (trace_id) LEFT JOIN jg_out j USING (trace_id)"""
 
 _EXTRA = dict(q_judge._EXTRA)
-_EXTRA.update({"pk_reg": _REGISTERED, "pk_finals": q_packet._FINALS, "lc_tests": _TESTS, "lc_pipe": _PIPE})
+_EXTRA.update({"pk_reg": _REGISTERED, "pk_finals": q_packet._FINALS, "lc_tests": _TESTS, "lc_stages": _PIPE})
 
 
 def _sql(body: str) -> str:
@@ -103,17 +103,17 @@ def test_results(spark, sf):
     return _tests(spark, sf).select("trace_id", "runner", "n_invocations", "final_passed", "n_passed")
 
 
-@query("qa_pipeline", _sql("SELECT * FROM lc_pipe"))
-def qa_pipeline(spark, sf):
+@query("qa_stages", _sql("SELECT * FROM lc_stages"))
+def qa_stages(spark, sf):
     """Q5/Q6/Q8: run_tests -> run_judge -> finalize_qa over every trace."""
-    return LC.qa_pipeline(B.tel_traces(spark, sf), _tests(spark, sf), _judge(spark, sf))
+    return LC.qa_stages(B.tel_traces(spark, sf), _tests(spark, sf), _judge(spark, sf))
 
 
 @query("status_transitions", _sql("""
-SELECT status_before, status, CAST(count(*) AS BIGINT) AS n FROM lc_pipe GROUP BY status_before, status"""))
+SELECT status_before, status, CAST(count(*) AS BIGINT) AS n FROM lc_stages GROUP BY status_before, status"""))
 def status_transitions(spark, sf):
-    """Q6: counts of status moves made by the QA pipeline."""
-    p = LC.qa_pipeline(B.tel_traces(spark, sf), _tests(spark, sf), _judge(spark, sf))
+    """Q6: counts of status moves made by the QA stages."""
+    p = LC.qa_stages(B.tel_traces(spark, sf), _tests(spark, sf), _judge(spark, sf))
     return p.groupBy("status_before", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -193,12 +193,12 @@ SELECT p.trace_id, CASE WHEN q.trace_id IS NULL THEN 'missing qa.tests' WHEN r.t
             WHEN q.final_passed IS NULL THEN 'final_passed not boolean' {_ACCEPT}
             WHEN NOT (r.overall BETWEEN 0 AND 5) THEN 'overall out of range'
             WHEN r.rationale_blob_id IS NULL THEN 'missing rationale blob' ELSE 'ok' END AS verdict
-FROM lc_pipe p LEFT JOIN lc_tests q USING (trace_id) LEFT JOIN jg_results r USING (trace_id)
+FROM lc_stages p LEFT JOIN lc_tests q USING (trace_id) LEFT JOIN jg_results r USING (trace_id)
 WHERE p.status = 'complete'"""))
 def trace_acceptance(spark, sf):
-    """T5: acceptance checks on traces the pipeline completed; first failing rule."""
+    """T5: acceptance checks on traces the QA stages completed; first failing rule."""
     tests, res = _tests(spark, sf), q_judge._results(spark, sf)
-    done = LC.qa_pipeline(B.tel_traces(spark, sf), tests, _judge(spark, sf)).where(F.col("status") == "complete")
+    done = LC.qa_stages(B.tel_traces(spark, sf), tests, _judge(spark, sf)).where(F.col("status") == "complete")
     x = done.select("trace_id").join(tests, "trace_id", "left").join(
         res.select("trace_id", *SCORE_NAMES, "overall", "rationale_blob_id", F.lit(True).alias("_j")), "trace_id", "left")
     v = F.when(F.col("n_invocations").isNull(), "missing qa.tests").when(F.col("_j").isNull(), "missing qa.judge") \
