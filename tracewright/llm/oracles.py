@@ -18,8 +18,8 @@ def _quality_rules() -> str:
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '{_SPACES}'), x -> x <> '') AS words,
              list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '{Q.HAS_WORD}')) AS lines FROM d),
-at AS (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8),
-win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 7], ' ')) AS n FROM at),
+pos AS (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8),
+win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 7], ' ')) AS n FROM pos),
 rep AS (SELECT doc_id, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS step FROM win WHERE n > 1),
 cov AS (SELECT doc_id, sum(step) AS n_repeat FROM rep GROUP BY doc_id),
 ln AS (SELECT doc_id, unnest(lines) AS line FROM w),
