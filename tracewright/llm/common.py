@@ -26,7 +26,7 @@ LEAST = -(1 << 63)  # order value of a null id: before every other id
 U64 = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BYTE_VALUE = np.random.default_rng(20240229).integers(1, 2**64 - 1, 256, dtype=np.uint64) | U64(1)
+BYTE_VALUE = np.random.default_rng(20240229).integers(1, 2**64 - 1, 256, dtype=np.uint64) | U64(1)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
@@ -99,7 +99,7 @@ def prefix_hash(buf: np.ndarray) -> np.ndarray:
     """P with P[j] - P[i] a polynomial in the bytes i..j-1, times base ** i."""
     p = np.empty(len(buf) + 1, dtype=np.uint64)
     p[0] = 0
-    np.cumsum(_BYTE_VALUE[buf] * _power("base", _BASE, len(buf)), out=p[1:])
+    np.cumsum(BYTE_VALUE[buf] * _power("base", _BASE, len(buf)), out=p[1:])
     return p
 
 

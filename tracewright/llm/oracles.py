@@ -16,8 +16,8 @@ def _quality_rules() -> str:
     n = "length(line) - length(regexp_replace(line, '{}', '', 'g'))"
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '{_SPACES}'), x -> x <> '') AS words,
-             list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '{Q.HAS_WORD}')) AS lines FROM d),
+w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '{_SPACES}'), lambda x: x <> '') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{Q.HAS_WORD}')) AS lines FROM d),
 pos AS (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8),
 win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 7], ' ')) AS n FROM pos),
 rep AS (SELECT doc_id, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS step FROM win WHERE n > 1),
@@ -31,7 +31,7 @@ judged AS (SELECT doc_id, length(line) AS chars,
      OR {stock} AS fails FROM ln),
 lost AS (SELECT doc_id, sum(chars) AS chars, sum(CASE WHEN fails THEN chars ELSE 0 END) AS lost FROM judged GROUP BY doc_id),
 m AS (SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words,
-     CAST(coalesce(list_sum(list_transform(words, x -> length(x))), 0) AS BIGINT) AS word_chars,
+     CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
      CAST(length(text) - length(regexp_replace(text, '{Q.SYMBOLS}', '', 'g')) AS BIGINT) AS n_symbols,
      CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
      CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words, coalesce(lost, 0) AS lost, coalesce(chars, 0) AS chars
