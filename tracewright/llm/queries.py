@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tracewright.llm import oracles
 from tracewright.llm.common import table
+from tracewright.llm.minhash_dedup import minhash_dedup
 from tracewright.llm.mixing import mix_sources
 from tracewright.llm.quality_rules import quality_rules
 from tracewright.llm.suffix_dedup import suffix_dedup
@@ -31,6 +32,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+@query
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
