@@ -13,6 +13,7 @@ from tracewright.llm.common import table
 from tracewright.llm.minhash_dedup import minhash_dedup
 from tracewright.llm.mixing import mix_sources
 from tracewright.llm.quality_rules import quality_rules
+from tracewright.llm.substring_dedup import substring_dedup
 from tracewright.llm.suffix_dedup import suffix_dedup
 from tracewright.llm.url_filters import url_filters
 
@@ -32,6 +33,12 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256", F.size("spans").cast("long").alias("n_spans"))
+
+
 @query
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
