@@ -5,16 +5,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.llm import oracles
 from tracewright.llm.common import table
+from tracewright.llm.fingerprints import document_fingerprints
 from tracewright.llm.minhash_dedup import minhash_dedup
 from tracewright.llm.mixing import mix_sources
+from tracewright.llm.packing import pack_documents
 from tracewright.llm.quality_rules import quality_rules
+from tracewright.llm.sharding import minimax_shards
 from tracewright.llm.substring_dedup import substring_dedup
 from tracewright.llm.suffix_dedup import suffix_dedup
+from tracewright.llm.token_output import token_round_trip
 from tracewright.llm.url_filters import url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +44,21 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256", F.size("spans").cast("long").alias("n_spans"))
 
 
+@query
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op4_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minimax_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op5_bin_completion_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -56,6 +76,11 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+@query
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
