@@ -51,8 +51,9 @@ def order_value(col: Column) -> Column:
 
 
 def text_key(text: Column) -> Column:
-    """128-bit digest that stands for a whole text."""
-    return F.unhex(F.md5(text.cast("binary")))
+    """128-bit digest that stands for a whole text. Never null, so that joins on it put no filter below a shuffle
+    that several branches of a plan can share."""
+    return F.coalesce(F.unhex(F.md5(text.cast("binary"))), F.lit(b""))
 
 
 def n_partitions(spark: SparkSession) -> int:
@@ -63,15 +64,16 @@ def distinct_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(k, text, ord, copies): one row per different text, with its digest, its smallest id (as an
     order value) and how many rows have it. Copies meet in the map-side aggregate, so a text that
     fills a third of the table costs one row per map task."""
-    t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return (df.select(order_value(F.col(id_col)).alias("ord"), t.alias("text")).withColumn("k", text_key(F.col("text")))
+    t = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return (df.select(order_value(F.col(f"`{id_col}`")).alias("ord"), t.alias("text")).withColumn("k", text_key(F.col("text")))
             .groupBy("k").agg(F.first("text").alias("text"), F.min("ord").alias("ord"), F.count(F.lit(1)).alias("copies")))
 
 
-def rows_by_key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, ord, k) of every row, without its text."""
-    t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return df.select(F.col(id_col).alias("id"), order_value(F.col(id_col)).alias("ord"), text_key(t).alias("k"))
+def rows_by_key(df: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, ord, k) of every row, without its text; the columns in ``carry`` follow as __c0, __c1, ..."""
+    t = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    more = [F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(carry)]
+    return df.select(F.col(f"`{id_col}`").alias("id"), order_value(F.col(f"`{id_col}`")).alias("ord"), text_key(t).alias("k"), *more)
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -361,23 +361,26 @@ def _cut_batches(window: int, with_text: bool):
                 out["spans"].append(spans)
                 out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
                 if with_text:
-                    out["kept_text"].append(kept.decode())
+                    out["kept_text"].append((kept if removed else buf[s:e].tobytes()).decode())
             fields = [("k", pa.binary()), ("first_ord", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                       ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept_sha256", pa.string())]
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema(fields + [("kept_text", pa.string())] * with_text))
     return emit
 
 
-def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
     """(id, n_words, n_removed, spans, kept_sha256) for each row; ``spans`` are the removed runs of words. With
-    ``with_text`` also k (digest of the row's text) and kept_text."""
+    ``with_text`` also kept_text: the text itself if nothing was removed, else the kept words joined by one space.
+    ``carry``: further columns of the rows to return as they are."""
     spark = df.sparkSession
     total = df.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string"))).alias("n")).first().n or 0
     n_buckets = max(n_partitions(spark), math.ceil(total / BUCKET_BYTES))
     blocks = max(1, total // (6 * BLOCK))
     width = min(7, max(3, math.ceil((math.log2(blocks / n_buckets + 1) + 8 + 1) / 8)))
+    # every use of `texts` takes all its columns, so that the uses share one shuffle
     texts = distinct_texts(df, id_col, text_col).select("k", F.col("text").cast("binary").alias("text"), "ord")
-    hits = (texts.select("k", "text").mapInArrow(_probe_batches(n_buckets, width), HITS)
+    hits = (texts.mapInArrow(_probe_batches(n_buckets, width), HITS)
             .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_hit_batches(width), HITS))
     near = (hits.select("chunk", "gaps", "keys", "firsts").repartition("chunk").sortWithinPartitions("chunk")
             .mapInArrow(_region_batches, "k binary, near binary"))
@@ -392,10 +395,10 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         f"k binary, first_ord long, n_words long, n_removed long, spans array<struct<start:bigint,end:bigint>>, kept_sha256 string{more}")
     copy = (F.col("ord") != F.col("first_ord")) & (F.col("n_words") >= WINDOW)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
-    out = rows_by_key(df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "id", "text").join(done, "k")
+    out = rows_by_key(df, id_col, text_col, carry).join(done, "k")
     cols = [F.col("id").alias(id_col), "n_words", F.when(copy, F.col("n_words")).otherwise(F.col("n_removed")).alias("n_removed"),
             F.when(copy, whole).otherwise(F.col("spans")).alias("spans"),
             F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("kept_sha256")).alias("kept_sha256")]
     if with_text:
-        cols += ["k", F.when(copy, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text")]
-    return out.select(*cols)
+        cols.append(F.when(copy, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"))
+    return out.select(*cols, *[F.col(f"__c{i}").alias(c) for i, c in enumerate(carry)])
