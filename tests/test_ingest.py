@@ -3,6 +3,8 @@
 import json
 import random
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tracewright.operators.ingest import batch_outcomes
@@ -61,13 +63,30 @@ def test_fold_matches_sequential_model(spark):
     assert got == model(batches, status)
 
 
-def test_position_in_group_with_a_hot_key(spark):
-    rows = [("hot", i, i * 7 % 1000) for i in range(3000)] + [(f"k{i % 17}", i, i) for i in range(500)]
-    df = spark.createDataFrame(rows, "k string, id int, ts int")
-    got = position_in_group(df, ["k"], ["ts", "id"], num_partitions=8)
-    expect = {}
-    for k in {r[0] for r in rows}:
-        ordered = sorted((r for r in rows if r[0] == k), key=lambda r: (r[2], r[1]))
-        for i, r in enumerate(ordered, 1):
-            expect[(k, r[1])] = i
-    assert {(r.k, r.id): r.pos for r in got.collect()} == expect
+@pytest.mark.parametrize("aqe,partitions", [("true", 8), ("true", 16), ("true", 200), ("false", 8), ("false", 16), ("false", 200)])
+def test_position_in_group_with_a_hot_key(spark, tmp_path, aqe, partitions):
+    """Written in full, with a wide column, equal to row_number at every setting."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        n = 210_000
+        df = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 97)).alias("k"),
+            "id", (F.col("id") * 7919 % 50_021).alias("ts"), F.repeat(F.col("id").cast("string"), 40).alias("wide"))
+        position_in_group(df, ["k"], ["ts", "id"]).write.parquet(str(tmp_path / "got"))
+        got = spark.read.parquet(str(tmp_path / "got"))
+        want = df.withColumn("want", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")))
+        assert got.count() == n
+        assert got.join(want.select("id", "want"), "id").where("pos <> want").count() == 0
+        assert got.agg(F.countDistinct("id")).first()[0] == n and got.where("length(wide) = 0").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_position_in_group_nulls_and_empty(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, 5), ("a", 3, None), ("b", 4, -10**15), ("b", 5, 10**15)], "k string, id int, ts long")
+    assert sorted((r.k, r.id, r.pos) for r in position_in_group(df, ["k"], ["ts", "id"]).collect()) == [
+        ("a", 1, 1), ("a", 2, 3), ("a", 3, 2), ("b", 4, 1), ("b", 5, 2)]
+    assert position_in_group(df.limit(0), ["k"], ["ts", "id"]).count() == 0

@@ -4,16 +4,16 @@
 one task. When a single key may hold a third of the table that task is the
 whole job. ``position_in_group`` computes the same number without that:
 
-1. range-partition on (k, o) and sort within partitions: a hot key is split
-   across many partitions by the sampled range bounds;
-2. ``monotonically_increasing_id`` gives (partition id, index in partition);
-3. a small aggregate per (partition id, k) gives each slice's first local
-   index and size; a window over that aggregate (one row per slice of a key,
-   so at most #partitions rows per key) gives the rows of k in earlier slices;
-4. join back: position = earlier + local index - first local index + 1.
+1. the range of the first order column is cut into equal slices; the bounds are
+   literals, so a row's slice is a function of the row alone, whatever the
+   partitioning, and recomputed tasks agree;
+2. rows are counted per (key, slice) by a partial aggregate; a window over these
+   counts (at most ``slices + 2`` rows per key) gives the rows in earlier slices;
+3. ``row_number`` inside (key, slice), plus the rows in earlier slices.
 
 The order columns must make a total order within a key (add a unique tie
-breaker), so recomputation after an executor loss yields the same numbers.
+breaker). A key whose rows all share one value of the first order column stays in
+one slice.
 """
 
 from __future__ import annotations
@@ -23,25 +23,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition_id << 33 | index
-
-
-def position_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                      out: str = "pos", num_partitions: int | None = None) -> DataFrame:
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    key_cols = [F.col(k) for k in keys]
-    if num_partitions:
-        ranged = df.repartitionByRange(num_partitions, *key_cols, *order_cols)
-    else:
-        ranged = df.repartitionByRange(*key_cols, *order_cols)
-    tagged = (ranged.sortWithinPartitions(*key_cols, *order_cols)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
-              .withColumn("_li", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1))
-              .drop("_mid"))
-    slices = tagged.groupBy("_pid", *keys).agg(F.min("_li").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    return (tagged.join(slices, ["_pid", *keys])
-            .withColumn(out, (F.col("_before") + F.col("_li") - F.col("_first") + 1).cast("int"))
-            .drop("_pid", "_li", "_first", "_before"))
+SLICES = 1024
+
+
+def position_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "pos",
+                      by: Column | None = None, slices: int = SLICES) -> DataFrame:
+    """Add ``out``: 1, 2, ... within each key. ``by`` is a long that never falls
+    along the first order column (that column itself unless given)."""
+    value = F.col(order[0]).cast("long") if by is None else by
+    lo, hi = df.agg(F.min(value), F.max(value)).first()
+    width = 1 if lo is None else (hi - lo) // slices + 1
+    # nulls sort first, in a slice of their own
+    cut = df.withColumn("_slice", F.coalesce(F.floor((value - F.lit(lo or 0)) / F.lit(width)).cast("int"), F.lit(-1)))
+    counts = cut.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*keys, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    return (cut.withColumn("_nth", F.row_number().over(inside))
+            .join(before, [*keys, "_slice"])
+            .withColumn(out, (F.col("_before") + F.col("_nth")).cast("int"))
+            .drop("_slice", "_nth", "_before"))

@@ -37,8 +37,9 @@ SELECT concat('t-', user_id) AS trace_id, concat('ev-', event_id) AS event_id,
 FROM (SELECT e.event_id, e.user_id, e.ts, epoch_us(e.ts) // 1000 AS ts_ms,
              CASE e.event_id % 11 WHEN 0 THEN 'file_edit' WHEN 1 THEN 'file_snapshot' WHEN 2 THEN 'terminal_command' WHEN 3 THEN 'terminal_output' WHEN 4 THEN 'test_run' WHEN 5 THEN 'debug_action' WHEN 6 THEN 'navigation' WHEN 7 THEN 'thought' WHEN 8 THEN 'commit' WHEN 9 THEN 'pr_metadata' WHEN 10 THEN 'error' END AS type,
              CASE e.event_id % 3 WHEN 0 THEN 'human' WHEN 1 THEN 'tool' ELSE 'ide' END AS actor_kind,
-             CASE WHEN e.event_id % 53 = 0 THEN concat('sha256:', repeat('0', 64)) ELSE concat('sha256:', sha256(d.text)) END AS blob_id
-      FROM events e JOIN documents d ON d.doc_id = e.event_id % 200) x"""),
+             CASE WHEN e.event_id % 53 = 0 THEN concat('sha256:', repeat('0', 64)) WHEN d.text IS NULL THEN concat('sha256:', repeat('0', 64))
+                  ELSE concat('sha256:', sha256(d.text)) END AS blob_id
+      FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)) x"""),
     "tel_submissions": (("tel_events",), """
 SELECT trace_id, CAST(floor((seq - 1) / 7.0) AS INT) AS batch_no, CAST((seq - 1) % 7 AS INT) AS pos,
        CASE WHEN CAST(substring(event_id, 4) AS BIGINT) % 89 = 0 THEN coalesce(lag(event_id) OVER (PARTITION BY trace_id ORDER BY seq), event_id) ELSE event_id END AS event_id,

@@ -33,9 +33,9 @@ EVENT_TYPE_CYCLE = (
 )
 ACTOR_CYCLE = ("human", "tool", "ide")
 STATUS_BY_USER_MOD6 = {0: "finalizing", 1: "complete", 2: "failed"}  # others: collecting
+INPUT_TABLES = ("events", "documents", "labels")
 ZERO_BLOB = "sha256:" + "0" * 64
 BATCH_WIDTH = 7
-DOC_POOL = 200  # events reference documents doc_id = event_id % 200
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,12 +57,30 @@ def _code_version() -> str:
 _VERSION = _code_version()
 
 
+def _input_stamp(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and modification times of the files below the input folder."""
+    try:
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(sf_dir)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files, seen = fs.listFiles(root, True), []
+        while files.hasNext():
+            f = files.next()
+            seen.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        return repr(sorted(seen))
+    except Exception:  # no driver-side context
+        meta = [table(spark, sf_dir, t).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+                .distinct().collect() for t in INPUT_TABLES]
+        return repr([sorted(map(str, rows)) for rows in meta])
+
+
 def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """Read derived table ``name`` from the shared checkpoint folder, writing it
-    first if absent. Keyed by input folder and binding code version, so a
-    changed binding never reads a stale table. The write cuts the lineage: a
-    lost executor recomputes from this table, not from the raw inputs."""
-    key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{_VERSION}".encode()).hexdigest()[:16]
+    first if absent. Keyed by input folder, its files (sizes and modification
+    times) and the code version, so changed input or code never reads a
+    stale table. The write cuts the lineage: a lost executor recomputes from
+    this table, not from the raw inputs."""
+    key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{_input_stamp(spark, sf_dir)}|{_VERSION}".encode()).hexdigest()[:16]
     path = scratch_path(spark, f"tw-bindings/{key}/{name}")
     if not _written(spark, path):
         build().write.mode("overwrite").parquet(path)
@@ -157,23 +175,22 @@ def tel_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build_tel_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    # Only doc_id in [0, 200) is referenced: the side is bounded by construction
-    # (doc_id is the documents key) and projected to its hash before the join.
-    pool = (table(spark, sf_dir, "documents")
-            .where((F.col("doc_id") >= 0) & (F.col("doc_id") < DOC_POOL))
-            .select(F.col("doc_id").alias("_doc"), content_address(F.col("text")).alias("_doc_blob")))
+    docs = table(spark, sf_dir, "documents")
+    blobs = docs.select(F.col("doc_id").alias("_doc"), content_address(F.col("text")).alias("_doc_blob"))
+    # events refer to documents in turn, over the whole table: their number is a one-row aggregate in the plan
+    n_docs = docs.agg(F.nullif(F.count(F.lit(1)), F.lit(0))).scalar()
     eid = F.col("event_id")
-    x = (ev.join(F.broadcast(pool), (eid % DOC_POOL) == F.col("_doc"))
-         .select(F.concat(F.lit("t-"), F.col("user_id")).alias("trace_id"),
-                 eid.alias("_eid"), F.col("ts").alias("_ts"),
-                 ts_millis().alias("ts_ms"),
-                 _cycle(eid % 11, EVENT_TYPE_CYCLE).alias("type"),
-                 _cycle(eid % 3, ACTOR_CYCLE).alias("actor_kind"),
-                 F.when(eid % 53 == 0, F.lit(ZERO_BLOB)).otherwise(F.col("_doc_blob")).alias("blob_id")))
-    x = x.withColumn("payload_json", _payload(F.col("_eid"), F.col("type"), F.col("blob_id")))
-    x = position_in_group(x, ["trace_id"], ["_ts", "_eid"], out="seq")
-    return x.select("trace_id", F.concat(F.lit("ev-"), F.col("_eid")).alias("event_id"), "seq", "ts_ms",
-                    "type", "actor_kind", "blob_id", "payload_json")
+    x = ev.select(F.concat(F.lit("t-"), F.col("user_id")).alias("trace_id"), eid.alias("_eid"), F.col("ts").alias("_ts"),
+                  ts_millis().alias("ts_ms"), (eid % n_docs).alias("_ref"))
+    x = position_in_group(x, ["trace_id"], ["_ts", "_eid"], out="seq", by=F.col("ts_ms"))
+    eid = F.col("_eid")
+    # an event whose document is absent keeps its row and refers to the zero blob
+    x = (x.join(blobs, F.col("_ref") == F.col("_doc"), "left")
+         .withColumn("type", _cycle(eid % 11, EVENT_TYPE_CYCLE))
+         .withColumn("actor_kind", _cycle(eid % 3, ACTOR_CYCLE))
+         .withColumn("blob_id", F.when(eid % 53 == 0, F.lit(ZERO_BLOB)).otherwise(F.coalesce("_doc_blob", F.lit(ZERO_BLOB)))))
+    return x.select("trace_id", F.concat(F.lit("ev-"), eid).alias("event_id"), "seq", "ts_ms", "type", "actor_kind", "blob_id",
+                    _payload(eid, F.col("type"), F.col("blob_id")).alias("payload_json"))
 
 
 def tel_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
