@@ -401,6 +401,7 @@ def _cut_batches(width: int):
 def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                  shard_bytes: int = SHARD_BYTES, shard_windows: int = SHARD_WINDOWS) -> DataFrame:
     """(id, n_bytes, n_removed, spans, kept_sha256) for each row; ``spans`` are the removed runs of bytes."""
+    # every use of `texts` takes all its columns, so that the uses share one shuffle
     texts = (distinct_texts(df, id_col, text_col)
              .select("k", F.col("text").cast("binary").alias("text"), F.least("copies", F.lit(2)).alias("copies")))
     anchors = texts.mapInArrow(_anchor_batches(width), "h long, k binary, copies long, lo long, hi long")
@@ -419,7 +420,7 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spans = (windows.select("w", "k", "base").join(starts, "w")
              .groupBy("k").agg(F.collect_list(F.struct((F.col("base") + F.col("a")).alias("lo"), (F.col("base") + F.col("b")).alias("hi"))).alias("spans")))
     none = F.array().cast("array<struct<lo:bigint,hi:bigint>>")
-    done = texts.join(spans, "k", "left").select("k", "text", F.coalesce("spans", none).alias("spans")).mapInArrow(
+    done = texts.join(spans, "k", "left").select("k", "copies", "text", F.coalesce("spans", none).alias("spans")).mapInArrow(
         _cut_batches(width), "k binary, n_bytes long, n_removed long, spans array<struct<start:bigint,end:bigint>>, kept_sha256 string")
     return rows_by_key(df, id_col, text_col).join(done, "k").select(
         F.col("id").alias(id_col), "n_bytes", "n_removed", "spans", "kept_sha256")
