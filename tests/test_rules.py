@@ -70,11 +70,49 @@ def test_bool_bounds_lists_and_selection(spark):
     assert codes[2] == [("duration_ms", "greater_than_equal")]
     assert codes[3] == [("links_to.1", "string_type")]
     assert codes[4] == [("selection.end", "too_short")]
-    assert codes[5] == [("selection.start.1", "int_type")]
+    assert codes[5] == [("selection.start.1", "int_from_float")]
     assert codes[6] == []
     assert codes[7] == [("line", "int_from_float")]
 
 
+def test_numbers_in_strings(spark):
+    """Digits may be grouped by single underscores; nothing else may stand between them."""
+    base = {"command": "pytest", "runner": "pytest", "passed": True, "duration_ms": 1}
+    good, bad = ["1_000", "1_0.00", "-7", "+7", " 7\t", "007"], ["5x", "5x0", "7-", "1__0", "_1", "1_", "4x2", "", "1e3", "0x1"]
+    codes = _payload_codes(spark, [("test_run", dict(base, exit_code=v)) for v in good + bad])
+    assert codes == [[]] * len(good) + [[("exit_code", "int_parsing")]] * len(bad)
+    low = _payload_codes(spark, [("test_run", dict(base, exit_code=0, duration_ms=v)) for v in ("-1_0", "1_0", "-0")])
+    assert low == [[("duration_ms", "greater_than_equal")], [], []]
+
+
+def test_every_bad_element_is_reported(spark):
+    edit = {"file_path": "a", "edit_kind": "patch", "patch_blob_id": "b"}
+    pair = lambda v: ("file_edit", dict(edit, selection={"start": v, "end": ["1", 2.0]}))
+    codes = _payload_codes(spark, [
+        ("thought", {"content_blob_id": "b", "kind": "plan", "links_to": [1, "a", None, ["x"]]}),
+        ("commit", {"commit_sha": "s", "message": "m", "parent_shas": {"a": 1}}),
+        pair(["1", 2]), pair([True, " 2 "]), pair(["x", 2.5]), pair([None, "5x"]), pair(["x"]), pair([1]), pair([]), pair(["x", 1, 2]), pair("12"),
+        ("file_edit", dict(edit, selection=7)), ("file_edit", dict(edit, selection=None)), ("debug_action", {"action": "a", "details": 7}),
+    ])
+    assert codes[0] == [("links_to.0", "string_type"), ("links_to.2", "string_type"), ("links_to.3", "string_type")]
+    assert codes[1] == [("parent_shas", "list_type")]
+    assert codes[2] == codes[3] == []
+    assert codes[4] == [("selection.start.0", "int_parsing"), ("selection.start.1", "int_from_float")]
+    assert codes[5] == [("selection.start.0", "int_type"), ("selection.start.1", "int_parsing")]
+    assert codes[6] == [("selection.start.0", "int_parsing")]
+    assert codes[7] == codes[8] == [("selection.start", "too_short")]
+    assert codes[9] == [("selection.start", "too_long")]
+    assert codes[10] == [("selection.start", "list_type")]
+    assert codes[11] == [("selection", "dict_type")] and codes[12] == [] and codes[13] == [("details", "dict_type")]
+
+
+def test_messages_name_the_nested_model(spark):
+    df = spark.createDataFrame([("a", "file_edit", '{"file_path":"a","edit_kind":"patch","patch_blob_id":"b","selection":7}'),
+                                ("b", "debug_action", '{"action":"x","details":7}')], "event_id string, type string, payload_json string")
+    got = {r.event_id: r.message for r in payload_violations(df, ["event_id"]).collect()}
+    assert got == {"a": "Input should be a valid dictionary or instance of SelectionRange", "b": "Input should be a valid dictionary"}
+
+
 def _doc_codes(spark, rules, docs):
     df = spark.createDataFrame([(str(i), json.dumps(d) if not isinstance(d, str) else d) for i, d in enumerate(docs)],
                                "k string, doc string")
@@ -92,6 +130,27 @@ def test_trace_create_and_finalize(spark):
     codes = _doc_codes(spark, TRACE_CREATE_RULES, [minimal, no_task])
     assert codes[0] == []
     assert codes[1] == [("task", "missing")]  # children of a missing parent are not reported
+    full = json.loads(json.dumps(minimal))
+    full["repo"] |= {"remote_url": "u", "default_branch": None, "repo_fingerprint": {"tree_hash": "t", "dependencies_lock_hash": None}}
+    full["task"] |= {"task_id": "1", "labels": ["a"]}
+    full["task"]["bug_report"] |= {"repro_steps": None, "expected": "e", "actual": "a", "links": ["l"]}
+    full["developer"] |= {"experience_level": "mid", "consent_flags": {"store_raw_code": "no", "allow_llm_judge": 1}}
+    full["environment"] |= {"os": "linux", "language": [], "containerized": "yes", "timezone": "UTC"}
+    full["environment"]["ide"] |= {"version": "1"}
+    bad = json.loads(json.dumps(full))
+    bad["repo"]["repo_fingerprint"] = {"tree_hash": 1}
+    bad["task"]["task_id"] = 1
+    bad["task"]["bug_report"] |= {"expected": 1, "actual": [], "links": ["a", 1, 2]}
+    bad["developer"]["consent_flags"] = {"store_raw_code": "maybe", "store_terminal_output": None, "allow_llm_judge": 2}
+    bad["environment"] |= {"os": 1, "timezone": 1, "ide": {"name": "n", "version": 2}}
+    got = _doc_codes(spark, TRACE_CREATE_RULES, [full, bad])
+    assert got[0] == []
+    assert got[1] == sorted([
+        ("repo.repo_fingerprint.tree_hash", "string_type"), ("task.task_id", "string_type"), ("task.bug_report.expected", "string_type"),
+        ("task.bug_report.actual", "string_type"), ("task.bug_report.links.1", "string_type"), ("task.bug_report.links.2", "string_type"),
+        ("developer.consent_flags.store_raw_code", "bool_parsing"), ("developer.consent_flags.store_terminal_output", "bool_type"),
+        ("developer.consent_flags.allow_llm_judge", "bool_parsing"), ("environment.os", "string_type"), ("environment.timezone", "string_type"),
+        ("environment.ide.version", "string_type")])
     f = _doc_codes(spark, FINALIZE_RULES, [{"final_state": {"commit_head": "abc"}}, {"final_state": {}}, {}])
     assert f == [[], [], [("final_state", "missing")]]
 
@@ -110,6 +169,18 @@ def test_judge_rules(spark):
     assert codes[3] == [("overall", "less_than_equal"), ("rationale", "string_too_short")]
 
 
+def test_scores_in_strings_never_end_as_null(spark):
+    from tracewright.operators.judge import judge_results, parse_responses
+    names = ["root_cause_identification", "plan_quality", "experiment_iterate_loop", "use_of_signals_tests_logs", "minimality_of_fix", "clarity"]
+    body = lambda v, o=4: json.dumps({"scores": dict({n: 4 for n in names}, clarity=v), "overall": o, "rationale": "r"})
+    rows = [(str(i), b) for i, b in enumerate([body("4x2"), body("4.2"), body("0_4"), body("4_2"), body(" 4. "), body(True), body(4, "3_0.0"), body("4e0")])]
+    parsed = parse_responses(spark.createDataFrame(rows, "trace_id string, response_text string"))
+    assert {r.trace_id: r.outcome for r in parsed.collect()} == {
+        "0": "failed_validation", "1": "ok", "2": "ok", "3": "failed_validation", "4": "ok", "5": "ok", "6": "failed_validation", "7": "ok"}
+    got = {r.trace_id: (r.clarity, r.overall) for r in judge_results(parsed).collect()}
+    assert got == {"1": (4.2, 4.0), "2": (4.0, 4.0), "4": (4.0, 4.0), "5": (1.0, 4.0), "7": (4.0, 4.0)}
+
+
 def test_new_event_type_is_one_rule_table_entry(spark):
     """An extra event type is validated by adding its rules, no code."""
     from tracewright.operators.validate import explode_violations, violations_array

@@ -68,12 +68,21 @@ class SparkDialect:
                 f"'t', 'boolean', 'f', 'boolean', 'n', 'null'), "
                 f"coalesce(substring(to_json({self.sub(path)}), 1, 1), '')), 'number')")
 
+    def kind_at(self, path: str, i: int) -> str:
+        return self.kind_expr(f"{path}[{i}]")
+
     def kind(self, path: str) -> str:
         """Reference to the precomputed kind column (see ``kind_columns``)."""
         return f"`{self.col_name(path)}`"
 
     def num(self, path: str) -> str:
-        return f"try_variant_get({self.doc}, {_sq('$.' + path)}, 'double')"
+        return self.number_of(f"{self.doc}, {_sq('$.' + path)}")
+
+    @staticmethod
+    def number_of(at: str) -> str:
+        """The value at ``at`` (variant, path) as a double; digits of strings may be grouped by underscores."""
+        return (f"coalesce(try_variant_get({at}, 'double'), "
+                f"try_cast(replace(try_variant_get({at}, 'string'), '_', '') AS double))")
 
     def text(self, path: str) -> str:
         return f"try_variant_get({self.doc}, {_sq('$.' + path)}, 'string')"
@@ -82,27 +91,31 @@ class SparkDialect:
         return f"try_variant_get({self.doc}, {_sq('$.' + path)}, 'boolean')"
 
     def regex(self, x: str, pat: str) -> str:
-        return f"({x} RLIKE {_sq(pat)})"
+        return f"({x} RLIKE r{_sq(pat)})"  # a raw literal: backslashes reach the pattern
 
     def array_len(self, path: str) -> str:
         return f"size(try_cast({self.sub(path)} AS array<variant>))"
 
-    def first_bad_elem(self, path: str, elem_ok: str) -> str:
-        """0-based index of the first element where ``elem_ok`` (over ``x``, a
-        variant) is false, or -1."""
-        return (f"(array_position(transform(try_cast({self.sub(path)} AS array<variant>), "
-                f"x -> NOT coalesce({elem_ok}, false)), true) - 1)")
+    def bad_elements(self, path: str, item: str, when: str) -> str:
+        """Violations of the elements (``x``, at 0-based position ``i``) where ``item`` is not NULL, if ``when`` holds."""
+        return (f"CASE WHEN {when} THEN transform(try_cast({self.sub(path)} AS array<variant>), (x, i) -> {item}) "
+                f"ELSE {self.array([])} END")
 
-    def elem_is_string(self) -> str:
-        return "schema_of_variant(x) = 'STRING'"
+    def elem_kind(self) -> str:
+        return ("coalesce(element_at(map('{', 'object', '[', 'array', '\"', 'string', 't', 'boolean', 'f', 'boolean', 'n', 'null'), "
+                "substring(to_json(x), 1, 1)), 'number')")
 
     def elem_text(self) -> str:
         return "try_variant_get(x, '$', 'string')"
 
-    def elem_is_int(self) -> str:
-        return ("(schema_of_variant(x) NOT IN ('VOID', 'STRING', 'BOOLEAN') AND NOT startswith(schema_of_variant(x), 'ARRAY') "
-                "AND NOT startswith(schema_of_variant(x), 'OBJECT') "
-                "AND try_variant_get(x, '$', 'double') = floor(try_variant_get(x, '$', 'double')))")
+    def elem_num(self) -> str:
+        return self.number_of("x, '$'")
+
+    def elem_index(self) -> str:
+        return "CAST(i AS STRING)"
+
+    def flat(self, arrays: list[str]) -> str:
+        return f"concat({', '.join(arrays)})" if len(arrays) > 1 else arrays[0]
 
     def struct(self, idx: int, field: str, code: str, message: str) -> str:
         return f"named_struct('idx', {idx}, 'field', {field}, 'code', {_sq(code)}, 'message', {_sq(message)})"
@@ -123,8 +136,11 @@ class DuckDialect:
                 f"WHEN {t} = 'BOOLEAN' THEN 'boolean' WHEN {t} = 'ARRAY' THEN 'array' WHEN {t} = 'OBJECT' THEN 'object' "
                 f"ELSE 'number' END)")
 
+    def kind_at(self, path: str, i: int) -> str:
+        return self.kind(f"{path}[{i}]")
+
     def num(self, path: str) -> str:
-        return f"TRY_CAST(json_extract_string({self.doc}, {_sq('$.' + path)}) AS DOUBLE)"
+        return f"TRY_CAST(replace(trim(json_extract_string({self.doc}, {_sq('$.' + path)})), '_', '') AS DOUBLE)"
 
     def text(self, path: str) -> str:
         return f"json_extract_string({self.doc}, {_sq('$.' + path)})"
@@ -138,19 +154,25 @@ class DuckDialect:
     def array_len(self, path: str) -> str:
         return f"json_array_length({self.doc}, {_sq('$.' + path)})"
 
-    def first_bad_elem(self, path: str, elem_ok: str) -> str:
+    def bad_elements(self, path: str, item: str, when: str) -> str:
         lst = f"json_extract({self.doc}, {_sq('$.' + path + '[*]')})"
-        return f"(coalesce(list_position(list_transform({lst}, lambda x: NOT coalesce({elem_ok}, false)), true), 0) - 1)"
+        return f"CASE WHEN {when} THEN list_transform({lst}, lambda x, i: {item}) ELSE {self.array([])} END"
 
-    def elem_is_string(self) -> str:
-        return "json_type(x) = 'VARCHAR'"
+    def elem_kind(self) -> str:
+        return ("(CASE json_type(x) WHEN 'NULL' THEN 'null' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' "
+                "WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END)")
 
     def elem_text(self) -> str:
         return "json_extract_string(x, '$')"
 
-    def elem_is_int(self) -> str:
-        return ("(json_type(x) IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'HUGEINT') "
-                "AND CAST(json_extract_string(x, '$') AS DOUBLE) = floor(CAST(json_extract_string(x, '$') AS DOUBLE)))")
+    def elem_num(self) -> str:
+        return "TRY_CAST(replace(trim(json_extract_string(x, '$')), '_', '') AS DOUBLE)"
+
+    def elem_index(self) -> str:
+        return "CAST(i - 1 AS VARCHAR)"
+
+    def flat(self, arrays: list[str]) -> str:
+        return f"flatten([{', '.join(arrays)}])" if len(arrays) > 1 else arrays[0]
 
     def struct(self, idx: int, field: str, code: str, message: str) -> str:
         return f"{{'idx': {idx}, 'field': {field}, 'code': {_sq(code)}, 'message': {_sq(message)}}}"
@@ -161,8 +183,16 @@ class DuckDialect:
         return f"[{', '.join(items)}]"
 
 
-_INT_STR = r"^ *[+-]?[0-9]+(\.0*)? *$"
-_FLOAT_STR = r"^ *[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)? *$"
+_DIGITS = "[0-9]+(_[0-9]+)*"
+_AROUND = r"[\t-\r ]*"
+_INT_STR = rf"^{_AROUND}[+-]?{_DIGITS}(\.0*)?{_AROUND}$"
+_FLOAT_STR = rf"^{_AROUND}[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?{_AROUND}$"
+
+
+def _int_checks(d, k: str, n: str, text: str) -> list[tuple[str, str]]:
+    return [(f"{k} = 'number' AND {n} <> floor({n})", "int_from_float"),
+            (f"{k} = 'string' AND NOT {d.regex(text, _INT_STR)}", "int_parsing"),
+            (f"{k} NOT IN ('number', 'boolean', 'string')", "int_type")]
 
 
 def _type_checks(d, f: Field, k: str) -> list[tuple[str, str]]:
@@ -176,11 +206,9 @@ def _type_checks(d, f: Field, k: str) -> list[tuple[str, str]]:
             out.append((f"length({d.text(p)}) < {f.min_length}", "string_too_short"))
     elif kind in ("int", "float"):
         n = d.num(p)
-        s = f"trim({d.text(p)})"
+        s = d.text(p)
         if kind == "int":
-            out.append((f"{k} = 'number' AND {n} <> floor({n})", "int_from_float"))
-            out.append((f"{k} = 'string' AND NOT {d.regex(s, _INT_STR)}", "int_parsing"))
-            out.append((f"{k} NOT IN ('number', 'boolean', 'string')", "int_type"))
+            out += _int_checks(d, k, n, d.text(p))
         else:
             out.append((f"{k} = 'string' AND NOT {d.regex(s, _FLOAT_STR)}", "float_parsing"))
             out.append((f"{k} NOT IN ('number', 'boolean', 'string')", "float_type"))
@@ -203,8 +231,10 @@ def _type_checks(d, f: Field, k: str) -> list[tuple[str, str]]:
         out.append((f"{k} <> 'array'", "list_type"))
     elif kind == "int_pair":
         out.append((f"{k} <> 'array'", "list_type"))
-        out.append((f"{d.array_len(p)} < 2", "too_short"))
         out.append((f"{d.array_len(p)} > 2", "too_long"))
+        # a bad element is reported instead of a short list
+        one_ok = " AND ".join(f"NOT ({c})" for c, _ in _int_checks(d, d.kind_at(p, 0), d.num(p + "[0]"), d.text(p + "[0]")))
+        out.append((f"{d.array_len(p)} = 0 OR ({d.array_len(p)} = 1 AND {one_ok})", "too_short"))
     else:
         raise ValueError(f"unknown kind {kind}")
     return out
@@ -221,6 +251,8 @@ def message_for(f: Field, code: str) -> str:
         return "Input should be greater than or equal to " + _fmt_bound(f, f.ge)
     if code == "less_than_equal":
         return "Input should be less than or equal to " + _fmt_bound(f, f.le)
+    if code == "dict_type" and f.model:
+        return f"{MESSAGES[code]} or instance of {f.model}"
     if code == "string_too_short":
         return MESSAGES[code].format(n=f.min_length or 1)
     return MESSAGES[code]
@@ -247,12 +279,30 @@ def _null_code(f: Field) -> str:
         f.kind, "enum" if f.kind.startswith("enum:") else "list_type")
 
 
+def _element_item(d, f: Field, idx: int, prefix_sql: str) -> str | None:
+    """CASE over an element of list field ``f``: its violation or NULL. None if elements are not checked."""
+    k = d.elem_kind()
+    if f.kind == "list_str":
+        checks, ef = [(f"{k} <> 'string'", "string_type")], f
+    elif f.kind.startswith("list_enum:"):
+        dom = ", ".join(_sq(x) for x in ENUMS[f.kind.split(":", 1)[1]])
+        checks, ef = [(f"{k} <> 'string' OR {d.elem_text()} NOT IN ({dom})", "enum")], f
+    elif f.kind == "int_pair":
+        checks, ef = _int_checks(d, k, d.elem_num(), d.elem_text()), Field(f.name, "int")
+    else:
+        return None
+    field = f"concat({prefix_sql}, {_sq(f.name + '.')}, {d.elem_index()})"
+    whens = " ".join(f"WHEN {cond} THEN {d.struct(idx, field, code, message_for(ef, code))}" for cond, code in checks)
+    return f"CASE {whens} END"
+
+
 def compile_rules(d, fields: Sequence[Field], prefix_sql: str = "''") -> str:
-    """SQL expression: array with one slot per rule (and per list-element
-    rule), holding a violation struct (idx, field, code, message) or NULL.
-    Callers explode it and keep the non-null slots. Only literals, CASE and
-    column references: no lambdas except for list element scans."""
-    items = []
+    """SQL expression: array with one slot per rule, holding a violation
+    struct (idx, field, code, message) or NULL, and after these one slot per
+    element of each checked list. Callers explode it and keep the non-null
+    slots. Only literals, CASE and column references: no lambdas except for
+    list elements."""
+    items, lists = [], []
     for idx, f in enumerate(fields):
         k = d.kind(f.name)
         field_sql = f"concat({prefix_sql}, {_sq(f.name)})"
@@ -267,21 +317,10 @@ def compile_rules(d, fields: Sequence[Field], prefix_sql: str = "''") -> str:
         for cond, code in _type_checks(d, f, k):
             whens.append(f"WHEN {cond} THEN {d.struct(idx, field_sql, code, message_for(f, code))}")
         items.append(f"CASE {' '.join(whens)} END")
-        elem = None
-        if f.kind == "list_str":
-            elem = (d.elem_is_string(), "string_type", f)
-        elif f.kind.startswith("list_enum:"):
-            dom = ", ".join(_sq(x) for x in ENUMS[f.kind.split(':', 1)[1]])
-            elem = (f"({d.elem_is_string()} AND {d.elem_text()} IN ({dom}))", "enum", f)
-        elif f.kind == "int_pair":
-            elem = (d.elem_is_int(), "int_type", Field(f.name, "int"))
-        if elem is not None:
-            ok, code, ef = elem
-            pos = d.first_bad_elem(f.name, ok)
+        item = _element_item(d, f, idx, prefix_sql)
+        if item is not None:
             conds = ([guard] if guard else []) + [f"{k} = 'array'"]
             if f.kind == "int_pair":
-                conds.append(f"{d.array_len(f.name)} = 2")
-            efield = f"concat({prefix_sql}, {_sq(f.name + '.')}, CAST({pos} AS STRING))"
-            items.append(f"CASE WHEN {' AND '.join(conds)} AND {pos} >= 0 THEN "
-                         f"{d.struct(idx, efield, code, message_for(ef, code))} END")
-    return d.array(items)
+                conds.append(f"{d.array_len(f.name)} <= 2")
+            lists.append(d.bad_elements(f.name, item, " AND ".join(conds)))
+    return d.flat([d.array(items), *lists])

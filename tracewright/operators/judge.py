@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.hashing import content_address
+from tracewright.functions.jsonrules import SparkDialect
 from tracewright.functions.patterns import PY_SPACE
 from tracewright.functions.rounding import py_round1
 from tracewright.operators.common import stage_boundary
@@ -69,13 +70,14 @@ def judge_results(parsed: DataFrame) -> DataFrame:
     """Result records for ok responses: six scores, overall rounded
     half-even on the binary value (P16), rationale blob id, flags."""
     ok = parsed.where(F.col("outcome") == "ok").withColumn("_v", F.expr("try_parse_json(body)"))
-    score = lambda n: F.expr(f"try_variant_get(_v, '$.scores.{n}', 'double')")
+    number = lambda path: F.expr(SparkDialect("_v").num(path))  # noqa: E731  as the rules read it: "0_4" is 4.0
+    score = lambda n: number(f"scores.{n}")
     rationale = F.expr("try_variant_get(_v, '$.rationale', 'string')")
     flags = F.expr("try_variant_get(_v, '$.flags', 'array<string>')")
     return ok.select("trace_id", "model", F.lit(RUBRIC_VERSION).alias("rubric_version"),
                      *[score(n).alias(n) for n in SCORE_NAMES],
-                     F.expr("try_variant_get(_v, '$.overall', 'double')").alias("overall_raw"),
-                     py_round1(F.expr("try_variant_get(_v, '$.overall', 'double')")).alias("overall"),
+                     number("overall").alias("overall_raw"),
+                     py_round1(number("overall")).alias("overall"),
                      rationale.alias("rationale"),
                      content_address(rationale).alias("rationale_blob_id"),
                      F.coalesce(flags, F.array().cast("array<string>")).alias("flags"))

@@ -14,6 +14,7 @@ from tracewright.schemas import JUDGE_RULES, SCORE_NAMES
 from tracewright.sources import bindings as B
 
 MODEL = "judge-model"
+_NUM = DuckDialect("body").num
 
 _STRIPPED = f"regexp_replace(response_text, '^[{PY_SPACE}]+|[{PY_SPACE}]+$', '', 'g')"
 _PARSED = f"""
@@ -36,9 +37,9 @@ FROM jg_checked"""
 
 _RESULTS = f"""
 SELECT trace_id, '{MODEL}' AS model, '1.0' AS rubric_version,
-       {", ".join(f"TRY_CAST(json_extract_string(body, '$.scores.{n}') AS DOUBLE) AS {n}" for n in SCORE_NAMES)},
-       TRY_CAST(json_extract_string(body, '$.overall') AS DOUBLE) AS overall_raw,
-       {duck_round1("TRY_CAST(json_extract_string(body, '$.overall') AS DOUBLE)")} AS overall,
+       {", ".join(f"{_NUM('scores.' + n)} AS {n}" for n in SCORE_NAMES)},
+       {_NUM('overall')} AS overall_raw,
+       {duck_round1(_NUM('overall'))} AS overall,
        json_extract_string(body, '$.rationale') AS rationale,
        concat('sha256:', sha256(json_extract_string(body, '$.rationale'))) AS rationale_blob_id,
        coalesce(json_extract_string(body, '$.flags[*]'), CAST([] AS VARCHAR[])) AS flags

@@ -2,7 +2,7 @@
 
 The rule table is declarative: adding an event type (V23) means adding one
 entry to ``PAYLOAD_RULES`` and its name to ``ENUMS["event_type"]``; the
-validator, the packet renderer and the oracles are generated from it.
+validator and the oracles are generated from it.
 """
 
 from __future__ import annotations
@@ -61,17 +61,22 @@ class Field:
     ge: float | None = None
     le: float | None = None
     min_length: int | None = None
+    model: str | None = None    # name of the nested model, for its error text
 
 
-def _opt(name: str, kind: str) -> Field:
-    return Field(name, kind, required=False, nullable=True)
+def _opt(name: str, kind: str, model: str | None = None) -> Field:
+    return Field(name, kind, required=False, nullable=True, model=model)
+
+
+def _obj(name: str, model: str, required: bool = True) -> Field:
+    return Field(name, "dict", required=required, model=model)
 
 
 PAYLOAD_RULES: dict[str, tuple[Field, ...]] = {
     "file_edit": (
         Field("file_path", "str"), Field("edit_kind", "enum:edit_kind"),
         Field("patch_format", "str", required=False), Field("patch_blob_id", "str"),
-        _opt("pre_hash", "str"), _opt("post_hash", "str"), _opt("selection", "dict"),
+        _opt("pre_hash", "str"), _opt("post_hash", "str"), _opt("selection", "dict", "SelectionRange"),
         Field("selection.start", "int_pair"), Field("selection.end", "int_pair"),
         _opt("reason_ref", "str"),
     ),
@@ -108,7 +113,7 @@ PAYLOAD_RULES: dict[str, tuple[Field, ...]] = {
 }
 
 # Judge raw output (scores object, overall, rationale, flags).
-JUDGE_RULES: tuple[Field, ...] = (Field("scores", "dict"),) + tuple(
+JUDGE_RULES: tuple[Field, ...] = (_obj("scores", "JudgeScores"),) + tuple(
     Field(f"scores.{n}", "float", ge=0.0, le=5.0) for n in SCORE_NAMES
 ) + (
     Field("overall", "float", ge=0.0, le=5.0),
@@ -118,20 +123,29 @@ JUDGE_RULES: tuple[Field, ...] = (Field("scores", "dict"),) + tuple(
 
 # Trace-create body (nested required fields and typed optionals).
 TRACE_CREATE_RULES: tuple[Field, ...] = (
-    Field("repo", "dict"), Field("repo.repo_id", "str"), Field("repo.commit_base", "str"),
-    _opt("repo.remote_url", "str"), _opt("repo.default_branch", "str"),
-    Field("task", "dict"), Field("task.bug_report", "dict"),
+    _obj("repo", "Repo"), Field("repo.repo_id", "str"),
+    _opt("repo.remote_url", "str"), _opt("repo.default_branch", "str"), Field("repo.commit_base", "str"),
+    _opt("repo.repo_fingerprint", "dict", "RepoFingerprint"), _opt("repo.repo_fingerprint.tree_hash", "str"),
+    _opt("repo.repo_fingerprint.dependencies_lock_hash", "str"),
+    _obj("task", "Task"), _opt("task.task_id", "str"), _obj("task.bug_report", "BugReport"),
     Field("task.bug_report.title", "str"), Field("task.bug_report.description", "str"),
-    _opt("task.bug_report.repro_steps", "str"), Field("task.labels", "list_str", required=False),
-    Field("developer", "dict"), Field("developer.developer_id", "str"),
+    _opt("task.bug_report.repro_steps", "str"), _opt("task.bug_report.expected", "str"),
+    _opt("task.bug_report.actual", "str"), Field("task.bug_report.links", "list_str", required=False),
+    Field("task.labels", "list_str", required=False),
+    _obj("developer", "Developer"), Field("developer.developer_id", "str"),
     Field("developer.experience_level", "enum:experience_level", required=False),
-    Field("environment", "dict"), Field("environment.ide", "dict"), Field("environment.ide.name", "str"),
+    _obj("developer.consent_flags", "ConsentFlags", required=False),
+    Field("developer.consent_flags.store_raw_code", "bool", required=False),
+    Field("developer.consent_flags.store_terminal_output", "bool", required=False),
+    Field("developer.consent_flags.allow_llm_judge", "bool", required=False),
+    _obj("environment", "Environment"), _opt("environment.os", "str"),
+    _obj("environment.ide", "IDE"), Field("environment.ide.name", "str"), _opt("environment.ide.version", "str"),
     Field("environment.language", "list_str", required=False),
-    Field("environment.containerized", "bool", required=False),
+    Field("environment.containerized", "bool", required=False), _opt("environment.timezone", "str"),
 )
 
 FINALIZE_RULES: tuple[Field, ...] = (
-    Field("final_state", "dict"), _opt("final_state.commit_head", "str"), _opt("final_state.pr", "dict"),
+    _obj("final_state", "FinalState"), _opt("final_state.commit_head", "str"), _opt("final_state.pr", "dict", "PRFinalState"),
     _opt("final_state.pr.title", "str"), _opt("final_state.pr.description", "str"),
     _opt("final_state.pr.diff_blob_id", "str"),
 )
