@@ -16,6 +16,7 @@ from tracewright.functions.hashing import byte_length, content_address, shard_of
 from tracewright.schemas import DEFAULT_CONTENT_TYPE
 
 DEFAULT_ROOT = "/data/blobs"
+SHARDS = 256
 
 
 def content_type_or_default(ct: Column) -> Column:
@@ -44,6 +45,19 @@ def dedup_first_writer(blobs: DataFrame, order: list[str], keep: list[str]) -> D
     return agg.select("blob_id", *[F.col(f"_w._k_{c}").alias(c) for c in keep], "n_writes")
 
 
+def first_writer_rows(blobs: DataFrame, order: list[str]) -> DataFrame:
+    """The first writer's whole row per blob_id, by ``order`` (a total order).
+
+    Only the order columns are aggregated; content is fetched by a join on
+    the winning key, so no text stands in an aggregation buffer."""
+    first = blobs.groupBy("blob_id").agg(F.min(F.struct(*[F.col(c) for c in order])).alias("_w"))
+    won = first.select(F.col("blob_id").alias("_b"), *[F.col(f"_w.{c}").alias(f"_w_{c}") for c in order])
+    same = F.col("blob_id") == F.col("_b")
+    for c in order:
+        same = same & F.col(c).eqNullSafe(F.col(f"_w_{c}"))
+    return blobs.join(won, same, "left_semi")
+
+
 def new_only(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """Uploads whose content is not stored yet (left anti join on the id)."""
     return incoming.join(stored.select("blob_id"), "blob_id", "left_anti")
@@ -61,8 +75,12 @@ def exists(refs: DataFrame, stored: DataFrame, ref_col: str = "blob_id") -> Data
 
 
 def write_store(blobs: DataFrame, path: str, mode: str = "append") -> None:
-    """Sharded sink, ``partitionBy(shard)``; readers prune by shard."""
-    (blobs.repartition("shard").write.mode(mode).partitionBy("shard").parquet(path))
+    """Sharded sink, ``partitionBy(shard)``; readers prune by shard. A shard
+    is written by one task up to 256 shuffle partitions, beyond that by as
+    many as there are partitions per shard."""
+    splits = max(1, int(blobs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // SHARDS)
+    part = F.pmod(F.xxhash64("blob_id"), F.lit(splits))
+    (blobs.repartition(F.col("shard"), part).write.mode(mode).partitionBy("shard").parquet(path))
 
 
 def read_content(spark, path: str, ids: DataFrame) -> DataFrame:

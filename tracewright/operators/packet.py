@@ -53,8 +53,8 @@ def blob_previews(blobs: DataFrame, refs: DataFrame) -> DataFrame:
     with replacement (P15) and cut before anything is shuffled."""
     ids = refs.select(F.col("blob_id")).where(F.col("blob_id").isNotNull()).distinct()
     text = F.expr("make_valid_utf8(cast(content as string))")
-    cut = (blobs.join(ids, "blob_id", "left_semi")
-           .select("blob_id", F.substring(text, 1, THOUGHT_PREVIEW + 1).alias("_head")))
+    heads = blobs.select("blob_id", F.substring(text, 1, THOUGHT_PREVIEW + 1).alias("_head"))
+    cut = heads.join(ids, "blob_id", "left_semi")
     one = cut.groupBy("blob_id").agg(F.min("_head").alias("_head"))  # copies share content
     return one.where(F.length("_head") > 0).select(
         "blob_id", preview(F.col("_head"), THOUGHT_PREVIEW).alias("p500"),

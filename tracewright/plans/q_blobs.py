@@ -48,10 +48,10 @@ def blob_lookup(spark, sf):
 
 @query("blob_new_only", with_views("""
 SELECT source_key, blob_id FROM tel_blobs b
-WHERE NOT EXISTS (SELECT 1 FROM tel_events e WHERE e.blob_id = b.blob_id)""", "tel_blobs", "tel_events"))
+WHERE NOT EXISTS (SELECT 1 FROM tel_events e WHERE e.blob_id = b.blob_id AND e.type = 'thought')""", "tel_blobs", "tel_events"))
 def blob_new_only(spark, sf):
-    """Uploads (all documents) whose content is not already stored (blobs referenced by events)."""
-    stored = B.tel_events(spark, sf).select("blob_id")
+    """Uploads (all documents) whose content is not already stored (blobs that thoughts refer to)."""
+    stored = B.tel_events(spark, sf).where(F.col("type") == "thought").select("blob_id")
     return BL.new_only(B.tel_blobs(spark, sf).select("source_key", "blob_id"), stored)
 
 

@@ -100,9 +100,9 @@ def blob_store_roundtrip(spark, sf):
     """Write deduplicated blobs to the shard-partitioned store, then
     fetch the content every event references (partition-pruned by shard)."""
     rows = BL.blob_rows(B.tel_blobs(spark, sf))
-    first = BL.dedup_first_writer(rows, ["source_key"], ["content", "content_type", "byte_length", "storage_uri"])
+    first = BL.first_writer_rows(rows, ["source_key"])
     path = scratch_path(spark, f"tw-blobstore-{uuid.uuid4().hex}")
-    BL.write_store(first.withColumn("shard", shard_of(F.col("blob_id"))), path, mode="overwrite")
+    BL.write_store(first, path, mode="overwrite")
     ev = B.tel_events(spark, sf).select("event_id", "blob_id")
     found = BL.read_content(spark, path, ev).select("blob_id", "byte_length")
     return ev.join(found, "blob_id").select("event_id", "blob_id", shard_of(F.col("blob_id")).alias("shard"),
