@@ -59,8 +59,25 @@ def test_fold_matches_sequential_model(spark):
     subs = spark.createDataFrame(rows, "trace_id string, batch_no int, pos int, event_id string, seq int, "
                                        "ts_ms long, type string, actor_kind string, payload_json string")
     traces = spark.createDataFrame(list(status.items()), "trace_id string, status string")
-    got = {(r.trace_id, r.batch_no): r.outcome for r in batch_outcomes(subs, traces).collect()}
-    assert got == model(batches, status)
+    want = model(batches, status)
+    for replay_all in (False, True):
+        got = {(r.trace_id, r.batch_no): r.outcome for r in batch_outcomes(subs, traces, replay_all=replay_all).collect()}
+        assert got == want
+
+
+@pytest.mark.parametrize("conflict", [False, True])
+def test_one_trace_of_100_000_batches(spark, conflict):
+    """The fold of a hot trace is linear: with and without a conflict that makes it be replayed."""
+    from tracewright.operators.ingest import fold_outcomes
+    n = 100_000
+    summ = spark.range(n).select(
+        F.lit("hot").alias("trace_id"), F.col("id").cast("int").alias("batch_no"), F.lit(None).cast("string").alias("pre"),
+        (F.col("id") * 2 + 1).cast("int").alias("lo"), (F.col("id") * 2 + 2).cast("int").alias("hi"), F.lit(False).alias("internal_bad"),
+        F.lit(False).alias("dup_stored"), F.lit(False).alias("dup_in_batch"),
+        F.when(F.col("id").isin(*([10, 70_000] if conflict else [])), F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")).alias("rep_ids"),
+        F.lit(0).alias("high0"))
+    got = fold_outcomes(summ).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.max("high_before").alias("h")).collect()
+    assert {r.outcome: (r.n, r.h) for r in got} == ({"accepted": (n - 1, 2 * n - 2), "duplicate": (1, 140_000)} if conflict else {"accepted": (n, 2 * n - 2)})
 
 
 @pytest.mark.parametrize("aqe,partitions", [("true", 8), ("true", 16), ("true", 200), ("false", 8), ("false", 16), ("false", 200)])

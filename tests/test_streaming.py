@@ -27,3 +27,27 @@ def test_retried_epoch_is_idempotent(spark):
                                                   "type", "actor_kind", "payload_json")
     ingest_epoch(spark, late, 1, traces, ev, out)
     assert [r.outcome for r in spark.read.parquet(out).where("epoch = 1").collect()] == ["duplicate"]
+
+
+def test_epochs_meet_late_batches_stored_duplicates_and_finalized_traces(spark):
+    from tracewright.streaming.incremental import arrive, run_incremental
+    work = tempfile.mkdtemp(prefix="tw-x4-")
+    schema = ("trace_id string, batch_no int, pos int, event_id string, seq int, ts_ms long, type string, "
+              "actor_kind string, payload_json string")
+    row = lambda t, b, p, e, s: (t, b, p, e, s, 10 + s, "terminal_command", "human", CMD)
+    epochs = [
+        [row("t0", 0, 0, "e1", 1), row("t0", 0, 1, "e2", 2), row("t1", 0, 0, "f1", 1)],
+        [row("t0", 1, 0, "e5", 5), row("t1", 1, 0, "f2", 2)],
+        [row("t0", 2, 0, "e3", 3), row("t1", 2, 0, "f3", 3)],      # t0: late, below the stored high-water mark
+        [row("t0", 3, 0, "e1", 6), row("t1", 3, 0, "f4", 4)],      # t0: an id stored three epochs ago; t1: finalized meanwhile
+        [row("t0", 4, 0, "e6", 6), row("t1", 4, 0, "f5", 5)],
+    ]
+    for i, rows in enumerate(epochs):
+        traces = spark.createDataFrame([("t0", "collecting"), ("t1", "collecting" if i < 3 else "complete")], "trace_id string, status string")
+        arrive(spark.createDataFrame(rows, schema), f"{work}/in")
+        ev, out = run_incremental(spark, f"{work}/in", traces, work)
+    got = {(r.trace_id, r.batch_no): (r.outcome, r.epoch) for r in spark.read.parquet(out).collect()}
+    assert got == {("t0", 0): ("accepted", 0), ("t1", 0): ("accepted", 0), ("t0", 1): ("accepted", 1), ("t1", 1): ("accepted", 1),
+                   ("t0", 2): ("seq", 2), ("t1", 2): ("accepted", 2), ("t0", 3): ("duplicate", 3), ("t1", 3): ("state", 3),
+                   ("t0", 4): ("accepted", 4), ("t1", 4): ("state", 4)}
+    assert sorted(r.event_id for r in spark.read.parquet(ev).collect()) == ["e1", "e2", "e5", "e6", "f1", "f2", "f3"]

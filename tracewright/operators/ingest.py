@@ -10,11 +10,11 @@ Outcome of a batch, first that applies (V19):
 
 ``seq`` and ``duplicate`` depend on what *earlier accepted* batches of the same
 trace left behind (high-water mark, stored ids): an id seen only in a rejected
-batch is not a duplicate. That dependency is a fold per trace over compact
-batch summaries, ordered by batch_no, done with the ``aggregate`` higher-order
-function (no Python). Only ids that occur in two or more batches of a trace
-are carried in the fold state; everything else is decided by joins and
-partial aggregates before the fold.
+batch is not a duplicate. A trace whose batches cannot conflict is decided by a
+running maximum in slices. For the others that dependency is replayed over
+compact batch summaries in order of batch_no, one at a time, in bounded memory.
+Only ids that occur in two or more batches of a trace are carried in the
+state; everything else is decided by joins and partial aggregates before.
 
 No windows: the in-batch seq step is an equi-join on (trace_id, batch_no, pos)
 with pos - 1, ids are counted per (trace_id, event_id, batch_no), and the
@@ -24,7 +24,10 @@ batch lands in one task; after that only per-batch summaries move.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.jsonrules import enum_message
@@ -146,51 +149,81 @@ def batch_summaries(rows: DataFrame, traces: DataFrame, stored: DataFrame | None
     return summ.withColumn("pre", pre).withColumn("high0", F.coalesce(F.col("_high0"), F.lit(0)).cast("int"))
 
 
-_FOLD = """
-aggregate(
-  bs,
-  named_struct('high', high0, 'claimed', CAST(array() AS array<string>),
-               'out', CAST(array() AS array<struct<batch_no: int, outcome: string, high_before: int,
-                                                   dup_ids: array<string>>>)),
-  (acc, b) -> named_struct(
-    'high', CASE WHEN coalesce(b.pre, CASE WHEN b.internal_bad OR b.lo <= acc.high THEN 'seq'
-                                           WHEN b.dup_stored OR arrays_overlap(b.rep_ids, acc.claimed) THEN 'duplicate'
-                                           WHEN b.dup_in_batch THEN 'duplicate_in_batch' ELSE 'accepted' END) = 'accepted'
-                 THEN b.hi ELSE acc.high END,
-    'claimed', CASE WHEN b.pre IS NULL AND NOT (b.internal_bad OR b.lo <= acc.high)
-                         AND NOT (b.dup_stored OR arrays_overlap(b.rep_ids, acc.claimed)) AND NOT b.dup_in_batch
-                    THEN array_union(acc.claimed, b.rep_ids) ELSE acc.claimed END,
-    'out', concat(acc.out, array(named_struct(
-        'batch_no', b.batch_no,
-        'outcome', coalesce(b.pre, CASE WHEN b.internal_bad OR b.lo <= acc.high THEN 'seq'
-                                        WHEN b.dup_stored OR arrays_overlap(b.rep_ids, acc.claimed) THEN 'duplicate'
-                                        WHEN b.dup_in_batch THEN 'duplicate_in_batch' ELSE 'accepted' END),
-        'high_before', acc.high,
-        'dup_ids', array_intersect(b.rep_ids, acc.claimed))))),
-  acc -> acc.out)
-"""
-
-
-def fold_outcomes(summ: DataFrame) -> DataFrame:
-    """Per trace, fold batch summaries in batch_no order.
-
-    The per-trace list holds one small struct per *batch* (not per event).
-    For very long traces, run ``ingest`` incrementally over batch_no ranges
-    (see ``streaming.incremental``) so each fold sees a bounded slice.
-    """
-    b = F.struct("batch_no", "pre", "lo", "hi", "internal_bad", "dup_stored", "dup_in_batch", "rep_ids")
-    per = (summ.groupBy("trace_id")
-           .agg(F.array_sort(F.collect_list(b)).alias("bs"), F.max("high0").alias("high0")))
-    res = per.select("trace_id", F.explode_outer(F.expr(_FOLD)).alias("o")).where(F.col("o").isNotNull())
-    return res.select("trace_id", "o.batch_no", "o.outcome", "o.high_before", "o.dup_ids")
-
-
-def batch_outcomes(subs: DataFrame, traces: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+_SUMMARY = ["pre", "lo", "hi", "internal_bad", "dup_stored", "dup_in_batch", "rep_ids", "high0"]
+_RUN = 256  # batch numbers in a slice of the running maximum
+
+
+def _earlier_high(summ: DataFrame) -> DataFrame:
+    """Add ``high_before``: the trace's stored high-water mark and the ``hi`` of
+    its earlier batches, as if each one that its own rows do not rule out had
+    been accepted. The maximum runs within slices of ``_RUN`` batch numbers and
+    over slice maxima, so a trace with very many batches is spread over tasks."""
+    open_hi = F.when(F.col("pre").isNull() & ~F.col("internal_bad"), F.col("hi"))
+    x = summ.withColumn("_hi", open_hi).withColumn("_slice", F.floor(F.col("batch_no") / _RUN).cast("int"))
+    tops = x.groupBy("trace_id", "_slice").agg(F.max("_hi").alias("_top"))
+    slices = Window.partitionBy("trace_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.select("trace_id", "_slice", F.max("_top").over(slices).alias("_sliced"))
+    inside = Window.partitionBy("trace_id", "_slice").orderBy("batch_no").rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("_within", F.max("_hi").over(inside)).join(tops, ["trace_id", "_slice"])
+    high = F.greatest("high0", F.coalesce("_within", F.lit(0)), F.coalesce("_sliced", F.lit(0)))
+    return x.withColumn("high_before", high.cast("int")).drop("_hi", "_slice", "_within", "_sliced")
+
+
+def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batch summaries in the order of (trace, batch_no): outcome of each, with
+    the trace's high-water mark and claimed ids as the only state."""
+    trace, high, claimed = None, 0, set()
+    for b in batches:
+        out, before, dups = [], [], []
+        cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ["trace_id", *_SUMMARY]]
+        for t, pre, lo, hi, internal, stored, twice, ids, high0 in zip(*cols):
+            if t != trace:
+                trace, high, claimed = t, high0, set()
+            again = [i for i in dict.fromkeys(ids) if i in claimed]
+            outcome = pre or ("seq" if internal or lo <= high else "duplicate" if stored or again
+                              else "duplicate_in_batch" if twice else "accepted")
+            out.append(outcome)
+            before.append(high)
+            dups.append(again)
+            if outcome == "accepted":
+                high = hi
+                claimed.update(ids)
+        yield pa.RecordBatch.from_arrays(
+            [b.column(b.schema.get_field_index("trace_id")), b.column(b.schema.get_field_index("batch_no")), pa.array(out, pa.string()),
+             pa.array(before, pa.int32()), pa.array(dups, pa.list_(pa.string()))],
+            ["trace_id", "batch_no", "outcome", "high_before", "dup_ids"])
+
+
+def fold_outcomes(summ: DataFrame, replay_all: bool = False) -> DataFrame:
+    """The outcome of each batch against what its trace has accepted.
+
+    A trace is free of conflicts if every batch that its own rows do not rule
+    out stands above the running maximum of the earlier ones, repeats no
+    stored or claimed id and none of its own: then all of these are accepted.
+    Only traces with a conflict are replayed in order of batch_no, a batch at
+    a time, in bounded memory. ``replay_all`` replays every trace."""
+    runs = _earlier_high(summ)
+    clash = (F.col("pre").isNull() & ~F.col("internal_bad")
+             & ((F.col("lo") <= F.col("high_before")) | F.col("dup_stored") | F.col("dup_in_batch") | (F.size("rep_ids") > 0)))
+    clashing = runs.groupBy("trace_id").agg(F.max(clash).alias("_clash"))
+    runs = runs.join(clashing, "trace_id")
+    if replay_all:
+        runs = runs.withColumn("_clash", F.lit(True))
+    free = runs.where(~F.col("_clash")).select(
+        "trace_id", "batch_no", F.when(F.col("pre").isNotNull(), F.col("pre")).when(F.col("internal_bad"), "seq").otherwise("accepted").alias("outcome"),
+        "high_before", F.array().cast("array<string>").alias("dup_ids"))
+    replayed = (runs.where("_clash").select("trace_id", "batch_no", *_SUMMARY)
+                .repartition("trace_id").sortWithinPartitions("trace_id", "batch_no")
+                .mapInArrow(_replay, "trace_id string, batch_no int, outcome string, high_before int, dup_ids array<string>"))
+    return free.unionByName(replayed)
+
+
+def batch_outcomes(subs: DataFrame, traces: DataFrame, stored: DataFrame | None = None, replay_all: bool = False) -> DataFrame:
     """V18/V19/V20 + A2/A3: one row per batch with outcome and response fields."""
     counts = id_counts(subs)
     rows = batch_rows(flag_ids(subs, stored, counts))
     summ = batch_summaries(rows, traces, stored, in_batch_duplicates(counts))
-    out = fold_outcomes(summ)
+    out = fold_outcomes(summ, replay_all)
     status = F.create_map(*[x for k, v in OUTCOME_STATUS.items() for x in (F.lit(k), F.lit(v))])
     acc = F.col("outcome") == "accepted"
     return (summ.join(out, BATCH_KEYS)
@@ -199,6 +232,12 @@ def batch_outcomes(subs: DataFrame, traces: DataFrame, stored: DataFrame | None
                     F.when(acc, F.col("hi")).alias("seq_high"), "high_before", "lo", "rep_ids", "dup_ids"))
 
 
+def state_conflicts(subs: DataFrame, traces: DataFrame) -> DataFrame:
+    """Batches refused for their trace's status, from their own rows (no fold)."""
+    summ = batch_summaries(batch_rows(subs.withColumn("_rep", F.lit(None).cast("boolean")).withColumn("_in_store", F.lit(None).cast("boolean"))), traces)
+    return summ.where(F.col("pre") == "state").select(*BATCH_KEYS, F.col("_status").alias("status"))
+
+
 def accepted_events(subs: DataFrame, outcomes: DataFrame) -> DataFrame:
     """The events of accepted batches, ready to append to the event table."""
     ok = outcomes.where(F.col("outcome") == "accepted").select(*BATCH_KEYS)
@@ -225,29 +264,3 @@ def violation_report(subs: DataFrame) -> DataFrame:
                       F.concat(F.size(errs).cast("string"), F.lit(" validation error(s)")).alias("summary"),
                       F.concat(F.lit('{"detail":"Validation failed","errors":['), F.array_join(err_json, ","),
                                F.lit("]}")).alias("body"))
-
-
-def batch_outcomes_in_rounds(spark, subs: DataFrame, traces: DataFrame, work_dir: str,
-                             batches_per_round: int = 32) -> DataFrame:
-    """V20 with a bounded fold: replay batch_no ranges in rounds, each folded
-    onto the state the previous rounds stored (accepted events: high-water
-    mark and ids). A trace's fold list never exceeds ``batches_per_round``
-    summaries. Each round's outcomes and accepted events are written under
-    ``work_dir`` (shared storage), which also cuts the lineage between rounds.
-    The number of rounds comes from one scalar aggregate (max batch_no)."""
-    events_path, outcomes_path = f"{work_dir}/events", f"{work_dir}/outcomes"
-    top = subs.agg(F.max("batch_no")).first()[0]
-    n_rounds = 0 if top is None else top // batches_per_round + 1
-    schema = "trace_id string, event_id string, seq int"
-    for r in range(n_rounds):
-        lo, hi = r * batches_per_round, (r + 1) * batches_per_round - 1
-        part = subs.where(F.col("batch_no").between(lo, hi))
-        stored = spark.read.parquet(events_path).select("trace_id", "event_id", "seq") if r else \
-            spark.createDataFrame([], schema)
-        out = batch_outcomes(part, traces, stored).withColumn("round", F.lit(r))
-        out.drop("rep_ids", "dup_ids", "lo").write.mode("append").parquet(outcomes_path)
-        done = spark.read.parquet(outcomes_path).where(F.col("round") == r)
-        accepted_events(part, done).select("trace_id", "event_id", "seq").write.mode("append").parquet(events_path)
-    if n_rounds == 0:
-        return batch_outcomes(subs, traces)
-    return spark.read.parquet(outcomes_path).drop("round")

@@ -187,9 +187,8 @@ SELECT trace_id, batch_no, status, concat('Trace status is ''', status, ''', exp
 FROM sub_outcomes WHERE outcome = 'state'"""))
 def state_conflicts(spark, sf):
     """Non-schema batches for traces that are no longer collecting."""
-    o = _outcomes(spark, sf).where(F.col("outcome") == "state")
-    st = B.tel_traces(spark, sf).select("trace_id", "status")
-    return o.join(st, "trace_id").select(
+    o = I.state_conflicts(B.tel_submissions(spark, sf), B.tel_traces(spark, sf))
+    return o.select(
         "trace_id", "batch_no", "status",
         F.concat(F.lit("Trace status is '"), F.col("status"), F.lit("', expected 'collecting'")).alias("detail"))
 
@@ -243,12 +242,8 @@ def violation_report(spark, sf):
 
 @query("ingestion_rounds", ORACLE_BATCH_OUTCOMES)
 def ingestion_rounds(spark, sf):
-    """V20 in rounds of batch_no ranges (bounded per-trace fold); must equal
-    the one-shot ``batch_outcomes``."""
-    import uuid
-    from tracewright.session import scratch_path
-    work = scratch_path(spark, f"tw-rounds-{uuid.uuid4().hex}")
-    out = I.batch_outcomes_in_rounds(spark, B.tel_submissions(spark, sf), B.tel_traces(spark, sf), work,
-                                     batches_per_round=8)
+    """V20 with every trace replayed batch by batch; must equal the plan that
+    replays only traces with conflicts (``batch_outcomes``)."""
+    out = I.batch_outcomes(B.tel_submissions(spark, sf), B.tel_traces(spark, sf), replay_all=True)
     return out.select("trace_id", "batch_no", "n_events", "outcome", "http_status", "accepted", "seq_high",
                       "high_before")

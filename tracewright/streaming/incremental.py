@@ -13,8 +13,8 @@ operators against the *stored* event table, which is the only state:
   traces refuse events through the status check (X5). No watermark and no
   unbounded operator state are needed.
 
-Feeding files in batch_no ranges (``maxFilesPerTrigger``) bounds the per-trace
-fold of each micro-batch, which is also how a very long history is replayed.
+The stored table is partitioned by epoch and by bucket of the trace, and sorted
+by (trace_id, seq): a micro-batch reads the state of its own traces only.
 """
 
 from __future__ import annotations
@@ -22,16 +22,22 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.operators import ingest as I
 from tracewright.schemas import SUBMISSION_TABLE
 from tracewright.session import scratch_path
 
+BUCKETS = 16
 EVENT_COLS = ["trace_id", "event_id", "seq", "ts_ms", "type", "actor_kind", "payload_json"]
 
 
+def bucket_of(trace_id: Column) -> Column:
+    """Bucket of the stored event table that holds a trace; a partition column, so reads of some traces are pruned."""
+    return F.pmod(F.xxhash64(trace_id), F.lit(BUCKETS)).cast("int")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -53,24 +59,30 @@ def ingest_epoch(spark: SparkSession, batch: DataFrame, epoch_id: int, traces: D
     stored = stored_events(spark, events_table, before_epoch=epoch_id)
     if stored is None:
         stored = spark.createDataFrame([], "trace_id string, event_id string, seq int")
+    else:  # state of the micro-batch's traces only, in the store's buckets that hold them
+        here = batch.select("trace_id").distinct().withColumn("bucket", bucket_of(F.col("trace_id")))
+        stored = stored.select("bucket", "trace_id", "event_id", "seq").join(here, ["bucket", "trace_id"], "left_semi")
     out = I.batch_outcomes(batch, traces, stored.select("trace_id", "event_id", "seq"))
     out = out.select("trace_id", "batch_no", "n_events", "outcome", "http_status", "accepted", "seq_high",
                      "high_before").withColumn("epoch", F.lit(epoch_id))
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(outcomes_table)
     done = spark.read.parquet(outcomes_table).where(F.col("epoch") == epoch_id)
-    acc = I.accepted_events(batch, done).select(*EVENT_COLS).withColumn("epoch", F.lit(epoch_id))
-    acc.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(events_table)
+    acc = I.accepted_events(batch, done).select(*EVENT_COLS).withColumn("epoch", F.lit(epoch_id)).withColumn("bucket", bucket_of(F.col("trace_id")))
+    (acc.repartition("bucket").sortWithinPartitions("bucket", "trace_id", "seq")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch", "bucket").parquet(events_table))
 
 
 def run_incremental(spark: SparkSession, source_dir: str, traces: DataFrame, work_dir: str,
-                    files_per_trigger: int = 1) -> tuple[str, str]:
-    """Run the stream to completion (``availableNow``); returns the paths of
-    the stored event table and the outcome table."""
+                    files_per_trigger: int | None = None) -> tuple[str, str]:
+    """Process what has arrived since the last run (``availableNow``) and return
+    the paths of the stored event table and the outcome table. Without
+    ``files_per_trigger`` all new files are one epoch. ``traces`` is the trace table as it stands now."""
     events_table = os.path.join(work_dir, "events")
     outcomes_table = os.path.join(work_dir, "outcomes")
-    stream = (spark.readStream.schema(SUBMISSION_TABLE).option("maxFilesPerTrigger", files_per_trigger)
-              .parquet(source_dir))
-    q = (stream.writeStream
+    reader = spark.readStream.schema(SUBMISSION_TABLE)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    q = (reader.parquet(source_dir).writeStream
          .foreachBatch(lambda df, eid: ingest_epoch(spark, df, eid, traces, events_table, outcomes_table))
          .option("checkpointLocation", os.path.join(work_dir, "checkpoint"))
          .trigger(availableNow=True)
@@ -79,36 +91,23 @@ def run_incremental(spark: SparkSession, source_dir: str, traces: DataFrame, wor
     return events_table, outcomes_table
 
 
-def stage_submissions(spark: SparkSession, subs: DataFrame, staging: str, source: str,
-                      batches_per_file: int) -> None:
-    """Write submissions as one file per batch_no range (one job,
-    ``partitionBy``), then move the files into the source folder with
-    increasing modification times so the file source reads them in order."""
-    ranged = subs.withColumn("_range", (F.col("batch_no") / batches_per_file).cast("int"))
-    ranged.repartition("_range").write.mode("overwrite").partitionBy("_range").parquet(staging)
-    jvm = spark.sparkContext._jvm
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(staging).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(Path(source))
-    parts = [st.getPath() for st in fs.listStatus(Path(staging)) if st.getPath().getName().startswith("_range=")]
-    parts.sort(key=lambda p: int(p.getName().split("=", 1)[1]))
-    base = 1_000_000_000_000
-    for i, part in enumerate(parts):
-        for st in fs.listStatus(part):
-            name = st.getPath().getName()
-            if name.endswith(".parquet"):
-                dst = Path(os.path.join(source, f"{i:08d}-{name}"))
-                fs.rename(st.getPath(), dst)
-                fs.setTimes(dst, base + i * 1000, -1)
+def arrive(subs: DataFrame, source_dir: str) -> None:
+    """Append submissions to the source folder, by as many tasks as the shuffle has."""
+    subs.select(*SUBMISSION_TABLE.names).repartition("trace_id", "batch_no").write.mode("append").parquet(source_dir)
 
 
 def replay_incremental(spark: SparkSession, subs: DataFrame, traces: DataFrame,
-                       batches_per_file: int = 4) -> DataFrame:
-    """Replay submissions through the stream in batch_no ranges; returns the
+                       batches_per_epoch: int = 2) -> DataFrame:
+    """Replay submissions through the stream: batch_no ranges arrive one after
+    another and each is an epoch against what the earlier ones stored; returns the
     stored (accepted) events. Uses a fresh folder under the shared checkpoint
     folder per run."""
     work = scratch_path(spark, f"tw-stream-{uuid.uuid4().hex}")
-    src = os.path.join(work, "incoming")
-    stage_submissions(spark, subs, os.path.join(work, "staging"), src, batches_per_file)
-    events_table, _ = run_incremental(spark, src, traces, work)
-    return spark.read.parquet(events_table)
+    source = os.path.join(work, "incoming")
+    top = subs.agg(F.max("batch_no")).first()[0]
+    events_table = os.path.join(work, "events")
+    for lo in range(0, 1 if top is None else top + 1, batches_per_epoch):
+        arrive(subs.where(F.col("batch_no").between(lo, lo + batches_per_epoch - 1)), source)
+        events_table, _ = run_incremental(spark, source, traces, work)
+    stored = stored_events(spark, events_table)
+    return stored if stored is not None else spark.createDataFrame([], SUBMISSION_TABLE)
