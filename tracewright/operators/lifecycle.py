@@ -12,8 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.hashing import content_address
+from tracewright.functions.jsonrules import TRUE_WORDS
+from tracewright.operators.timeline import PART_EVENTS
 from tracewright.operators.validate import document_violations
-from tracewright.schemas import FINALIZE_RULES, TRACE_CREATE_RULES, TRACE_VERSION
+from tracewright.schemas import FINALIZE_RULES, SCORE_NAMES, TRACE_CREATE_RULES, TRACE_VERSION
+
+INGESTION_TYPE = "struct<mode:string,client_session_id:string,seq_last:int,dedupe_policy:string,clock_skew_ms_est:int>"
 
 
 def _js(doc: str, path: str) -> Column:
@@ -30,22 +34,85 @@ def register_traces(bodies: DataFrame, created: DataFrame) -> DataFrame:
     bad = document_violations(bodies, ["trace_id"], "body_json", TRACE_CREATE_RULES).select("trace_id").distinct()
     ok = bodies.join(bad, "trace_id", "left_anti")
     b = "body_json"
-    bool_or = lambda p, d: F.coalesce(F.expr(f"try_variant_get(try_parse_json({b}), '$.{p}', 'boolean')"),
-                                      F.lit(d))
-    return ok.join(created, "trace_id").select(
+    doc = ok.join(created, "trace_id").withColumn("_v", F.expr(f"try_parse_json({b})"))
+
+    def flag(path: str, default: bool) -> Column:
+        """Booleans as the rules read them: true/false, 0/1 and the usual words."""
+        word = F.lower(F.trim(F.expr(f"try_variant_get(_v, '$.{path}', 'string')")))
+        return F.coalesce(word.isin(*TRUE_WORDS, "1.0"), F.lit(default))
+
+    def strings(path: str) -> Column:
+        return F.coalesce(F.expr(f"try_variant_get(_v, '$.{path}', 'array<string>')"), F.array().cast("array<string>"))
+
+    return doc.select(
         "trace_id", F.lit(TRACE_VERSION).alias("trace_version"), F.lit("collecting").alias("status"),
         "created_at_ms",
         _js(b, "repo.repo_id").alias("repo_id"), _js(b, "repo.commit_base").alias("commit_base"),
         _js(b, "repo.remote_url").alias("remote_url"), _js(b, "repo.default_branch").alias("default_branch"),
+        _js(b, "repo.repo_fingerprint.tree_hash").alias("tree_hash"),
+        _js(b, "repo.repo_fingerprint.dependencies_lock_hash").alias("dependencies_lock_hash"),
         _js(b, "task.task_id").alias("task_id"),
         _js(b, "task.bug_report.title").alias("title"), _js(b, "task.bug_report.description").alias("description"),
         _js(b, "task.bug_report.repro_steps").alias("repro_steps"),
         _js(b, "task.bug_report.expected").alias("expected"), _js(b, "task.bug_report.actual").alias("actual"),
+        strings("task.bug_report.links").alias("links"), strings("task.labels").alias("labels"),
         _js(b, "developer.developer_id").alias("developer_id"),
         F.coalesce(_js(b, "developer.experience_level"), F.lit("unknown")).alias("experience_level"),
-        bool_or("developer.consent_flags.allow_llm_judge", True).alias("allow_llm_judge"),
-        _js(b, "environment.ide.name").alias("ide_name"), _js(b, "environment.os").alias("os"),
-        bool_or("environment.containerized", False).alias("containerized"))
+        flag("developer.consent_flags.store_raw_code", True).alias("store_raw_code"),
+        flag("developer.consent_flags.store_terminal_output", True).alias("store_terminal_output"),
+        flag("developer.consent_flags.allow_llm_judge", True).alias("allow_llm_judge"),
+        _js(b, "environment.os").alias("os"), _js(b, "environment.ide.name").alias("ide_name"),
+        _js(b, "environment.ide.version").alias("ide_version"), strings("environment.language").alias("language"),
+        flag("environment.containerized", False).alias("containerized"), _js(b, "environment.timezone").alias("timezone"))
+
+
+def nested_documents(traces: DataFrame, finals: DataFrame, tests: DataFrame, judge: DataFrame) -> DataFrame:
+    """One nested document per trace: repo, task, developer,
+    environment, final_state, qa, and null ingestion and artifacts, each
+    section a typed struct. Events and invocations of a trace may be many and
+    stand beside it in bounded parts (``event_parts``, ``invocation_parts``)."""
+    f = finals.select("trace_id", F.struct("commit_head", F.when(F.col("pr_present"), F.struct(
+        F.col("pr_title").alias("title"), F.col("pr_description").alias("description"),
+        F.col("pr_diff_blob_id").alias("diff_blob_id"))).alias("pr")).alias("final_state"))
+    t = tests.select("trace_id", F.struct("runner", "container_image", "n_invocations", "final_passed").alias("tests"))
+    j = judge.select("trace_id", F.struct("model", "rubric_version", F.struct(*SCORE_NAMES).alias("scores"), "overall",
+                                          "rationale_blob_id", "flags").alias("judge"))
+    doc = traces.join(f, "trace_id", "left").join(t, "trace_id", "left").join(j, "trace_id", "left")
+    qa = F.when(F.col("tests").isNotNull() | F.col("judge").isNotNull(), F.struct(F.lit(True).alias("schema_valid"), "tests", "judge"))
+    return doc.select(
+        "trace_version", "trace_id", "created_at_ms", "status",
+        F.struct("repo_id", "remote_url", "default_branch", "commit_base", F.struct("tree_hash", "dependencies_lock_hash").alias("repo_fingerprint")).alias("repo"),
+        F.struct("task_id", F.struct("title", "description", "repro_steps", "expected", "actual", "links").alias("bug_report"), "labels").alias("task"),
+        F.struct("developer_id", "experience_level", F.struct("store_raw_code", "store_terminal_output", "allow_llm_judge").alias("consent_flags")).alias("developer"),
+        F.struct("os", F.struct(F.col("ide_name").alias("name"), F.col("ide_version").alias("version")).alias("ide"), "language", "containerized", "timezone").alias("environment"),
+        F.lit(None).cast(INGESTION_TYPE).alias("ingestion"), F.lit(None).cast("map<string,string>").alias("artifacts"), "final_state", qa.alias("qa"))
+
+
+def event_parts(events: DataFrame, size: int = PART_EVENTS) -> DataFrame:
+    """A document's events as arrays of typed structs in the order of
+    ``seq``, ``size`` sequence numbers a part: (trace_id, part_no, events)."""
+    one = F.struct("seq", "event_id", "ts_ms", "type", F.struct(F.col("actor_kind").alias("kind"), F.lit(None).cast("string").alias("id")).alias("actor"),
+                   F.col("payload_json").alias("payload"))
+    return (events.withColumn("part_no", ((F.col("seq") - 1) / size).cast("int"))
+            .groupBy("trace_id", "part_no").agg(F.array_sort(F.collect_list(one)).alias("events")))
+
+
+def invocation_parts(invocations: DataFrame, width_ms: int = 3_600_000) -> DataFrame:
+    """Q2: a trace's invocations as arrays of structs in the order of
+    (ts_ms, invocation_id), an hour of time a part: (trace_id, part_no, invocations)."""
+    one = F.struct("ts_ms", "invocation_id", "command", "exit_code", "duration_ms", "passed", "stdout_blob_id", "stderr_blob_id")
+    return (invocations.withColumn("part_no", F.floor(F.col("ts_ms") / width_ms).cast("long"))
+            .groupBy("trace_id", "part_no").agg(F.array_sort(F.collect_list(one)).alias("invocations")))
+
+
+def upsert_qa(existing: DataFrame, tests: DataFrame, judge: DataFrame) -> DataFrame:
+    """QA sections merged by trace: a new section replaces the stored
+    one, a missing one leaves it as it is. ``existing`` has (trace_id, tests,
+    judge) structs, either may be null; ``tests`` and ``judge`` have (trace_id,
+    tests) and (trace_id, judge)."""
+    new = tests.withColumnRenamed("tests", "_t").join(judge.withColumnRenamed("judge", "_j"), "trace_id", "full")
+    return existing.join(new, "trace_id", "full").select(
+        "trace_id", F.coalesce("_t", "tests").alias("tests"), F.coalesce("_j", "judge").alias("judge"))
 
 
 def finalize_outcomes(requests: DataFrame, traces: DataFrame, now_ms: int) -> DataFrame:
@@ -91,10 +158,13 @@ def final_states(requests: DataFrame) -> DataFrame:
 def test_invocations(runs: DataFrame) -> DataFrame:
     """Q1: run results -> invocation records. passed = (exit_code == 0);
     stdout/stderr become content-addressed blob ids, NULL when empty; P12
-    duration is given or end - start."""
+    duration as given, else ended_ms - started_ms where the runs have these."""
     def blob(c: str) -> Column:
         return F.when(F.col(c).isNotNull() & (F.length(c) > 0), content_address(F.col(c)))
-    return runs.select("trace_id", "invocation_id", "ts_ms", "command", "exit_code", "duration_ms",
+    spent = F.col("duration_ms")
+    if {"started_ms", "ended_ms"} <= set(runs.columns):
+        spent = F.coalesce(spent, F.col("ended_ms") - F.col("started_ms"))
+    return runs.select("trace_id", "invocation_id", "ts_ms", "command", "exit_code", spent.cast("long").alias("duration_ms"),
                        (F.col("exit_code") == 0).alias("passed"),
                        blob("stdout").alias("stdout_blob_id"), blob("stderr").alias("stderr_blob_id"))
 

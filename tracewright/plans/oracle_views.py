@@ -58,16 +58,20 @@ FROM (SELECT doc_id, concat('{"scores":{', '"root_cause_identification":', """ +
       '","flags":[', CASE WHEN doc_id % 13 = 0 THEN '"made_up"' WHEN quality = 1 THEN '"exemplary_trace"' ELSE '' END, ']}') AS body
       FROM labels) x"""),
     "tel_trace_bodies": (("tel_traces",), """
-SELECT trace_id, concat('{"repo":{"repo_id":"r', n, '","commit_base":"c', n, '"},',
-  '"task":{"bug_report":{"title":', CASE WHEN n % 11 = 3 THEN CAST(n AS VARCHAR) ELSE concat('"', bug_title, '"') END,
+SELECT trace_id, concat('{"repo":{"repo_id":"r', n, '","commit_base":"c', n, '"',
+  CASE WHEN n % 3 = 0 THEN concat(',"remote_url":"git://h/r', n, '"') ELSE '' END,
+  CASE WHEN n % 2 = 0 THEN concat(',"repo_fingerprint":{"tree_hash":"t', n, '","dependencies_lock_hash":null}') ELSE '' END,
+  '},"task":{"task_id":"k', n, '","bug_report":{"title":', CASE WHEN n % 11 = 3 THEN CAST(n AS VARCHAR) ELSE concat('"', bug_title, '"') END,
   ',"description":"d', n, '","repro_steps":', CASE WHEN repro_steps IS NULL THEN 'null' ELSE concat('"', repro_steps, '"') END,
-  '},"labels":["l', n % 4, '"]},',
-  '"developer":', CASE WHEN n % 5 = 1 THEN '{"experience_level":"mid"}'
-                       WHEN n % 7 = 2 THEN concat('{"developer_id":"d', n, '","experience_level":"expert"}')
-                       ELSE concat('{"developer_id":"d', n, '"}') END,
-  ',"environment":', CASE WHEN n % 13 = 4 THEN '{"os":"linux"}'
-                          ELSE concat('{"ide":{"name":"ide', n % 3, '"},"language":["python"],"containerized":',
-                                      CASE WHEN n % 2 = 0 THEN 'true' ELSE 'false' END, '}') END, '}') AS body_json
+  CASE WHEN n % 19 = 6 THEN ',"links":[1,"a",2]' WHEN n % 3 = 1 THEN concat(',"links":["u', n, '","v"],"expected":"e', n, '"') ELSE '' END,
+  '},"labels":["l', n % 4, '"]},"developer":',
+  CASE WHEN n % 5 = 1 THEN '{"experience_level":"mid"}' WHEN n % 7 = 2 THEN concat('{"developer_id":"d', n, '","experience_level":"expert"}')
+       ELSE concat('{"developer_id":"d', n, '"', CASE WHEN n % 17 = 5 THEN ',"consent_flags":{"store_raw_code":"maybe"}'
+            WHEN n % 4 = 0 THEN ',"consent_flags":{"store_raw_code":false,"allow_llm_judge":"no"}' ELSE '' END, '}') END,
+  ',"environment":', CASE WHEN n % 13 = 4 THEN '{"os":"linux"}' ELSE concat('{"ide":{"name":"ide', n % 3,
+       CASE WHEN n % 2 = 0 THEN concat('","version":"1.', n % 4) ELSE '' END, '"}', CASE WHEN n % 3 = 2 THEN ',"os":"linux"' ELSE '' END,
+       ',"language":["python"],"containerized":', CASE WHEN n % 2 = 0 THEN 'true' ELSE 'false' END,
+       CASE WHEN n % 6 = 0 THEN ',"timezone":"UTC"' ELSE '' END, '}') END, '}') AS body_json
 FROM (SELECT *, CAST(substring(trace_id, 3) AS BIGINT) AS n FROM tel_traces) t"""),
     "tel_finalize_bodies": (("tel_traces",), """
 SELECT trace_id, CASE WHEN n % 9 = 0 THEN '{}' WHEN n % 9 = 1 THEN '{"final_state":{}}'

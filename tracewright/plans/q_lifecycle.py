@@ -208,3 +208,76 @@ def trace_acceptance(spark, sf):
     v = v.when(~F.col("overall").between(0, 5), "overall out of range") \
          .when(F.col("rationale_blob_id").isNull(), "missing rationale blob").otherwise("ok")
     return x.select("trace_id", v.alias("verdict"))
+
+
+_NO = "CAST(NULL AS VARCHAR)"
+_BOOL = "coalesce(lower(json_extract_string(body_json, '$.{p}')) IN ('1', 'on', 't', 'true', 'y', 'yes'), {d})"
+_DOC_FLAT = f"""
+SELECT r.trace_id, '1.0' AS trace_version, t.status, r.created_at_ms,
+       json_extract_string(body_json, '$.repo.repo_id') AS repo_id, json_extract_string(body_json, '$.repo.remote_url') AS remote_url,
+       json_extract_string(body_json, '$.repo.repo_fingerprint.tree_hash') AS tree_hash, json_extract_string(body_json, '$.task.task_id') AS task_id,
+       r.title, r.expected, coalesce(array_to_string(json_extract_string(body_json, '$.task.bug_report.links[*]'), ','), '') AS links,
+       array_to_string(json_extract_string(body_json, '$.task.labels[*]'), ',') AS labels,
+       {_BOOL.format(p='developer.consent_flags.store_raw_code', d='true')} AS store_raw_code,
+       {_BOOL.format(p='developer.consent_flags.allow_llm_judge', d='true')} AS allow_llm_judge,
+       json_extract_string(body_json, '$.environment.os') AS os, json_extract_string(body_json, '$.environment.ide.version') AS ide_version,
+       json_extract_string(body_json, '$.environment.timezone') AS timezone, f.commit_head, f.pr_title, q.runner, q.n_invocations, q.final_passed,
+       j.overall, j.clarity, j.rationale_blob_id, true AS ingestion_null
+FROM pk_reg r JOIN tel_traces t USING (trace_id) LEFT JOIN pk_finals f USING (trace_id) LEFT JOIN lc_tests q USING (trace_id) LEFT JOIN jg_results j USING (trace_id)"""
+
+
+@query("trace_document_store", _sql(_DOC_FLAT))
+def trace_document_store(spark, sf):
+    """Nested documents written to the shared folder and read back, sections flattened for comparison."""
+    import uuid
+
+    from tracewright.session import scratch_path
+    tr = (q_packet.registered(spark, sf).drop("status").join(B.tel_traces(spark, sf).select("trace_id", "status"), "trace_id"))
+    path = scratch_path(spark, f"tw-documents-{uuid.uuid4().hex}")
+    LC.nested_documents(tr, q_packet.finals(spark, sf), _tests(spark, sf), q_judge._results(spark, sf)).write.parquet(path)
+    d = spark.read.parquet(path)
+    return d.select("trace_id", "trace_version", "status", "created_at_ms", "repo.repo_id", "repo.remote_url", "repo.repo_fingerprint.tree_hash",
+                    "task.task_id", "task.bug_report.title", "task.bug_report.expected", F.array_join("task.bug_report.links", ",").alias("links"),
+                    F.array_join("task.labels", ",").alias("labels"), "developer.consent_flags.store_raw_code", "developer.consent_flags.allow_llm_judge",
+                    "environment.os", F.col("environment.ide.version").alias("ide_version"), "environment.timezone", "final_state.commit_head",
+                    F.col("final_state.pr.title").alias("pr_title"), "qa.tests.runner", "qa.tests.n_invocations", "qa.tests.final_passed", "qa.judge.overall",
+                    F.col("qa.judge.scores.clarity").alias("clarity"), "qa.judge.rationale_blob_id", F.col("ingestion").isNull().alias("ingestion_null"))
+
+
+@query("trace_event_arrays", _sql(f"""
+SELECT trace_id, CAST((seq - 1) // {PART_EVENTS} AS INT) AS part_no, CAST(row_number() OVER (PARTITION BY trace_id, (seq - 1) // {PART_EVENTS} ORDER BY seq) - 1 AS INT) AS nth,
+       seq, event_id, ts_ms, type, actor_kind, payload_json FROM tel_events"""))
+def trace_event_arrays(spark, sf):
+    """Events as arrays of typed structs in bounded parts, exploded with their positions for comparison."""
+    p = LC.event_parts(B.tel_events(spark, sf))
+    return p.select("trace_id", "part_no", F.posexplode("events").alias("nth", "e")).select(
+        "trace_id", "part_no", "nth", "e.seq", "e.event_id", "e.ts_ms", "e.type", F.col("e.actor.kind").alias("actor_kind"), F.col("e.payload").alias("payload_json"))
+
+
+@query("qa_upsert", _sql("""
+SELECT t.trace_id, CASE WHEN q.trace_id IS NOT NULL THEN q.runner WHEN n % 4 = 0 THEN 'stored' END AS runner,
+       CASE WHEN q.trace_id IS NOT NULL THEN q.n_invocations WHEN n % 4 = 0 THEN CAST(1 AS BIGINT) END AS n_invocations,
+       CASE WHEN j.trace_id IS NOT NULL THEN j.overall WHEN n % 3 = 0 THEN CAST(1.5 AS DOUBLE) END AS overall
+FROM (SELECT *, CAST(substring(trace_id, 3) AS BIGINT) AS n FROM tel_traces) t LEFT JOIN lc_tests q USING (trace_id) LEFT JOIN jg_results j USING (trace_id)"""))
+def qa_upsert(spark, sf):
+    """New test and judge sections upserted onto stored ones (kept where no new one came)."""
+    n = F.substring("trace_id", 3, 1 << 20).cast("bigint")
+    section = lambda runner, count: F.struct(runner.alias("runner"), count.alias("n_invocations"))
+    tr = B.tel_traces(spark, sf)
+    stored = tr.select("trace_id", F.when(n % 4 == 0, section(F.lit("stored"), F.lit(1).cast("long"))).alias("tests"),
+                       F.when(n % 3 == 0, F.struct(F.lit(1.5).alias("overall"))).alias("judge"))
+    tests = _tests(spark, sf).select("trace_id", section(F.col("runner"), F.col("n_invocations")).alias("tests"))
+    judge = q_judge._results(spark, sf).select("trace_id", F.struct("overall").alias("judge"))
+    return (LC.upsert_qa(stored, tests, judge).join(tr.select("trace_id"), "trace_id", "left_semi")
+            .select("trace_id", "tests.runner", "tests.n_invocations", "judge.overall"))
+
+
+@query("judge_rationale_blobs", _sql("""
+SELECT DISTINCT rationale_blob_id AS blob_id, rationale AS content, 'text/plain' AS content_type, CAST(octet_length(encode(rationale)) AS BIGINT) AS byte_length
+FROM jg_results WHERE rationale_blob_id NOT IN (SELECT concat('sha256:', sha256(text)) FROM documents)"""))
+def judge_rationale_blobs(spark, sf):
+    """Rationales as blobs to append, those not stored yet (first writer per content)."""
+    from tracewright.operators import blobs as BL
+    texts = q_judge._results(spark, sf).select("trace_id", F.col("rationale").alias("content"), F.lit("text/plain").alias("content_type"))
+    rows = BL.first_writer_rows(BL.blob_rows(texts), ["trace_id"])
+    return BL.new_only(rows, B.tel_blobs(spark, sf)).select("blob_id", "content", "content_type", "byte_length")

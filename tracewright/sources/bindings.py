@@ -243,26 +243,30 @@ def tel_judge_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tel_trace_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trace-create bodies, one per tel_traces row. Faults by the numeric id:
-    % 5 == 1 drops developer_id, % 7 == 2 bad experience_level, % 11 == 3 numeric
-    title, % 13 == 4 missing environment.ide."""
+    """Trace-create bodies with every field of the model, one per tel_traces row.
+    Faults by the numeric id: % 5 == 1 drops developer_id, % 7 == 2 bad
+    experience_level, % 11 == 3 numeric title, % 13 == 4 missing
+    environment.ide, % 17 == 5 bad consent flag, % 19 == 6 two bad links."""
     tr = tel_traces(spark, sf_dir)
     n = F.substring(F.col("trace_id"), 3, 1 << 20).cast("bigint")
     ns = n.cast("string")
-    title = F.when(n % 11 == 3, ns).otherwise(F.concat(F.lit('"'), F.col("bug_title"), F.lit('"')))
-    repro = F.when(F.col("repro_steps").isNull(), F.lit("null")) \
-             .otherwise(F.concat(F.lit('"'), F.col("repro_steps"), F.lit('"')))
-    dev = F.when(n % 5 == 1, F.lit('{"experience_level":"mid"}')) \
-           .when(n % 7 == 2, F.concat(F.lit('{"developer_id":"d'), ns, F.lit('","experience_level":"expert"}'))) \
-           .otherwise(F.concat(F.lit('{"developer_id":"d'), ns, F.lit('"}')))
-    env = F.when(n % 13 == 4, F.lit('{"os":"linux"}')) \
-           .otherwise(F.concat(F.lit('{"ide":{"name":"ide'), (n % 3).cast("string"),
-                               F.lit('"},"language":["python"],"containerized":'),
-                               F.when(n % 2 == 0, F.lit("true")).otherwise(F.lit("false")), F.lit("}")))
-    body = F.concat(F.lit('{"repo":{"repo_id":"r'), ns, F.lit('","commit_base":"c'), ns, F.lit('"},'),
-                    F.lit('"task":{"bug_report":{"title":'), title, F.lit(',"description":"d'), ns,
-                    F.lit('","repro_steps":'), repro, F.lit('},"labels":["l'), (n % 4).cast("string"), F.lit('"]},'),
-                    F.lit('"developer":'), dev, F.lit(',"environment":'), env, F.lit("}"))
+    text = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    title = F.when(n % 11 == 3, ns).otherwise(text('"', F.col("bug_title"), '"'))
+    repro = F.when(F.col("repro_steps").isNull(), F.lit("null")).otherwise(text('"', F.col("repro_steps"), '"'))
+    flags = (F.when(n % 17 == 5, F.lit(',"consent_flags":{"store_raw_code":"maybe"}'))
+             .when(n % 4 == 0, F.lit(',"consent_flags":{"store_raw_code":false,"allow_llm_judge":"no"}')).otherwise(F.lit("")))
+    dev = (F.when(n % 5 == 1, F.lit('{"experience_level":"mid"}'))
+           .when(n % 7 == 2, text('{"developer_id":"d', ns, '","experience_level":"expert"}'))
+           .otherwise(text('{"developer_id":"d', ns, '"', flags, "}")))
+    ide = text('{"ide":{"name":"ide', (n % 3).cast("string"), F.when(n % 2 == 0, text('","version":"1.', (n % 4).cast("string"))).otherwise(F.lit("")), '"}',
+               F.when(n % 3 == 2, F.lit(',"os":"linux"')).otherwise(F.lit("")), ',"language":["python"],"containerized":',
+               F.when(n % 2 == 0, F.lit("true")).otherwise(F.lit("false")), F.when(n % 6 == 0, F.lit(',"timezone":"UTC"')).otherwise(F.lit("")), "}")
+    env = F.when(n % 13 == 4, F.lit('{"os":"linux"}')).otherwise(ide)
+    repo = text('{"repo_id":"r', ns, '","commit_base":"c', ns, '"', F.when(n % 3 == 0, text(',"remote_url":"git://h/r', ns, '"')).otherwise(F.lit("")),
+                F.when(n % 2 == 0, text(',"repo_fingerprint":{"tree_hash":"t', ns, '","dependencies_lock_hash":null}')).otherwise(F.lit("")), "}")
+    links = (F.when(n % 19 == 6, F.lit(',"links":[1,"a",2]')).when(n % 3 == 1, text(',"links":["u', ns, '","v"],"expected":"e', ns, '"')).otherwise(F.lit("")))
+    body = text('{"repo":', repo, ',"task":{"task_id":"k', ns, '","bug_report":{"title":', title, ',"description":"d', ns, '","repro_steps":', repro, links,
+                '},"labels":["l', (n % 4).cast("string"), '"]},"developer":', dev, ',"environment":', env, "}")
     return tr.select("trace_id", body.alias("body_json"))
 
 
