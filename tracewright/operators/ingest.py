@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewright.functions.jsonrules import enum_message
-from tracewright.operators.validate import violations_array
-from tracewright.schemas import ENUMS, MAX_EVENTS_PER_BATCH, PAYLOAD_RULES
+from tracewright.functions.jsonrules import SparkDialect, enum_message
+from tracewright.operators.validate import explode_violations, violations_array
+from tracewright.schemas import ENUMS, ENVELOPE_RULES, MAX_EVENTS_PER_BATCH, PAYLOAD_RULES
 
 OUTCOME_STATUS = {
     "schema": 400, "missing": 404, "state": 409, "seq": 400,
@@ -66,6 +66,38 @@ def envelope_violations(subs: DataFrame) -> DataFrame:
     return subs.withColumn("env", env)
 
 
+def event_json_violations(events: DataFrame, keys: list[str], doc_col: str = "event_json") -> DataFrame:
+    """V3 on events as they are sent: envelope rules over the JSON of each event, with lax coercion."""
+    at = F.concat(F.lit("events."), F.col("pos").cast("string"), F.lit("."))
+    return explode_violations(violations_array(events, doc_col, {None: ENVELOPE_RULES}, prefix=at), keys)
+
+
+def typed_events(events: DataFrame, doc_col: str = "event_json") -> DataFrame:
+    """The envelope of each event's JSON as typed columns. Numbers are
+    read as the rules accept them ("5", 5.0, true); an absent event_id becomes a
+    digest of (trace_id, batch_no, pos); context is a struct, the payload stays JSON."""
+    d = SparkDialect("_v")
+    x = events.withColumn("_v", F.expr(f"try_parse_json(`{doc_col}`)"))
+    whole = lambda p: F.coalesce(F.expr(d.num(p)), F.expr(f"CAST({d.boolean(p)} AS INT)").cast("double")).cast("long")
+    text = lambda p: F.expr(d.text(p))
+    own = F.concat(F.lit("ev-"), F.sha2(F.concat_ws("/", "trace_id", F.col("batch_no").cast("string"), F.col("pos").cast("string")), 256))
+    context = F.struct(*[text(f"context.{n}").alias(n) for n in ("workspace_root", "branch", "commit_head", "correlation_id", "parent_event_id")])
+    has_context = F.coalesce(F.expr(f"{d.kind_expr('context')} = 'object'"), F.lit(False))
+    return x.select("trace_id", "batch_no", "pos", F.coalesce(text("event_id"), own).alias("event_id"), whole("seq").cast("int").alias("seq"),
+                    whole("ts_ms").alias("ts_ms"), text("type").alias("type"), text("actor.kind").alias("actor_kind"), text("actor.id").alias("actor_id"),
+                    F.when(has_context, context).alias("context"), F.to_json(F.expr(d.sub("payload"))).alias("payload_json"))
+
+
+def request_sizes(requests: DataFrame, events: DataFrame, key: str) -> DataFrame:
+    """V4: events per request, requests without any included: (key, n_events, error)."""
+    n = events.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    out = requests.select(key).distinct().join(n, key, "left").withColumn("n_events", F.coalesce("_n", F.lit(0)).cast("long"))
+    error = (F.when(F.col("n_events") == 0, F.lit("List should have at least 1 item after validation, not 0"))
+             .when(F.col("n_events") > MAX_EVENTS_PER_BATCH, F.concat(F.lit(f"List should have at most {MAX_EVENTS_PER_BATCH} items after validation, not "),
+                                                                      F.lit(str(MAX_EVENTS_PER_BATCH + 1)))))
+    return out.select(key, "n_events", error.alias("error"))
+
+
 def _non_null(arr: str) -> Column:
     return F.size(F.filter(F.col(arr), lambda x: x.isNotNull()))
 

@@ -45,6 +45,15 @@ SELECT trace_id, CAST(floor((seq - 1) / 7.0) AS INT) AS batch_no, CAST((seq - 1)
        CASE WHEN CAST(substring(event_id, 4) AS BIGINT) % 89 = 0 THEN coalesce(lag(event_id) OVER (PARTITION BY trace_id ORDER BY seq), event_id) ELSE event_id END AS event_id,
        CAST(CASE WHEN CAST(substring(event_id, 4) AS BIGINT) % 97 = 0 THEN seq - 1 ELSE seq END AS INT) AS seq, ts_ms, type, actor_kind, payload_json
 FROM tel_events"""),
+    "tel_event_json": (("tel_submissions",), """
+SELECT trace_id, batch_no, pos, concat('{', CASE WHEN n % 47 = 7 THEN '' ELSE concat('"event_id":"', event_id, '",') END,
+  '"seq":', CASE WHEN n % 23 = 1 THEN concat('"', seq, '"') WHEN n % 29 = 2 THEN concat(seq, '.5') WHEN n % 31 = 3 THEN 'true' ELSE CAST(seq AS VARCHAR) END,
+  ',"ts_ms":', CASE WHEN n % 53 = 8 THEN '"12x"' ELSE CAST(ts_ms AS VARCHAR) END, ',"type":"', type, '"',
+  CASE WHEN n % 37 = 4 THEN '' WHEN n % 41 = 5 THEN concat(',"actor":{"kind":"', actor_kind, '","id":7}')
+       ELSE concat(',"actor":{"kind":"', actor_kind, '","id":"a', n % 5, '"}') END,
+  CASE WHEN n % 43 = 6 THEN ',"context":{"branch":1}' WHEN n % 2 = 0 THEN ',"context":{"branch":"main","commit_head":null}' ELSE '' END,
+  ',"payload":', payload_json, '}') AS event_json
+FROM (SELECT *, CAST(substring(event_id, 4) AS BIGINT) AS n FROM tel_submissions) s"""),
     "tel_judge_raw": ((), """
 SELECT concat('t-', doc_id) AS trace_id,
        CASE WHEN doc_id % 19 = 0 THEN '' WHEN doc_id % 23 = 0 THEN substring(body, 1, 60)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracewright.functions.jsonrules import enum_message
+from tracewright.functions.jsonrules import DuckDialect, compile_rules, enum_message
 from tracewright.operators import ingest as I
 from tracewright.plans.oracle_views import with_views
 from tracewright.plans.q_validate import duck_payload_array
 from tracewright.plans.registry import query
-from tracewright.schemas import ENUMS
+from tracewright.schemas import ENUMS, ENVELOPE_RULES
 from tracewright.sources import bindings as B
 
 
@@ -247,3 +247,36 @@ def ingestion_rounds(spark, sf):
     out = I.batch_outcomes(B.tel_submissions(spark, sf), B.tel_traces(spark, sf), replay_all=True)
     return out.select("trace_id", "batch_no", "n_events", "outcome", "http_status", "accepted", "seq_high",
                       "high_before")
+
+
+@query("event_json_violations", with_views(f"""
+SELECT trace_id, batch_no, pos, v.idx AS idx, v.field AS field, v.code AS code, v.message AS message
+FROM (SELECT trace_id, batch_no, pos, unnest({compile_rules(DuckDialect('event_json'), ENVELOPE_RULES, "concat('events.', pos, '.')")}) AS v
+      FROM tel_event_json) x WHERE v IS NOT NULL""", "tel_event_json"))
+def event_json_violations(spark, sf):
+    """V3: envelope rules on events as they are sent (lax numbers, actor, context, event_id)."""
+    return I.event_json_violations(B.tel_event_json(spark, sf), ["trace_id", "batch_no", "pos"])
+
+
+@query("event_json_typed", with_views("""
+SELECT trace_id, batch_no, pos, coalesce(json_extract_string(event_json, '$.event_id'), concat('ev-', sha256(concat(trace_id, '/', batch_no, '/', pos)))) AS event_id,
+       CASE WHEN json_type(event_json, '$.seq') = 'BOOLEAN' THEN 1 ELSE CAST(trunc(CAST(json_extract_string(event_json, '$.seq') AS DOUBLE)) AS INT) END AS seq,
+       TRY_CAST(json_extract_string(event_json, '$.ts_ms') AS BIGINT) AS ts_ms, json_extract_string(event_json, '$.actor.id') AS actor_id,
+       json_extract_string(event_json, '$.context.branch') AS branch, json_type(event_json, '$.context') IS NOT NULL AS has_context
+FROM tel_event_json""", "tel_event_json"))
+def event_json_typed(spark, sf):
+    """Envelope JSON to typed columns, ids made where absent."""
+    t = I.typed_events(B.tel_event_json(spark, sf))
+    return t.select("trace_id", "batch_no", "pos", "event_id", "seq", "ts_ms", "actor_id", "context.branch", F.col("context").isNotNull().alias("has_context"))
+
+
+@query("request_size_check", """
+WITH r AS (SELECT DISTINCT event_id // 101 AS request_id FROM events UNION SELECT max(event_id) // 101 + 1 FROM events),
+n AS (SELECT event_id // 101 AS request_id, count(*) AS n FROM events GROUP BY 1)
+SELECT request_id, coalesce(n, 0) AS n_events, CASE WHEN n IS NULL THEN 'List should have at least 1 item after validation, not 0'
+       WHEN n > 100 THEN 'List should have at most 100 items after validation, not 101' END AS error FROM r LEFT JOIN n USING (request_id)""")
+def request_size_check(spark, sf):
+    """V4 with requests of 101 events and one without any."""
+    ev = B.table(spark, sf, "events").select(F.expr("event_id div 101").alias("request_id"))
+    last = ev.agg((F.max("request_id") + 1).alias("request_id"))
+    return I.request_sizes(ev.unionByName(last), ev, "request_id")

@@ -112,6 +112,15 @@ PAYLOAD_RULES: dict[str, tuple[Field, ...]] = {
     "navigation": (Field("file_path", "str"), _opt("symbol", "str"), _opt("line", "int")),
 }
 
+# Event envelope (the payload's own fields are PAYLOAD_RULES).
+ENVELOPE_RULES: tuple[Field, ...] = (
+    Field("event_id", "str", required=False), Field("seq", "int", ge=1), Field("ts_ms", "int", ge=0),
+    Field("type", "enum:event_type"), _obj("actor", "Actor"), Field("actor.kind", "enum:actor_kind"), _opt("actor.id", "str"),
+    _opt("context", "dict", "EventContext"), _opt("context.workspace_root", "str"), _opt("context.branch", "str"),
+    _opt("context.commit_head", "str"), _opt("context.correlation_id", "str"), _opt("context.parent_event_id", "str"),
+    Field("payload", "dict"),
+)
+
 # Judge raw output (scores object, overall, rationale, flags).
 JUDGE_RULES: tuple[Field, ...] = (_obj("scores", "JudgeScores"),) + tuple(
     Field(f"scores.{n}", "float", ge=0.0, le=5.0) for n in SCORE_NAMES

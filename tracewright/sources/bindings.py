@@ -211,6 +211,26 @@ def build_tel_submissions(te: DataFrame) -> DataFrame:
                     "ts_ms", "type", "actor_kind", "payload_json"))
 
 
+def tel_event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submitted events as JSON, (trace_id, batch_no, pos, event_json). Faults and
+    oddities by the event's number: % 23 == 1 seq as a string, % 29 == 2 fractional
+    seq, % 31 == 3 seq true, % 37 == 4 no actor, % 41 == 5 numeric actor.id,
+    % 43 == 6 numeric branch, % 47 == 7 no event_id, % 53 == 8 ts_ms "12x"."""
+    s = tel_submissions(spark, sf_dir)
+    n = F.substring(F.col("event_id"), 4, 1 << 20).cast("bigint")
+    seq = F.col("seq").cast("string")
+    value = (F.when(n % 23 == 1, F.concat(F.lit('"'), seq, F.lit('"'))).when(n % 29 == 2, F.concat(seq, F.lit(".5")))
+             .when(n % 31 == 3, F.lit("true")).otherwise(seq))
+    actor = (F.when(n % 37 == 4, F.lit("")).when(n % 41 == 5, F.concat(F.lit(',"actor":{"kind":"'), "actor_kind", F.lit('","id":7}')))
+             .otherwise(F.concat(F.lit(',"actor":{"kind":"'), "actor_kind", F.lit('","id":"a'), (n % 5).cast("string"), F.lit('"}'))))
+    context = F.when(n % 43 == 6, F.lit(',"context":{"branch":1}')).when(n % 2 == 0, F.lit(',"context":{"branch":"main","commit_head":null}')).otherwise(F.lit(""))
+    ident = F.when(n % 47 == 7, F.lit("")).otherwise(F.concat(F.lit('"event_id":"'), "event_id", F.lit('",')))
+    ts = F.when(n % 53 == 8, F.lit('"12x"')).otherwise(F.col("ts_ms").cast("string"))
+    doc = F.concat(F.lit("{"), ident, F.lit('"seq":'), value, F.lit(',"ts_ms":'), ts, F.lit(',"type":"'), "type", F.lit('"'), actor, context,
+                   F.lit(',"payload":'), "payload_json", F.lit("}"))
+    return s.select("trace_id", "batch_no", "pos", doc.alias("event_json"))
+
+
 def _score(doc: Column, k: int) -> Column:
     v = (doc * 7 + k * 13) % 51
     return F.concat((v / 10).cast("int").cast("string"), F.lit("."), (v % 10).cast("string"))
