@@ -1,6 +1,7 @@
 """Token files: exact round trip against whole-text encoding, bit packing, random access."""
 
 import random
+import uuid
 import zlib
 
 import numpy as np
@@ -56,7 +57,7 @@ def test_round_trip(spark, whole, monkeypatch):
         every += ids
     got = T.token_round_trip(df, PATH).collect()
     assert sorted((tuple(x) for x in got), key=lambda x: x[1]) == want
-    out = T.write_tokens(df, T.scratch_path(spark, f"llm/test-{r.random()}"), PATH)
+    out = T.write_tokens(df, T.scratch_path(spark, f"llm/test-{uuid.uuid4().hex}"), PATH)
     for _ in range(5):
         a = r.randrange(at)
         b = min(at, a + r.randint(1, 900))
@@ -70,3 +71,17 @@ def test_units_give_the_ids_of_whole_texts(whole):
     ids, first = encode(*joined(texts), PATH, "word")
     for i, t in enumerate(texts.to_pylist()):
         assert ids[first[i]:first[i + 1]].tolist() == whole(t)[:-1]
+
+
+def test_remembered_units_stay_right_when_memory_is_full(whole, monkeypatch):
+    from tracewright.llm import tokens
+    monkeypatch.setattr(tokens, "KNOWN_UNITS", 40)
+    monkeypatch.setattr(tokens, "_known", {})
+    import pyarrow as pa
+    r = random.Random(9)
+    for _ in range(6):
+        texts = [" ".join(f"w{r.randrange(120)}x" for _ in range(60)) for _ in range(r.choice([1, 3]))]
+        ids, first = encode(*joined(pa.array(texts)), PATH, "word")
+        for i, t in enumerate(texts):
+            assert ids[first[i]:first[i + 1]].tolist() == whole(t)[:-1]
+        assert len(tokens._known[PATH, "word"].keys) <= 40

@@ -9,7 +9,7 @@ units are cut where the split always cuts. Two ways of cutting are known here:
 ``word``  white space is dropped: at every run of ``[\\x20\\x09-\\x0D]``.
 ``None``  texts are encoded whole.
 
-Units are told apart by 64-bit hashes within a chunk. Special tokens' strings in a text are ordinary text.
+Units are told apart by 64-bit hashes, and a Python worker remembers the ids of those it has seen. Special tokens' strings in a text are ordinary text.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from tracewright.llm.common import prefix_hash, span_hash, word_spans
 
 ENCODE_BYTES = 1 << 24   # bytes of text whose units are told apart together
 _HASH_BYTES = 1 << 21
+KNOWN_UNITS = 2_000_000  # whose ids a Python worker remembers
 _loaded: dict = {}
 
 _VISIBLE = np.zeros(256, dtype=bool)
@@ -80,19 +81,53 @@ def encode(buf: np.ndarray, start: np.ndarray, end: np.ndarray, path: str, cuts:
     code, _ = pd.factorize(h)
     lead = np.flatnonzero(code > np.concatenate(([-1], np.maximum.accumulate(code)[:-1])))
     raw = buf.tobytes()
-    t = tokenizer(path)
-    flat: list[int] = []
-    size = np.empty(len(lead), dtype=np.int64)
-    for at in range(0, len(lead), 20_000):
-        some = lead[at:at + 20_000]
-        got = t.encode_batch_fast([raw[x:y].decode() for x, y in zip(us[some].tolist(), ue[some].tolist())], add_special_tokens=False)
-        for i, e in enumerate(got):
-            ids = e.ids
-            size[at + i] = len(ids)
-            flat.extend(ids)
-    ids = np.array(flat, dtype=np.uint32)
-    off = np.cumsum(size) - size
+    spans = list(zip(us[lead].tolist(), ue[lead].tolist()))
+    flat, off, size = _known.setdefault((path, cuts), Units()).ids_of(
+        h[lead], lambda i: raw[spans[i][0]:spans[i][1]].decode(), tokenizer(path))
     each = size[code]
     upto = np.concatenate(([0], np.cumsum(each)))
     at = np.repeat(off[code] - upto[:-1], each) + np.arange(int(upto[-1]))
-    return ids[at], upto[first_unit]
+    return flat[at], upto[first_unit]
+
+
+class Units:
+    """Ids of units seen by this Python worker, by hash: at most ``KNOWN_UNITS`` (some 35 bytes each); when full,
+    those of the last chunk stay."""
+
+    def __init__(self) -> None:
+        self.keys = np.zeros(0, dtype=np.uint64)
+        self.off = np.zeros(0, dtype=np.int64)
+        self.size = np.zeros(0, dtype=np.int64)
+        self.flat = np.zeros(0, dtype=np.uint32)
+
+    def ids_of(self, keys: np.ndarray, text, tokenizer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first index, number) for different ``keys``; ``text(i)`` is the unit of keys[i]."""
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        seen = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), dtype=bool)
+        off, size = np.empty(len(keys), dtype=np.int64), np.empty(len(keys), dtype=np.int64)
+        off[seen], size[seen] = self.off[at[seen]], self.size[at[seen]]
+        new = np.flatnonzero(~seen)
+        got: list[int] = []
+        sizes: list[int] = []
+        for a in range(0, len(new), 20_000):
+            for e in tokenizer.encode_batch_fast([text(i) for i in new[a:a + 20_000].tolist()], add_special_tokens=False):
+                ids = e.ids
+                sizes.append(len(ids))
+                got.extend(ids)
+        size[new] = sizes
+        off[new] = len(self.flat) + np.cumsum(size[new]) - size[new]
+        flat = np.concatenate((self.flat, np.array(got, dtype=np.uint32)))
+        if len(self.keys) + len(new) <= KNOWN_UNITS:
+            keep_keys, keep_off, keep_size, self.flat = (np.concatenate((self.keys, keys[new])), np.concatenate((self.off, off[new])),
+                                                         np.concatenate((self.size, size[new])), flat)
+        else:
+            keep_keys, keep_size = keys[:KNOWN_UNITS], size[:KNOWN_UNITS]
+            keep_off = np.cumsum(keep_size) - keep_size
+            self.flat = flat[np.repeat(off[:KNOWN_UNITS] - keep_off, keep_size) + np.arange(int(keep_size.sum()))]
+        order = np.argsort(keep_keys)
+        self.keys, self.off, self.size = keep_keys[order], keep_off[order], keep_size[order]
+        return flat, off, size
+
+
+_known: dict[tuple[str, str | None], Units] = {}
