@@ -73,3 +73,11 @@ def test_invocations_and_events_in_parts(spark):
                                  F.col("id").alias("ts_ms"), F.lit("commit").alias("type"), F.lit("human").alias("actor_kind"), F.lit("{}").alias("payload_json"))
     parts = {r.part_no: [e.seq for e in r.events] for r in LC.event_parts(ev).collect()}
     assert parts == {0: list(range(1, 257)), 1: list(range(257, 513)), 2: list(range(513, 601))}
+
+
+def test_lookups_by_key_reach_the_scan(spark):
+    import __spark_entry__ as E
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plans = {n: E.queries()[n](spark, E.SMOKE_DIR)._jdf.queryExecution().executedPlan().toString() for n in ("trace_lookup", "trace_event_slice")}
+    assert "EqualTo(trace_id,t-42)" in plans["trace_lookup"]
+    assert all(x in plans["trace_event_slice"] for x in ("EqualTo(trace_id,t-42)", "GreaterThanOrEqual(seq,5)", "LessThanOrEqual(seq,30)"))

@@ -30,7 +30,16 @@ def timeline_parts(spark, sf):
 @query("trace_lookup", with_views("""
 SELECT trace_id, status, created_at_ms, bug_title, repro_steps FROM tel_traces WHERE trace_id = 't-42'""", "tel_traces"))
 def trace_lookup(spark, sf):
-    return TL.trace_lookup(B.tel_traces(spark, sf), "t-42")
+    """F1/O3 on the stored trace table: the key filter reaches the scan."""
+    return TL.trace_lookup(B.trace_table(spark, sf), "t-42")
+
+
+@query("trace_event_slice", with_views("""
+SELECT trace_id, event_id, seq, ts_ms, type, actor_kind, payload_json FROM tel_events WHERE trace_id = 't-42' AND seq BETWEEN 5 AND 30""", "tel_events"))
+def trace_event_slice(spark, sf):
+    """A trace's events by sequence from the stored event table; both filters reach the scan."""
+    ev = B.event_table(spark, sf).where((F.col("trace_id") == "t-42") & F.col("seq").between(5, 30))
+    return ev.select("trace_id", "event_id", "seq", "ts_ms", "type", "actor_kind", "payload_json")
 
 
 @query("trace_events", with_views("""

@@ -127,6 +127,18 @@ def tel_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
                      .otherwise(F.concat(F.lit("Steps "), uid)).alias("repro_steps")))
 
 
+def trace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """tel_traces as stored: sorted by trace_id, so a lookup by key reads the row groups that may hold it."""
+    return materialized(spark, sf_dir, "tel_traces", lambda: tel_traces(spark, sf_dir)
+                        .repartitionByRange("trace_id").sortWithinPartitions("trace_id"))
+
+
+def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The normalized event table, ranged and sorted by (trace_id, seq)."""
+    return materialized(spark, sf_dir, "tel_event_table", lambda: tel_events(spark, sf_dir)
+                        .repartitionByRange("trace_id", "seq").sortWithinPartitions("trace_id", "seq"))
+
+
 def tel_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.select(content_address(F.col("text")).alias("blob_id"),
