@@ -9,10 +9,10 @@
 3. Packed signatures of linked nodes are compared by bit counts; the share of equal minima is corrected for
    chance collisions of the low bits. Links above ``GATE`` are confirmed on full sets, 100 * common >= 75 * union.
 4. Components of the confirmed links. A key whose nodes all lie in one component is settled. In every other key
-   with three nodes or more, nodes outside the key's largest component are compared by signature with all of the
-   key's nodes in other components, in blocks, and close pairs are confirmed on full sets too. So every
-   pair that shares a key is either inside one component or has been compared: no link is lost but by
-   the bands (3e-9 at similarity 0.75, less above) or the gate (over 5 standard deviations).
+   with three nodes or more, nodes outside the key's largest component are compared with the key's nodes in other
+   components, in blocks: by signature, then on full sets. A pair is compared in the first key it shares. So every pair
+   that shares a key is either inside one component or has been compared: no link that would join components
+   is lost but by the bands (5e-9 at similarity 0.75, less above) or the gate (over 5 standard deviations).
 
 Only links between nodes are followed; copies are never expanded into pairs.
 
@@ -43,7 +43,7 @@ PERCENT = 75
 BANDS, ROWS = 50, 4
 LOW_BITS = 2
 GATE = 0.55           # estimated similarity below which a pair is not confirmed on full sets
-BLOCK = 4096          # nodes of one unsettled key compared in one task
+BLOCK = 1024          # nodes of one unsettled key compared in one task
 _rng = np.random.default_rng(20240731)
 _FACTOR = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _FLIP = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
@@ -240,23 +240,37 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield got
 
 
-def _close_pairs(t: pa.Table) -> pa.Table:
-    """One block of an unsettled key: pairs of an outside node and any node, in different components, whose
-    estimated similarity passes the gate."""
-    s, root = t.column("s").to_pylist(), t.column("root").to_pylist()
-    outside = np.array(t.column("outside").to_pylist(), dtype=bool)
-    ids = {r: i for i, r in enumerate(dict.fromkeys(root))}
-    part = np.array([ids[r] for r in root])
+def _links_across(t: pa.Table) -> pa.Table:
+    """One block of an unsettled key: links between a node outside the key's main component and nodes of other
+    components, confirmed on full sets. A pair is compared in the first key that it shares and there only."""
+    key = np.uint64(t.column("key")[0].as_py() & (2**64 - 1))
+    s, outside = t.column("s").to_pylist(), np.array(t.column("outside").to_pylist(), dtype=bool)
+    names = {r: i for i, r in enumerate(dict.fromkeys(t.column("root").to_pylist()))}
+    part = np.array([names[r] for r in t.column("root").to_pylist()])
     bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), dtype=np.uint8).reshape(len(s), -1)
+    bands = np.frombuffer(b"".join(t.column("bands").to_pylist()), dtype=np.uint64).reshape(len(s), -1)
+    text = t.column("text")
+    d, h = shingle_sets(*joined(text.combine_chunks() if text.num_chunks != 1 else text.chunk(0)))
+    at = np.searchsorted(d, np.arange(len(s) + 1))
+    size = np.diff(at)
     inner = np.flatnonzero(~outside)
     a, b = [], []
     for i in np.flatnonzero(outside):
-        near = inner[(part[inner] != part[i])]
-        near = near[estimate(bits[near], bits[i]) >= GATE]
-        for j in near.tolist():
-            x, y = (s[i], s[j]) if s[i] < s[j] else (s[j], s[i])
-            a.append(x)
-            b.append(y)
+        near = inner[part[inner] != part[i]]
+        like = estimate(bits[near], bits[i])
+        fits = (like >= GATE) & (100 * np.minimum(size[near], size[i]) >= PERCENT * np.maximum(size[near], size[i]))
+        near, like = near[fits], like[fits]
+        here = bands[i][(bands[near] == bands[i]).argmax(axis=1)] == key
+        near, like = near[here], like[here]
+        mine, linked = h[at[i]:at[i + 1]], set()
+        for j in near[np.argsort(-like, kind="stable")].tolist():
+            if part[j] in linked:
+                continue
+            common = len(np.intersect1d(mine, h[at[j]:at[j + 1]], assume_unique=True))
+            if 100 * common >= PERCENT * (size[i] + size[j] - common):
+                linked.add(part[j])
+                a.append(s[i])
+                b.append(s[j])
     return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
@@ -287,6 +301,13 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield one(b.slice(at, 256))
 
 
+def _blocked(inner: DataFrame, outer: DataFrame, cols: list[str]) -> DataFrame:
+    """``inner`` dealt over its ``blocks`` by a hash, ``outer`` in every block, told apart by ``outside``."""
+    dealt = inner.withColumn("nth", F.pmod(F.xxhash64("s"), F.col("blocks")).cast("int")).withColumn("outside", F.lit(False))
+    every = outer.withColumn("nth", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("outside", F.lit(True))
+    return dealt.select(*cols, "nth", "outside").unionByName(every.select(*cols, "nth", "outside"))
+
+
 def minhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK,
                   chunk_nodes: int = 20_000) -> DataFrame:
     """(id, n_shingles, component_id, kept) for each row."""
@@ -321,14 +342,9 @@ def minhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     unsettled = (counts.groupBy("key").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("top"))
                  .where("roots > 1 and n > 2").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"), F.col("top.root").alias("main")))
-    opened = placed.join(unsettled, "key").join(bits, "s").withColumn("outside", F.lit(False))
-    inner = opened.withColumn("nth", F.pmod(F.xxhash64("s"), F.col("blocks")).cast("int"))
-    outer = opened.where("root <> main").withColumn("outside", F.lit(True)).withColumn("nth", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cols = ["key", "nth", "s", "root", "bits", "outside"]
-    close = inner.select(cols).unionByName(outer.select(cols)).groupBy("key", "nth").applyInArrow(_close_pairs, "a binary, b binary")
-    # `a` is the lesser node in close, the greater one in star
-    later = close.select(F.col("b").alias("a"), F.col("a").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = saved(confirmed(later), "confirmed")
+    cols = ["key", "s", "root", "bits", "bands", "text"]
+    opened = placed.join(unsettled, "key").join(nodes.select("s", "bits", "bands"), "s").join(texts, "s")
+    more = saved(_blocked(opened, opened.where("root <> main"), cols).groupBy("key", "nth").applyInArrow(_links_across, "a binary, b binary"), "across")
     if not more.isEmpty():
         roots = saved(components(roots.select(F.col("s").alias("a"), F.col("root").alias("b")).unionByName(more)), "roots")
     found = nodes.select("s", "ord").join(roots, "s")
