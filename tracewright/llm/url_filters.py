@@ -6,7 +6,7 @@ rules by an equi-join, and regular expressions run on those alone. Different URL
 verdicts go back to the rows by a join on the URL's subject (host and path).
 
 Among the fitting host rules the longest wins; without any, a fitting pattern rule blocks; else allow.
-The rule list is a parameter held by the driver; Spark broadcasts its index only while that is small.
+The rule list is a parameter held by the driver; its index is broadcast up to ``BROADCAST_RULES`` rules.
 
 Defined cases: a null URL or one without ``://`` has empty host and path, fits no rule and is allowed;
 ties between equally long host rules go to the greater name; repeated rows each get the verdict; an empty
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_TOKEN = "[^a-z0-9]+"
+BROADCAST_RULES = 20_000   # above this the rules' index is shuffled like any table
 
 
 class UrlRule(NamedTuple):
@@ -56,7 +57,8 @@ PATTERN_RULES = tuple(
     pattern_rule(w, f"{_EDGE}{w}{_END}", w)
     for w in ("casino", "poker", "viagra", "porn", "xxx", "torrent", "jackpot", "escort", "adult", "spam")
 ) + (
-    pattern_rule("free-bets", f"{_EDGE}free-?bets{_END}", "bets"),
+    pattern_rule("free-bets", f"{_EDGE}free-bets{_END}", "free", "bets"),
+    pattern_rule("freebets", f"{_EDGE}freebets{_END}", "freebets"),
     pattern_rule("cheap-pills", f"{_EDGE}cheap-pills{_END}", "cheap", "pills"),
     pattern_rule("ad-tracker", f"{_EDGE}ads-track(er|ing)?{_END}", "ads"),
     pattern_rule("admin", "/wp-admin(/|$)", "wp", "admin"),
@@ -82,6 +84,8 @@ def rarest_literals(subjects: DataFrame, rules: Sequence[UrlRule]) -> dict[str,
     words = sorted({w for r in rules for w in r.literals})
     spark = subjects.sparkSession
     wanted = spark.createDataFrame([(w,) for w in words], "token string")
+    if len(words) <= BROADCAST_RULES:
+        wanted = F.broadcast(wanted)
     counts = dict(_tokens(subjects).join(wanted, "token").groupBy("token").count().collect())
     return {r.name: min(r.literals, key=lambda w: (counts.get(w, 0), w)) for r in rules}
 
@@ -103,6 +107,8 @@ def url_filters(df: DataFrame, url_col: str = "url", host_rules: Sequence[UrlRul
     index = spark.createDataFrame(
         [(rarest[r.name], r.name, r.verdict, r.pattern, 1 if r.host_rule else 0, len(r.name)) for r in rules],
         "token string, name string, rule_verdict string, rule_pattern string, by_host int, long int")
+    if len(rules) <= BROADCAST_RULES:
+        index = F.broadcast(index)
     fits = (_tokens(subjects).join(index, "token")
             .where(F.rlike(F.col("subject"), F.col("rule_pattern")))
             .groupBy("subject").agg(F.max(F.struct("by_host", "long", "name", "rule_verdict")).alias("best")))
