@@ -121,7 +121,7 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per row: size of the set, its digest, and - for the first row of a digest in the chunk - band keys and signature."""
-    for (ords, keys), buf, start, end in text_chunks(batches, ["ord", "k"], 1 << 22):
+    for (ords, keys), buf, start, end in text_chunks(batches, ["ord", "k"], 1 << 20):
         d, h = shingle_sets(buf, start, end)
         n = np.bincount(d, minlength=len(start))
         first = np.cumsum(n) - n

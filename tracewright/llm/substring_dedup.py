@@ -39,7 +39,7 @@ from tracewright.llm.common import (
 WINDOW = 20
 BLOCK = 10
 GRANULE = 8              # positions of hits are kept to this many words
-CHUNK = 1 << 22          # bytes of text in a chunk
+CHUNK = 1 << 20          # bytes of text in a chunk
 BUCKET_BYTES = 1 << 22   # bytes of text per bucket, about
 
 

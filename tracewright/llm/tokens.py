@@ -20,9 +20,9 @@ import numpy as np
 
 from tracewright.llm.common import prefix_hash, span_hash, word_spans
 
-ENCODE_BYTES = 1 << 24   # bytes of text whose units are told apart together
-_HASH_BYTES = 1 << 21
-KNOWN_UNITS = 2_000_000  # whose ids a Python worker remembers
+ENCODE_BYTES = 1 << 22   # bytes of text whose units are told apart together
+_HASH_BYTES = 1 << 20
+KNOWN_UNITS = 1_000_000  # whose ids a Python worker remembers
 _loaded: dict = {}
 
 _VISIBLE = np.zeros(256, dtype=bool)
@@ -81,9 +81,8 @@ def encode(buf: np.ndarray, start: np.ndarray, end: np.ndarray, path: str, cuts:
     code, _ = pd.factorize(h)
     lead = np.flatnonzero(code > np.concatenate(([-1], np.maximum.accumulate(code)[:-1])))
     raw = buf.tobytes()
-    spans = list(zip(us[lead].tolist(), ue[lead].tolist()))
     flat, off, size = _known.setdefault((path, cuts), Units()).ids_of(
-        h[lead], lambda i: raw[spans[i][0]:spans[i][1]].decode(), tokenizer(path))
+        h[lead], lambda i: raw[us[lead[i]]:ue[lead[i]]].decode(), tokenizer(path))
     each = size[code]
     upto = np.concatenate(([0], np.cumsum(each)))
     at = np.repeat(off[code] - upto[:-1], each) + np.arange(int(upto[-1]))
@@ -91,8 +90,7 @@ def encode(buf: np.ndarray, start: np.ndarray, end: np.ndarray, path: str, cuts:
 
 
 class Units:
-    """Ids of units seen by this Python worker, by hash: at most ``KNOWN_UNITS`` (some 35 bytes each); when full,
-    those of the last chunk stay."""
+    """Ids of units seen by this Python worker, by hash: the first ``KNOWN_UNITS`` (some 35 bytes each)."""
 
     def __init__(self) -> None:
         self.keys = np.zeros(0, dtype=np.uint64)
@@ -110,23 +108,22 @@ class Units:
         new = np.flatnonzero(~seen)
         got: list[int] = []
         sizes: list[int] = []
-        for a in range(0, len(new), 20_000):
-            for e in tokenizer.encode_batch_fast([text(i) for i in new[a:a + 20_000].tolist()], add_special_tokens=False):
+        for a in range(0, len(new), 5_000):
+            for e in tokenizer.encode_batch_fast([text(i) for i in new[a:a + 5_000].tolist()], add_special_tokens=False):
                 ids = e.ids
                 sizes.append(len(ids))
                 got.extend(ids)
         size[new] = sizes
         off[new] = len(self.flat) + np.cumsum(size[new]) - size[new]
         flat = np.concatenate((self.flat, np.array(got, dtype=np.uint32)))
-        if len(self.keys) + len(new) <= KNOWN_UNITS:
-            keep_keys, keep_off, keep_size, self.flat = (np.concatenate((self.keys, keys[new])), np.concatenate((self.off, off[new])),
-                                                         np.concatenate((self.size, size[new])), flat)
-        else:
-            keep_keys, keep_size = keys[:KNOWN_UNITS], size[:KNOWN_UNITS]
-            keep_off = np.cumsum(keep_size) - keep_size
-            self.flat = flat[np.repeat(off[:KNOWN_UNITS] - keep_off, keep_size) + np.arange(int(keep_size.sum()))]
-        order = np.argsort(keep_keys)
-        self.keys, self.off, self.size = keep_keys[order], keep_off[order], keep_size[order]
+        add = new[:max(0, KNOWN_UNITS - len(self.keys))]
+        if len(add):
+            self.flat = flat[:off[add[-1]] + size[add[-1]]]
+            add = add[np.argsort(keys[add])]
+            place = np.searchsorted(self.keys, keys[add])
+            self.keys = np.insert(self.keys, place, keys[add])
+            self.off = np.insert(self.off, place, off[add])
+            self.size = np.insert(self.size, place, size[add])
         return flat, off, size
 
 
