@@ -2,11 +2,12 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from tracewright.llm.minhash_dedup import estimate, minhash_dedup, minima, pack_low_bits
+from tracewright.llm.minhash_dedup import _blocked, estimate, minhash_dedup, minima, pack_low_bits
 
 
 def shingles(text):
@@ -81,3 +82,31 @@ def test_packed_estimate_is_corrected_for_chance():
     assert abs(estimate(m[0], m[1]) - 0.6) < 0.15
     assert abs(estimate(m[0], m[2])) < 0.15
     assert estimate(m[0], m[0]) == 1
+
+
+def test_both_sides_of_an_unsettled_key_are_cut(spark):
+    """No group grows with its key, texts stay out of the groups, and every two blocks meet once."""
+    n, core = 600, 200
+    name = lambda i: i.to_bytes(16, "big")
+    rows = [(7, name(i), name(0 if i < core else i), 40, b"", b"", -(-n // 50), -(-(n - core) // 50), name(0)) for i in range(n)]
+    opened = spark.createDataFrame(rows, "key long, s binary, root binary, n long, bits binary, bands binary, blocks int, outer_blocks int, main binary")
+    got = _blocked(opened)
+    assert "text" not in got.columns
+    sides = {}
+    for r in got.collect():
+        sides.setdefault((r.outer, r.inner), ([], []))[r.outside].append(bytes(r.s))
+    assert len(sides) == 12 * 8 and max(len(x) for g in sides.values() for x in g) < 100
+    met = Counter((a, b) for inner, outer in sides.values() for a in outer for b in inner)
+    assert len(met) == n * (n - core) and set(met.values()) == {1}
+
+
+def test_alike_below_the_threshold_and_links_between_blocks(spark):
+    """Pages of one template that share keys without being near, and a few that are near."""
+    r = random.Random(11)
+    words = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    template = words(66)
+    rows = [(i, " ".join(template + words(34))) for i in range(150)]
+    rows += [(1000 + i, " ".join(t.split()[:-r.randint(1, 12)] + words(2))) for i, (_, t) in enumerate(rows[::6])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((tuple(x) for x in minhash_dedup(df, block=16, chunk_nodes=10).collect()), key=str)
+    assert got == brute(rows)

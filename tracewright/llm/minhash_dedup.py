@@ -10,9 +10,12 @@
    chance collisions of the low bits. Links above ``GATE`` are confirmed on full sets, 100 * common >= 75 * union.
 4. Components of the confirmed links. A key whose nodes all lie in one component is settled. In every other key
    with three nodes or more, nodes outside the key's largest component are compared with the key's nodes in other
-   components, in blocks: by signature, then on full sets. A pair is compared in the first key it shares. So every pair
+   components. Both sides are cut into blocks of about ``BLOCK`` nodes and every two blocks meet in a group of their own:
+   first by signature, without texts; only nodes that have a similar one in their group come again with their texts
+   and are compared on full sets. A pair is compared in the first key it shares. So every pair
    that shares a key is either inside one component or has been compared: no link that would join components
    is lost but by the bands (5e-9 at similarity 0.75, less above) or the gate (over 5 standard deviations).
+   Signatures compared grow with the square of an unsettled key, spread over its pairs of blocks.
 
 Only links between nodes are followed; copies are never expanded into pairs.
 
@@ -43,7 +46,7 @@ PERCENT = 75
 BANDS, ROWS = 50, 4
 LOW_BITS = 2
 GATE = 0.55           # estimated similarity below which a pair is not confirmed on full sets
-BLOCK = 1024          # nodes of one unsettled key compared in one task
+BLOCK = 1024          # nodes of one unsettled key on either side of a group
 _rng = np.random.default_rng(20240731)
 _FACTOR = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _FLIP = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
@@ -240,30 +243,51 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield got
 
 
-def _links_across(t: pa.Table) -> pa.Table:
-    """One block of an unsettled key: links between a node outside the key's main component and nodes of other
-    components, confirmed on full sets. A pair is compared in the first key that it shares and there only."""
+def _similar(t: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """One group of an unsettled key: for each row of the outer block the rows of the inner block that it is compared
+    with on full sets, the most similar first, and each row's component. A pair passes in the first key that it
+    shares and there only, and if both its nodes are outside the main component, in the order of their keys."""
     key = np.uint64(t.column("key")[0].as_py() & (2**64 - 1))
-    s, outside = t.column("s").to_pylist(), np.array(t.column("outside").to_pylist(), dtype=bool)
-    names = {r: i for i, r in enumerate(dict.fromkeys(t.column("root").to_pylist()))}
-    part = np.array([names[r] for r in t.column("root").to_pylist()])
+    s, size = t.column("s").to_pylist(), t.column("n").to_numpy()
+    outer, core = (np.array(t.column(c).to_pylist(), dtype=bool) for c in ("outside", "core"))
+    names: dict[bytes, int] = {}
+    part = np.array([names.setdefault(r, len(names)) for r in t.column("root").to_pylist()])
+    place = {x: i for i, x in enumerate(sorted(set(s)))}
+    nth = np.array([place[x] for x in s])
     bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), dtype=np.uint8).reshape(len(s), -1)
     bands = np.frombuffer(b"".join(t.column("bands").to_pylist()), dtype=np.uint64).reshape(len(s), -1)
-    text = t.column("text")
-    d, h = shingle_sets(*joined(text.combine_chunks() if text.num_chunks != 1 else text.chunk(0)))
-    at = np.searchsorted(d, np.arange(len(s) + 1))
-    size = np.diff(at)
-    inner = np.flatnonzero(~outside)
-    a, b = [], []
-    for i in np.flatnonzero(outside):
-        near = inner[part[inner] != part[i]]
+    inner = np.flatnonzero(~outer)
+    for i in np.flatnonzero(outer):
+        near = inner[(part[inner] != part[i]) & (core[inner] | (nth[inner] > nth[i]))]
+        near = near[100 * np.minimum(size[near], size[i]) >= PERCENT * np.maximum(size[near], size[i])]
         like = estimate(bits[near], bits[i])
-        fits = (like >= GATE) & (100 * np.minimum(size[near], size[i]) >= PERCENT * np.maximum(size[near], size[i]))
+        fits = like >= GATE
         near, like = near[fits], like[fits]
         here = bands[i][(bands[near] == bands[i]).argmax(axis=1)] == key
         near, like = near[here], like[here]
+        if len(near):
+            yield i, near[np.argsort(-like, kind="stable")], part
+
+
+def _needed(t: pa.Table) -> pa.Table:
+    """The rows of a group that have a similar one on its other side."""
+    need = np.zeros(t.num_rows, dtype=bool)
+    for i, near, _ in _similar(t):
+        need[i] = True
+        need[near] = True
+    return t.filter(pa.array(need))
+
+
+def _links_across(t: pa.Table) -> pa.Table:
+    """The needed rows of a group with their texts: links between components, confirmed on full sets."""
+    s, text = t.column("s").to_pylist(), t.column("text")
+    d, h = shingle_sets(*joined(text.combine_chunks() if text.num_chunks != 1 else text.chunk(0)))
+    at = np.searchsorted(d, np.arange(len(s) + 1))
+    size = np.diff(at)
+    a, b = [], []
+    for i, near, part in _similar(t):
         mine, linked = h[at[i]:at[i + 1]], set()
-        for j in near[np.argsort(-like, kind="stable")].tolist():
+        for j in near.tolist():
             if part[j] in linked:
                 continue
             common = len(np.intersect1d(mine, h[at[j]:at[j + 1]], assume_unique=True))
@@ -301,11 +325,19 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield one(b.slice(at, 256))
 
 
-def _blocked(inner: DataFrame, outer: DataFrame, cols: list[str]) -> DataFrame:
-    """``inner`` dealt over its ``blocks`` by a hash, ``outer`` in every block, told apart by ``outside``."""
-    dealt = inner.withColumn("nth", F.pmod(F.xxhash64("s"), F.col("blocks")).cast("int")).withColumn("outside", F.lit(False))
-    every = outer.withColumn("nth", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("outside", F.lit(True))
-    return dealt.select(*cols, "nth", "outside").unionByName(every.select(*cols, "nth", "outside"))
+_GROUP = "key long, s binary, root binary, n long, bits binary, bands binary, core boolean, outer int, inner int, outside boolean"
+
+
+def _blocked(opened: DataFrame) -> DataFrame:
+    """Nodes of unsettled keys in groups (key, outer, inner): nodes outside the main component are dealt over
+    ``outer_blocks``, all nodes over ``blocks``, and every two blocks meet once; ``outside`` tells the sides apart."""
+    nth = lambda n: F.pmod(F.xxhash64("s"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    marked = opened.withColumn("core", F.col("root") == F.col("main"))
+    inner = marked.withColumn("outer", every("outer_blocks")).withColumn("inner", nth("blocks")).withColumn("outside", F.lit(False))
+    outer = marked.where("not core").withColumn("outer", nth("outer_blocks")).withColumn("inner", every("blocks")).withColumn("outside", F.lit(True))
+    cols = [f.split()[0] for f in _GROUP.split(", ")]
+    return inner.select(*cols).unionByName(outer.select(*cols))
 
 
 def minhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK,
@@ -316,7 +348,7 @@ def minhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = df.select(order_value(F.col(f"`{id_col}`")).alias("ord"), text.alias("text")).withColumn("k", text_key(F.col("text")))
     sketch = saved(rows.select("ord", "k", "text").mapInArrow(_sketch, "ord long, k binary, n long, s binary, bands binary, bits binary"), "sketch")
     nodes = saved(sketch.where("s is not null").groupBy("s").agg(
-        F.min("ord").alias("ord"), F.min("k").alias("k"), F.first("bits", True).alias("bits"), F.first("bands", True).alias("bands")), "nodes")
+        F.min("ord").alias("ord"), F.min("k").alias("k"), F.first("n").alias("n"), F.first("bits", True).alias("bits"), F.first("bands", True).alias("bands")), "nodes")
     n_buckets = 8 * n_partitions(spark)
     members = saved(nodes.select("s", "bands").mapInArrow(_band_chunks(n_buckets, chunk_nodes), "bucket int, entries binary, key long, s binary, center binary")
                     .repartition("bucket").sortWithinPartitions("bucket")
@@ -340,11 +372,14 @@ def minhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # keys that are not settled
     placed = members.select("key", "s").join(roots, "s", "left").select("key", "s", F.coalesce("root", "s").alias("root"))
     counts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    most = lambda n: F.ceil(F.col(n) / block).cast("int")
     unsettled = (counts.groupBy("key").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("top"))
-                 .where("roots > 1 and n > 2").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"), F.col("top.root").alias("main")))
-    cols = ["key", "s", "root", "bits", "bands", "text"]
-    opened = placed.join(unsettled, "key").join(nodes.select("s", "bits", "bands"), "s").join(texts, "s")
-    more = saved(_blocked(opened, opened.where("root <> main"), cols).groupBy("key", "nth").applyInArrow(_links_across, "a binary, b binary"), "across")
+                 .where("roots > 1 and n > 2").withColumn("rest", F.col("n") - F.col("top.n"))
+                 .select("key", most("n").alias("blocks"), most("rest").alias("outer_blocks"), F.col("top.root").alias("main")))
+    opened = placed.join(unsettled, "key").join(nodes.select("s", "n", "bits", "bands"), "s")
+    group = ["key", "outer", "inner"]
+    needed = _blocked(opened).groupBy(*group).applyInArrow(_needed, _GROUP)
+    more = saved(needed.join(texts, "s").groupBy(*group).applyInArrow(_links_across, "a binary, b binary"), "across")
     if not more.isEmpty():
         roots = saved(components(roots.select(F.col("s").alias("a"), F.col("root").alias("b")).unionByName(more)), "roots")
     found = nodes.select("s", "ord").join(roots, "s")
