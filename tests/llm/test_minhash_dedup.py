@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tracewright.llm.minhash_dedup import _blocked, estimate, minhash_dedup, minima, pack_low_bits
+from tracewright.llm.minhash_dedup import GATE, _blocked, estimate, minhash_dedup, minima, pack_low_bits, passes
 
 
 def shingles(text):
@@ -110,3 +110,28 @@ def test_alike_below_the_threshold_and_links_between_blocks(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = sorted((tuple(x) for x in minhash_dedup(df, block=16, chunk_nodes=10).collect()), key=str)
     assert got == brute(rows)
+
+
+def test_stored_bits_of_different_functions_are_independent():
+    """3 common of 4 shingles: the estimate scatters as 200 independent trials do, and none falls below the gate."""
+    rng = np.random.default_rng(5)
+    h = rng.integers(0, 2**64, (40_000, 4), dtype=np.uint64)
+    a, b = (pack_low_bits(minima(np.ascontiguousarray(x).ravel(), np.arange(len(h)) * x.shape[1])) for x in (h, h[:, :3]))
+    like = estimate(a, b)
+    assert abs(like.mean() - 0.75) < 0.01 and like.std() < 0.045 and like.min() >= GATE
+
+
+def test_small_sets_pass_whatever_their_estimate():
+    far = np.zeros((1, 50), dtype=np.uint8), np.full((1, 50), 255, dtype=np.uint8)
+    ask = lambda m, n: bool(passes(*far, np.array([m]), np.array([n]))[0])
+    assert ask(3, 4) and ask(40, 31) and not ask(32, 32) and not ask(2, 4)
+
+
+def test_eight_words_and_the_same_less_one(spark):
+    r = random.Random(4)
+    rows = []
+    for i in range(4000):
+        words = [f"{r.randrange(10**9):x}" for _ in range(8)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[1:] if r.random() < 0.5 else words[:-1]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {(x.doc_id, x.component_id) for x in minhash_dedup(df).collect()} == {(i, i // 2 * 2) for i in range(8000)}

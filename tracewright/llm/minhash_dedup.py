@@ -7,11 +7,13 @@
    third of the documents have costs a bucket one entry per chunk. Each node is linked to the least node of its
    key: links grow with the nodes, not with the square of a group.
 3. Packed signatures of linked nodes are compared by bit counts; the share of equal minima is corrected for
-   chance collisions of the low bits. Links above ``GATE`` are confirmed on full sets, 100 * common >= 75 * union.
+   chance collisions of the stored bits: each minimum is mixed with constants of its own function before, so
+   collisions of two functions are independent. Links above ``GATE``, and all links of sets under ``SMALL``
+   shingles, are confirmed on full sets, 100 * common >= 75 * union.
 4. Components of the confirmed links. A key whose nodes all lie in one component is settled. In every other key
    with three nodes or more, nodes outside the key's largest component are compared with the key's nodes in other
    components. Both sides are cut into blocks of about ``BLOCK`` nodes and every two blocks meet in a group of their own:
-   first by signature, without texts; only nodes that have a similar one in their group come again with their texts
+   first by signature (and by size alone below ``SMALL``), without texts; only nodes that have a similar one in their group come again with their texts
    and are compared on full sets. A pair is compared in the first key it shares. So every pair
    that shares a key is either inside one component or has been compared: no link that would join components
    is lost but by the bands (5e-9 at similarity 0.75, less above) or the gate (over 5 standard deviations).
@@ -46,10 +48,12 @@ PERCENT = 75
 BANDS, ROWS = 50, 4
 LOW_BITS = 2
 GATE = 0.55           # estimated similarity below which a pair is not confirmed on full sets
+SMALL = 32            # shingles of the smaller set below which a pair is confirmed whatever its estimate
 BLOCK = 1024          # nodes of one unsettled key on either side of a group
 _rng = np.random.default_rng(20240731)
 _FACTOR = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _FLIP = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
+_MIX = _rng.integers(0, 2**32, (2, BANDS * ROWS), dtype=np.uint32) | np.uint32(1)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
@@ -105,8 +109,11 @@ def band_keys(m: np.ndarray) -> np.ndarray:
 
 
 def pack_low_bits(m: np.ndarray) -> np.ndarray:
-    """The low bits of the minima, packed: bit planes one after another."""
-    planes = [np.packbits((m >> np.uint32(b)).astype(np.uint8) & 1, axis=1) for b in range(LOW_BITS)]
+    """``LOW_BITS`` bits of each minimum, packed: bit planes one after another. The low bits of the minimum itself depend
+    on the shingle's low bits alone, in every function alike, so it is mixed once more and gives high bits."""
+    x = (m ^ (m >> np.uint32(16))) * _MIX[0]
+    x = (x ^ (x >> np.uint32(15))) * _MIX[1]
+    planes = [np.packbits((x >> np.uint32(31 - b)).astype(np.uint8) & 1, axis=1) for b in range(LOW_BITS)]
     return np.concatenate(planes, axis=1)
 
 
@@ -122,6 +129,12 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (equal - chance) / (1 - chance)
 
 
+def passes(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """Whether pairs are to be compared on full sets, from signatures and sizes."""
+    least, most = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
+    return (100 * least >= PERCENT * most) & ((least < SMALL) | (estimate(a, b) >= GATE))
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per row: size of the set, its digest, and - for the first row of a digest in the chunk - band keys and signature."""
     for (ords, keys), buf, start, end in text_chunks(batches, ["ord", "k"], 1 << 20):
@@ -259,14 +272,10 @@ def _similar(t: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     inner = np.flatnonzero(~outer)
     for i in np.flatnonzero(outer):
         near = inner[(part[inner] != part[i]) & (core[inner] | (nth[inner] > nth[i]))]
-        near = near[100 * np.minimum(size[near], size[i]) >= PERCENT * np.maximum(size[near], size[i])]
-        like = estimate(bits[near], bits[i])
-        fits = like >= GATE
-        near, like = near[fits], like[fits]
-        here = bands[i][(bands[near] == bands[i]).argmax(axis=1)] == key
-        near, like = near[here], like[here]
+        near = near[passes(bits[near], bits[i], size[near], size[i])]
+        near = near[bands[i][(bands[near] == bands[i]).argmax(axis=1)] == key]
         if len(near):
-            yield i, near[np.argsort(-like, kind="stable")], part
+            yield i, near[np.argsort(-estimate(bits[near], bits[i]), kind="stable")], part
 
 
 def _needed(t: pa.Table) -> pa.Table:
@@ -303,7 +312,8 @@ def _gate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not b.num_rows:
             continue
         x = [np.frombuffer(b"".join(b.column(b.schema.get_field_index(c)).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1) for c in ("bits_a", "bits_b")]
-        yield b.select(["a", "b"]).filter(pa.array(estimate(*x) >= GATE))
+        n = [b.column(b.schema.get_field_index(c)).to_numpy() for c in ("n_a", "n_b")]
+        yield b.select(["a", "b"]).filter(pa.array(passes(*x, *n)))
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,17 +366,17 @@ def minhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # texts of all nodes that share a key with another
     needed = members.select("s").distinct().join(nodes.select("s", "k"), "s")
     texts = saved(rows.select("k", "text").join(needed, "k").groupBy("s").agg(F.first("text").alias("text")), "texts")
-    bits = nodes.select("s", "bits")
 
-    def side(t: DataFrame, name: str, value: str) -> DataFrame:
-        return t.select(F.col("s").alias(name), F.col(value).alias(f"{value}_{name}"))
+    def side(t: DataFrame, name: str, *values: str) -> DataFrame:
+        return t.select(F.col("s").alias(name), *[F.col(v).alias(f"{v}_{name}") for v in values])
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         both = pairs.join(side(texts, "a", "text"), "a").join(side(texts, "b", "text"), "b")
         return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a binary, b binary")
 
     star = members.where("s <> center").select(F.greatest("s", "center").alias("a"), F.least("s", "center").alias("b")).distinct()
-    gated = star.join(side(bits, "a", "bits"), "a").join(side(bits, "b", "bits"), "b").select("a", "b", "bits_a", "bits_b").mapInArrow(_gate, "a binary, b binary")
+    gated = (star.join(side(nodes, "a", "bits", "n"), "a").join(side(nodes, "b", "bits", "n"), "b")
+             .select("a", "b", "bits_a", "bits_b", "n_a", "n_b").mapInArrow(_gate, "a binary, b binary"))
     links = saved(confirmed(gated), "confirmed")
     roots = saved(components(links), "roots")
     # keys that are not settled
