@@ -58,7 +58,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs.select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
+    return pack_documents(docs.select("doc_id", "text"), public_tokenizers.path(TOKENIZER), special=True)
 
 
 STAGES = [("quality_rules", clean), ("near_dedup", near_dedup), ("substring_dedup", cut_repeats), ("mixing", mix), ("packing", pack)]

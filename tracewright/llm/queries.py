@@ -56,7 +56,7 @@ def op4_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_bin_completion_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), special=True)
 
 
 @query
@@ -78,7 +78,7 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), special=True)
 
 
 @query

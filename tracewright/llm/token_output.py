@@ -73,7 +73,7 @@ def unpack(payload: bytes, offsets: list[int], bits: int, lo: int, hi: int) -> n
     return ((word >> (bit & 7).astype(np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
-def _record_batches(path: str, cuts: str | None, end_id: int, bits: int):
+def _record_batches(path: str, cuts: str | None, end_id: int, bits: int, special: bool):
     """Rows in the order of (bucket, ord, text) to records."""
     schema = pa.schema([("bucket", pa.int32()), ("local", pa.int64()), ("n_ids", pa.int64()), ("bits", pa.int32()), ("payload", pa.binary()),
                         ("block_offsets", pa.list_(pa.int64())), ("doc_ords", pa.list_(pa.int64())), ("doc_lengths", pa.list_(pa.int64()))])
@@ -81,7 +81,7 @@ def _record_batches(path: str, cuts: str | None, end_id: int, bits: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, local = None, 0
         for (buckets, ords), buf, start, end in text_chunks(batches, ["bucket", "ord"], ENCODE_BYTES):
-            token, first = encode(buf, start, end, path, cuts)
+            token, first = encode(buf, start, end, path, cuts, special)
             size = np.diff(first) + 1
             ids = np.full(int(size.sum()), end_id, dtype=np.uint32)
             ids[np.arange(len(token)) + np.repeat(np.arange(len(size)), size - 1)] = token
@@ -103,8 +103,9 @@ def _record_batches(path: str, cuts: str | None, end_id: int, bits: int):
 
 
 def write_tokens(df: DataFrame, out_path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 cuts: str | None = "word", end_id: int = 1) -> str:
-    """Encode, append the end id to each document, and write in ascending order of ids. Returns ``out_path``."""
+                 cuts: str | None = "word", end_id: int = 1, special: bool = False) -> str:
+    """Encode, append the end id to each document, and write in ascending order of ids. ``special`` is as in tokens.py.
+    Returns ``out_path``."""
     spark = df.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = df.select(order_value(F.col(f"`{id_col}`")).alias("ord"), text.alias("text"))
@@ -112,7 +113,7 @@ def write_tokens(df: DataFrame, out_path: str, tokenizer_path: str, id_col: str
     ranged, n = range_buckets(rows, "ord", min(MOST_RANGES, max(n_partitions(spark), math.ceil(total / RANGE_BYTES))))
     bits = bits_for(max(vocabulary_size(tokenizer_path), end_id + 1))
     (ranged.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", "ord", "text")
-     .select("bucket", "ord", "text").mapInArrow(_record_batches(tokenizer_path, cuts, end_id, bits), RECORD)
+     .select("bucket", "ord", "text").mapInArrow(_record_batches(tokenizer_path, cuts, end_id, bits, special), RECORD)
      .write.parquet(out_path))
     return out_path
 
@@ -156,8 +157,8 @@ def read_documents(spark: SparkSession, path: str, id_col: str = "doc_id") -> Da
 
 
 def token_round_trip(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                     cuts: str | None = "word", end_id: int = 1) -> DataFrame:
+                     cuts: str | None = "word", end_id: int = 1, special: bool = False) -> DataFrame:
     """Write to a fresh folder under the shared checkpoint folder and read the files back."""
     spark = df.sparkSession
     out = scratch_path(spark, f"llm/tokens-{uuid.uuid4().hex}")
-    return read_documents(spark, write_tokens(df, out, tokenizer_path, id_col, text_col, cuts, end_id), id_col)
+    return read_documents(spark, write_tokens(df, out, tokenizer_path, id_col, text_col, cuts, end_id, special), id_col)

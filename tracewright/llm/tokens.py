@@ -9,12 +9,17 @@ units are cut where the split always cuts. Two ways of cutting are known here:
 ``word``  white space is dropped: at every run of ``[\\x20\\x09-\\x0D]``.
 ``None``  texts are encoded whole.
 
-Units are told apart by 64-bit hashes, and a Python worker remembers the ids of those it has seen. Special tokens' strings in a text are ordinary text.
+Units are told apart by 64-bit hashes, and a Python worker remembers the ids of those it has seen.
+
+With ``special`` a special token's string in a text is that token, as by the library's default; without, it is ordinary
+text. A special token ends the stretch before it: no cut that looks ahead is made at the space before one. Special strings must hold
+no space or line feed and take none beside them (true of both tokenizers here); otherwise texts are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
@@ -34,40 +39,55 @@ _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, 0x0A]] = True
 
 
-def tokenizer(path: str):
-    """The tokenizer at ``path``, loaded once per Python worker."""
-    if path not in _loaded:
+def tokenizer(path: str, special: bool = False):
+    """The tokenizer at ``path``, loaded once per Python worker and way of reading special strings."""
+    if (path, special) not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        _loaded[path] = t
-    return _loaded[path]
+        t.encode_special_tokens = not special
+        _loaded[path, special] = t
+    return _loaded[path, special]
+
+
+def special_strings(path: str) -> list[bytes] | None:
+    """The strings of the special tokens; None if one of them could span a cut."""
+    tokens = [t for t in tokenizer(path, True).get_added_tokens_decoder().values() if t.special]
+    if any(t.lstrip or t.rstrip or t.single_word or any(c.isspace() for c in t.content) for t in tokens):
+        return None
+    return [t.content.encode() for t in tokens]
 
 
 def vocabulary_size(path: str) -> int:
     return tokenizer(path).get_vocab_size(with_added_tokens=True)
 
 
-def units_of(buf: np.ndarray, start: np.ndarray, end: np.ndarray, cuts: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the units of the texts in ``buf``, in order."""
+def units_of(buf: np.ndarray, start: np.ndarray, end: np.ndarray, cuts: str | None, special: list[bytes] = []) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the units of the texts in ``buf``, in order; ``special`` has strings that are tokens of their own."""
     if cuts == "word":
         return word_spans(buf, start, end)
     full = end > start
     mark = np.zeros(len(buf) + 1, dtype=bool)
     if cuts == "byte" and len(buf) > 1:
         mark[1:-1] = _GAP[buf[1:]] & _VISIBLE[buf[:-1]]
-        mark[:-2] |= (buf[:-1] == 0x20) & _OPENS[buf[1:]]
+        ahead = (buf[:-1] == 0x20) & _OPENS[buf[1:]]
+        if special:
+            found = re.finditer(b"|".join(map(re.escape, special)), buf.tobytes())
+            ahead[np.array([m.start() - 1 for m in found if m.start()], dtype=np.int64)] = False
+        mark[:-2] |= ahead
     mark[start[full]] = True
     at = np.flatnonzero(mark[:-1])
     return at, np.append(at[1:], len(buf)) if len(at) else at
 
 
-def encode(buf: np.ndarray, start: np.ndarray, end: np.ndarray, path: str, cuts: str | None) -> tuple[np.ndarray, np.ndarray]:
+def encode(buf: np.ndarray, start: np.ndarray, end: np.ndarray, path: str, cuts: str | None, special: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts one after another, index of each text's first id and one more at the end)."""
     import pandas as pd
 
-    us, ue = units_of(buf, start, end, cuts)
+    strings = special_strings(path) if special else []
+    if strings is None:
+        cuts, strings = None, []
+    us, ue = units_of(buf, start, end, cuts, strings)
     first_unit = np.append(np.searchsorted(us, start, side="left"), len(us))
     if not len(us):
         return np.zeros(0, dtype=np.uint32), first_unit
@@ -81,8 +101,8 @@ def encode(buf: np.ndarray, start: np.ndarray, end: np.ndarray, path: str, cuts:
     code, _ = pd.factorize(h)
     lead = np.flatnonzero(code > np.concatenate(([-1], np.maximum.accumulate(code)[:-1])))
     raw = buf.tobytes()
-    flat, off, size = _known.setdefault((path, cuts), Units()).ids_of(
-        h[lead], lambda i: raw[us[lead[i]]:ue[lead[i]]].decode(), tokenizer(path))
+    flat, off, size = _known.setdefault((path, cuts, True) if special else (path, cuts), Units()).ids_of(
+        h[lead], lambda i: raw[us[lead[i]]:ue[lead[i]]].decode(), tokenizer(path, special))
     each = size[code]
     upto = np.concatenate(([0], np.cumsum(each)))
     at = np.repeat(off[code] - upto[:-1], each) + np.arange(int(upto[-1]))
@@ -127,4 +147,4 @@ class Units:
         return flat, off, size
 
 
-_known: dict[tuple[str, str | None], Units] = {}
+_known: dict[tuple, Units] = {}
