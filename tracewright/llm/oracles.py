@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from tracewright.llm import quality_rules as Q
 from tracewright.llm import url_filters as U
+from tracewright.llm import vector_codes as V
 from tracewright.llm.mixing import SEED, WORD
 
 _SPACES = "[\\x20\\x09-\\x0D]+"
@@ -96,3 +97,31 @@ LEFT JOIN picked ON k.source IS NOT DISTINCT FROM picked.source AND k.e = picked
 QUALITY_RULES = _quality_rules()
 URL_FILTERS = _url_filters()
 SOURCE_MIXING = source_mixing()
+
+
+def vector_codes(rounds: int = V.ROUNDS) -> str:
+    """Lloyd rounds as one pair of tables each; for ids that are not null and vectors of one length."""
+    parts = f"least({V.PARTS - 1}, (({V.PARTS} * j + {V.PARTS - 1}) // d))"  # the last part that begins at or before component j
+    rounds_sql = "".join(f""",
+a{r} AS MATERIALIZED (SELECT i, p, arg_min(e, dist * 100 + e) AS e, min(dist) AS dist FROM
+   (SELECT x.i, x.p, b.e, sum((x.x - b.c) * (x.x - b.c)) AS dist FROM x JOIN b{r} b ON b.p = x.p AND b.j = x.j GROUP BY x.i, x.p, b.e) GROUP BY i, p),
+b{r + 1} AS MATERIALIZED (SELECT b.p, b.e, b.j, coalesce(n.c, b.c) AS c FROM b{r} b LEFT JOIN
+   (SELECT p, e, j, ((s - (((s % n) + n) % n)) // n)::BIGINT AS c FROM
+      (SELECT x.p, a.e, x.j, sum(x.x)::BIGINT AS s, count(*) AS n FROM x JOIN a{r} a ON a.i = x.i AND a.p = x.p GROUP BY x.p, a.e, x.j)) n
+   ON n.p = b.p AND n.e = b.e AND n.j = b.j)""" for r in range(1, rounds + 1))
+    last = rounds + 1
+    return f"""
+WITH k AS (SELECT vec_id AS i, label, embedding AS v, len(embedding) AS d FROM embeddings WHERE embedding IS NOT NULL
+   AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+x AS MATERIALIZED (SELECT i, j, {parts} AS p, floor({V.SCALE} * v[j + 1]::DOUBLE)::BIGINT AS x FROM (SELECT i, d, v, unnest(range(d)) AS j FROM k)),
+s AS (SELECT i, row_number() OVER (ORDER BY i) - 1 AS e FROM k ORDER BY i LIMIT {V.ENTRIES}),
+b1 AS MATERIALIZED (SELECT x.p, s.e, x.j, x.x AS c FROM x JOIN s ON s.i = x.i){rounds_sql},
+f AS (SELECT i, p, arg_min(e, dist * 100 + e) AS e, min(dist) AS dist FROM
+   (SELECT x.i, x.p, b.e, sum((x.x - b.c) * (x.x - b.c)) AS dist FROM x JOIN b{last} b ON b.p = x.p AND b.j = x.j GROUP BY x.i, x.p, b.e) GROUP BY i, p),
+g AS (SELECT i, string_agg(printf('%02x', e::BIGINT), '' ORDER BY p) AS code, sum(dist)::BIGINT AS error FROM f GROUP BY i),
+h AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM b{last})
+SELECT k.i AS vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM k JOIN g ON g.i = k.i, h"""
+
+
+VECTOR_CODES = vector_codes()

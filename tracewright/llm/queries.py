@@ -21,10 +21,11 @@ from tracewright.llm.substring_dedup import substring_dedup
 from tracewright.llm.suffix_dedup import suffix_dedup
 from tracewright.llm.token_output import token_round_trip
 from tracewright.llm.url_filters import url_filters
+from tracewright.llm.vector_codes import vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op7_quality_rules": oracles.QUALITY_RULES, "op8_url_filters": oracles.URL_FILTERS,
-                           "op10_source_mixing": oracles.SOURCE_MIXING}
+                           "op10_source_mixing": oracles.SOURCE_MIXING, "op12_vector_codes": oracles.VECTOR_CODES}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -85,3 +86,8 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
         "doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")).drop("label")
