@@ -22,6 +22,7 @@ from tracewright.llm.suffix_dedup import suffix_dedup
 from tracewright.llm.token_output import token_round_trip
 from tracewright.llm.url_filters import url_filters
 from tracewright.llm.vector_codes import vector_codes
+from tracewright.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op7_quality_rules": oracles.QUALITY_RULES, "op8_url_filters": oracles.URL_FILTERS,
@@ -91,3 +92,8 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")).drop("label")
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
