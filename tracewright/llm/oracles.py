@@ -125,3 +125,9 @@ FROM k JOIN g ON g.i = k.i, h"""
 
 
 VECTOR_CODES = vector_codes()
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (SELECT page_id, octet_length(encode(html))::BIGINT AS n, sha256(html) AS digest, min(page_id) OVER (PARTITION BY html) AS least FROM p)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN n >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> least THEN least END AS refers_to FROM q"""

@@ -22,11 +22,12 @@ from tracewright.llm.suffix_dedup import suffix_dedup
 from tracewright.llm.token_output import token_round_trip
 from tracewright.llm.url_filters import url_filters
 from tracewright.llm.vector_codes import vector_codes
+from tracewright.llm.warc import page_records, warc_round_trip
 from tracewright.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op7_quality_rules": oracles.QUALITY_RULES, "op8_url_filters": oracles.URL_FILTERS,
-                           "op10_source_mixing": oracles.SOURCE_MIXING, "op12_vector_codes": oracles.VECTOR_CODES}
+                           "op10_source_mixing": oracles.SOURCE_MIXING, "op11_warc": oracles.WARC, "op12_vector_codes": oracles.VECTOR_CODES}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -89,6 +90,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_records(warc_round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))).drop("digest_holds")
+
+
 @query
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")).drop("label")

@@ -227,5 +227,5 @@ def vector_codes(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     most = F.lit((1 << 63) - 1).cast("decimal(38,0)")
     sums = coded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("error").cast("decimal(19,0)")).alias("s"))
     sums = saved(sums.select("key", "n", F.when(F.col("s") <= most, F.col("s")).cast("long").alias("label_error")), "label-errors")
-    return attach(coded, sums, "key", "id").select(
+    return attach(coded, sums, "key", F.xxhash64("id", "code")).select(
         F.col("id").alias(id_col), "code", "error", F.col("label").alias(label_col), "label_error", F.lit(codebook_digest(books)).alias("codebooks_sha256"))
