@@ -107,3 +107,70 @@ def test_position_in_group_nulls_and_empty(spark):
     assert sorted((r.k, r.id, r.pos) for r in position_in_group(df, ["k"], ["ts", "id"]).collect()) == [
         ("a", 1, 1), ("a", 2, 3), ("a", 3, 2), ("b", 4, 1), ("b", 5, 2)]
     assert position_in_group(df.limit(0), ["k"], ["ts", "id"]).count() == 0
+
+
+def random_trace(rnd, trace, n, far):
+    """Batches with repeated ids near and far, lowered and equal seqs, and bad payloads."""
+    rows, batches, seq, ids = [], [], 0, []
+    for bno in range(n):
+        evs = []
+        for pos in range(rnd.randint(1, 3)):
+            seq += rnd.choice([1, 1, 1, 1, 2, 0, -1, -4 if far else 1])
+            new = f"{trace}-{bno}-{pos}"
+            eid = rnd.choice(ids[-6:] if not far or rnd.random() < 0.5 else ids) if ids and rnd.random() < 0.15 else new
+            ids.append(eid)
+            ok = rnd.random() > 0.03
+            evs.append((eid, seq, ok))
+            rows.append((trace, bno, pos, eid, seq, 1000, "terminal_command", "human", GOOD if ok else "{}"))
+        batches.append((trace, bno, evs))
+    return rows, batches
+
+
+SUBS = "trace_id string, batch_no int, pos int, event_id string, seq int, ts_ms long, type string, actor_kind string, payload_json string"
+
+
+@pytest.mark.parametrize("seed,run", [(1, 256), (2, 4), (3, 2)])
+def test_segments_match_the_sequential_model(spark, monkeypatch, seed, run):
+    from tracewright.operators import fold
+    monkeypatch.setattr(fold, "RUN", run)
+    rnd = random.Random(seed)
+    rows, batches = [], []
+    for t in range(12):
+        r, b = random_trace(rnd, f"t{t}", 40, far=t % 2 == 0)
+        rows += r
+        batches += b
+    status = {f"t{t}": "collecting" for t in range(11)}
+    out = batch_outcomes(spark.createDataFrame(rows, SUBS), spark.createDataFrame(list(status.items()), "trace_id string, status string"))
+    got = {(r.trace_id, r.batch_no): r for r in out.collect()}
+    want = model(batches, status)
+    assert {k: r.outcome for k, r in got.items()} == want
+    assert set(want.values()) >= {"accepted", "seq", "duplicate", "schema", "missing"}
+    for t in status:  # the mark before each batch, and the ids that refused it
+        high, stored = 0, set()
+        for _, bno, evs in sorted(b for b in batches if b[0] == t):
+            r = got[t, bno]
+            assert r.high_before == high
+            if r.outcome == "duplicate":
+                assert set(r.dup_ids) == stored & {e for e, _, _ in evs}
+            if r.outcome == "accepted":
+                high = evs[-1][1]
+                stored |= {e for e, _, _ in evs}
+
+
+def test_a_hot_trace_is_cut_into_many_segments(spark):
+    """A third of all batches in one trace, with conflicts everywhere, falls into small segments of independent work."""
+    from tracewright.operators import fold
+    rows, _ = random_trace(random.Random(5), "hot", 900, far=False)
+    for t in range(60):
+        rows += random_trace(random.Random(t), f"t{t}", 30, far=False)[0]
+    traces = spark.createDataFrame([("hot", "collecting")] + [(f"t{t}", "collecting") for t in range(60)], "trace_id string, status string")
+    from tracewright.operators.ingest import request_summaries
+    cut = fold.segments(request_summaries(spark.createDataFrame(rows, SUBS), traces)).where("trace_id = 'hot'")
+    n, most = cut.groupBy("segment").count().agg(F.count(F.lit(1)), F.max("count")).first()
+    assert n > 200 and most < 60
+
+
+def test_an_oversized_batch_is_refused_by_its_size(spark):
+    rows = [("t", 0, i, f"e{i % 50}", i + 1, 1000, "terminal_command", "human", GOOD) for i in range(5000)] + [("t", 1, 0, "e0", 1, 1000, "terminal_command", "human", GOOD)]
+    got = batch_outcomes(spark.createDataFrame(rows, SUBS), spark.createDataFrame([("t", "collecting")], "trace_id string, status string"))
+    assert sorted((r.batch_no, r.outcome, r.n_events, r.high_before) for r in got.collect()) == [(0, "schema", 5000, 0), (1, "accepted", 1, 0)]

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.session import scratch_path
+
 _EXPR_CACHE: dict[tuple[int, str], Column] = {}
 
 
@@ -34,3 +38,11 @@ def stage_boundary(df: DataFrame) -> DataFrame:
     """
     cols = df.columns
     return df.select(F.inline_outer(F.array(F.struct(*[F.col(f"`{c}`") for c in cols]))))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh folder under the shared checkpoint folder and read it back: computed once however often
+    it is used, lineage cut, and its size known to the planner. The folder stays; clear such folders by age."""
+    path = scratch_path(df.sparkSession, f"tw-steps/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

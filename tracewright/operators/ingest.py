@@ -10,16 +10,13 @@ Outcome of a batch, first that applies (V19):
 
 ``seq`` and ``duplicate`` depend on what *earlier accepted* batches of the same
 trace left behind (high-water mark, stored ids): an id seen only in a rejected
-batch is not a duplicate. A trace whose batches cannot conflict is decided by a
-running maximum in slices. For the others that dependency is replayed over
-compact batch summaries in order of batch_no, one at a time, in bounded memory.
-Only ids that occur in two or more batches of a trace are carried in the
-state; everything else is decided by joins and partial aggregates before.
-
-No windows: the in-batch seq step is an equi-join on (trace_id, batch_no, pos)
-with pos - 1, ids are counted per (trace_id, event_id, batch_no), and the
-batch summary is a partial aggregate, so neither a hot trace nor an oversized
-batch lands in one task; after that only per-batch summaries move.
+batch is not a duplicate. Batch summaries are written once; traces are cut into
+segments that no dependency crosses, and segments are replayed side by side.
+
+No windows over events: a summary is one aggregate over (trace_id, batch_no)
+that gathers a bounded number of positions, combined map-side, so neither a
+hot trace nor an oversized batch lands in one task; after that only per-batch
+summaries move.
 """
 
 from __future__ import annotations
@@ -27,10 +24,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.jsonrules import SparkDialect, enum_message
+from tracewright.operators.common import written
+from tracewright.operators.fold import segmented_outcomes
 from tracewright.operators.validate import explode_violations, violations_array
 from tracewright.schemas import ENUMS, ENVELOPE_RULES, MAX_EVENTS_PER_BATCH, PAYLOAD_RULES
 
@@ -182,23 +181,6 @@ def batch_summaries(rows: DataFrame, traces: DataFrame, stored: DataFrame | None
 
 
 _SUMMARY = ["pre", "lo", "hi", "internal_bad", "dup_stored", "dup_in_batch", "rep_ids", "high0"]
-_RUN = 256  # batch numbers in a slice of the running maximum
-
-
-def _earlier_high(summ: DataFrame) -> DataFrame:
-    """Add ``high_before``: the trace's stored high-water mark and the ``hi`` of
-    its earlier batches, as if each one that its own rows do not rule out had
-    been accepted. The maximum runs within slices of ``_RUN`` batch numbers and
-    over slice maxima, so a trace with very many batches is spread over tasks."""
-    open_hi = F.when(F.col("pre").isNull() & ~F.col("internal_bad"), F.col("hi"))
-    x = summ.withColumn("_hi", open_hi).withColumn("_slice", F.floor(F.col("batch_no") / _RUN).cast("int"))
-    tops = x.groupBy("trace_id", "_slice").agg(F.max("_hi").alias("_top"))
-    slices = Window.partitionBy("trace_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    tops = tops.select("trace_id", "_slice", F.max("_top").over(slices).alias("_sliced"))
-    inside = Window.partitionBy("trace_id", "_slice").orderBy("batch_no").rowsBetween(Window.unboundedPreceding, -1)
-    x = x.withColumn("_within", F.max("_hi").over(inside)).join(tops, ["trace_id", "_slice"])
-    high = F.greatest("high0", F.coalesce("_within", F.lit(0)), F.coalesce("_sliced", F.lit(0)))
-    return x.withColumn("high_before", high.cast("int")).drop("_hi", "_slice", "_within", "_sliced")
 
 
 def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,41 +209,72 @@ def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fold_outcomes(summ: DataFrame, replay_all: bool = False) -> DataFrame:
-    """The outcome of each batch against what its trace has accepted.
-
-    A trace is free of conflicts if every batch that its own rows do not rule
-    out stands above the running maximum of the earlier ones, repeats no
-    stored or claimed id and none of its own: then all of these are accepted.
-    Only traces with a conflict are replayed in order of batch_no, a batch at
-    a time, in bounded memory. ``replay_all`` replays every trace."""
-    runs = _earlier_high(summ)
-    clash = (F.col("pre").isNull() & ~F.col("internal_bad")
-             & ((F.col("lo") <= F.col("high_before")) | F.col("dup_stored") | F.col("dup_in_batch") | (F.size("rep_ids") > 0)))
-    clashing = runs.groupBy("trace_id").agg(F.max(clash).alias("_clash"))
-    runs = runs.join(clashing, "trace_id")
-    if replay_all:
-        runs = runs.withColumn("_clash", F.lit(True))
-    free = runs.where(~F.col("_clash")).select(
-        "trace_id", "batch_no", F.when(F.col("pre").isNotNull(), F.col("pre")).when(F.col("internal_bad"), "seq").otherwise("accepted").alias("outcome"),
-        "high_before", F.array().cast("array<string>").alias("dup_ids"))
-    replayed = (runs.where("_clash").select("trace_id", "batch_no", *_SUMMARY)
-                .repartition("trace_id").sortWithinPartitions("trace_id", "batch_no")
-                .mapInArrow(_replay, "trace_id string, batch_no int, outcome string, high_before int, dup_ids array<string>"))
-    return free.unionByName(replayed)
+    """The outcome of each batch against what its trace has accepted: by segments that are replayed side by side
+    (``operators/fold.py``), or with ``replay_all`` a trace at a time in order of batch_no."""
+    if not replay_all:
+        return segmented_outcomes(summ)
+    return (summ.select("trace_id", "batch_no", *_SUMMARY).repartition("trace_id").sortWithinPartitions("trace_id", "batch_no")
+            .mapInArrow(_replay, "trace_id string, batch_no int, outcome string, high_before int, dup_ids array<string>"))
+
+
+def request_summaries(subs: DataFrame, traces: DataFrame, stored_high: DataFrame | None = None) -> DataFrame:
+    """One row per batch with everything its outcome needs but the fold, by one shuffle of the events: the JSON rules run
+    in the map stage, and the first ``MAX_EVENTS_PER_BATCH`` + 1 positions of a batch are gathered as (pos, seq, event_id).
+    A longer batch is refused for its size, so a request that holds a third of all events is no large row.
+    ``stored_high``: (trace_id, high0) of stored events (A1). ``dup_stored`` is false here; ``rep_ids`` has all the batch's ids."""
+    x = envelope_violations(subs)
+    x = violations_array(x, "payload_json", PAYLOAD_RULES, gate_col="type", out="pay",
+                         prefix=F.concat(F.lit("events."), F.col("pos").cast("string"), F.lit(".payload.")))
+    entry = F.when(F.col("pos") <= MAX_EVENTS_PER_BATCH, F.struct("pos", "seq", "event_id"))
+    b = (x.select(*BATCH_KEYS, "pos", "seq", "event_id", _non_null("env").alias("n_env"), _non_null("pay").alias("n_pay"))
+         .groupBy(*BATCH_KEYS).agg(F.count(F.lit(1)).alias("n_events"), F.sum("n_env").alias("n_env"), F.sum("n_pay").alias("n_pay"),
+                                   F.max("seq").alias("hi"), F.sort_array(F.collect_list(entry)).alias("_events")))
+    seqs, ids = F.col("_events.seq"), F.col("_events.event_id")
+    steps = F.zip_with(F.slice(seqs, 2, MAX_EVENTS_PER_BATCH), F.slice(seqs, 1, F.greatest(F.size(seqs) - 1, F.lit(0))), lambda now, was: now <= was)
+    b = (b.withColumn("lo", F.get(seqs, F.lit(0)))
+         .withColumn("internal_bad", F.coalesce(F.exists(steps, lambda bad: F.coalesce(bad, F.lit(False))), F.lit(False)))
+         .withColumn("rep_ids", F.array_distinct(ids)).withColumn("dup_in_batch", F.size("rep_ids") < F.size(ids))
+         .withColumn("dup_stored", F.lit(False)))
+    b = b.join(traces.select("trace_id", F.col("status").alias("_status")), "trace_id", "left")
+    if stored_high is None:
+        b = b.withColumn("high0", F.lit(0))
+    else:
+        b = b.join(stored_high, "trace_id", "left").withColumn("high0", F.coalesce("high0", F.lit(0)))
+    schema_bad = (F.col("n_env") > 0) | (F.col("n_pay") > 0) | (F.col("n_events") > MAX_EVENTS_PER_BATCH)
+    pre = (F.when(schema_bad, F.lit("schema")).when(F.col("_status").isNull(), F.lit("missing"))
+           .when(F.col("_status") != "collecting", F.lit("state")))
+    return b.select(*BATCH_KEYS, "n_events", pre.alias("pre"), "lo", "hi", "internal_bad", "dup_stored", "dup_in_batch", "rep_ids", "high0")
 
 
-def batch_outcomes(subs: DataFrame, traces: DataFrame, stored: DataFrame | None = None, replay_all: bool = False) -> DataFrame:
-    """V18/V19/V20 + A2/A3: one row per batch with outcome and response fields."""
-    counts = id_counts(subs)
-    rows = batch_rows(flag_ids(subs, stored, counts))
-    summ = batch_summaries(rows, traces, stored, in_batch_duplicates(counts))
-    out = fold_outcomes(summ, replay_all)
+def respond(summ: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """V19 + A2/A3: the response fields of each batch."""
     status = F.create_map(*[x for k, v in OUTCOME_STATUS.items() for x in (F.lit(k), F.lit(v))])
     acc = F.col("outcome") == "accepted"
-    return (summ.join(out, BATCH_KEYS)
+    return (summ.select(*BATCH_KEYS, "n_events", "lo", "hi").join(outcomes, BATCH_KEYS)
             .select(*BATCH_KEYS, "n_events", "outcome", status[F.col("outcome")].alias("http_status"),
                     F.when(acc, F.col("n_events")).otherwise(F.lit(0)).cast("long").alias("accepted"),
-                    F.when(acc, F.col("hi")).alias("seq_high"), "high_before", "lo", "rep_ids", "dup_ids"))
+                    F.when(acc, F.col("hi")).alias("seq_high"), "high_before", "lo", "dup_ids"))
+
+
+def batch_outcomes(subs: DataFrame, traces: DataFrame, stored: DataFrame | None = None, replay_all: bool = False) -> DataFrame:
+    """V18/V19/V20 + A2/A3: one row per batch with outcome and response fields. The batch summaries are written once and
+    folded from there. ``stored``: events accepted before (trace_id, event_id, seq)."""
+    if replay_all:
+        counts = id_counts(subs)
+        summ = batch_summaries(batch_rows(flag_ids(subs, stored, counts)), traces, stored, in_batch_duplicates(counts))
+        return respond(summ, fold_outcomes(summ, True))
+    high = None if stored is None else stored.groupBy("trace_id").agg(F.max("seq").cast("int").alias("high0"))
+    summ = written(request_summaries(subs, traces, high), "batch-summaries")
+    if stored is not None:
+        summ = written(mark_stored(summ, stored), "batch-summaries")
+    return respond(summ, fold_outcomes(summ))
+
+
+def mark_stored(summ: DataFrame, stored: DataFrame) -> DataFrame:
+    """``dup_stored`` of batches with an id that ``stored`` (trace_id, event_id) holds."""
+    ids = summ.where(F.col("pre").isNull()).select(*BATCH_KEYS, F.explode("rep_ids").alias("event_id"))
+    hit = ids.join(stored.select("trace_id", "event_id"), ["trace_id", "event_id"], "left_semi").select(*BATCH_KEYS).distinct()
+    return summ.drop("dup_stored").join(hit.withColumn("_hit", F.lit(True)), BATCH_KEYS, "left").withColumn("dup_stored", F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
 def state_conflicts(subs: DataFrame, traces: DataFrame) -> DataFrame:
