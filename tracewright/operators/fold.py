@@ -15,6 +15,9 @@ the ids claimed by sure batches, which it is given; so segments of one trace are
 order of batch_no and in memory bounded by the segment's unsettled ids. The mark before a batch is then the running
 maximum over accepted batches, in slices of batch numbers. A trace that holds a third of all batches is spread over
 tasks in every step; only a stretch of batches that all contradict each other is one task's work.
+
+Cutting takes a dozen shuffles of the summaries, so it is done for traces of more than ``WHOLE`` batches only. A trace
+within that bound is one small group: it is replayed whole after a single shuffle. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ from pyspark.sql import functions as F
 from tracewright.operators.common import written
 
 KEYS = ["trace_id", "batch_no"]
+SUMMARY = ["pre", "lo", "hi", "internal_bad", "dup_stored", "dup_in_batch", "rep_ids", "high0"]
+WHOLE = 1024  # batches of a trace that are replayed in one group
 RUN = 256  # batch numbers in a slice of a running maximum
 
 
@@ -91,10 +96,37 @@ def segments(summ: DataFrame) -> DataFrame:
         F.coalesce("sure_ids", none).alias("sure_ids"), F.coalesce("ids", none).alias("ids"))
 
 
+def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batch summaries in the order of (trace, batch_no): outcome of each, with the trace's mark and claimed ids as the only state."""
+    trace, high, claimed = None, 0, set()
+    for b in batches:
+        out, before, dups = [], [], []
+        cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ["trace_id", *SUMMARY]]
+        for t, pre, lo, hi, internal, stored, twice, ids, high0 in zip(*cols):
+            if t != trace:
+                trace, high, claimed = t, high0, set()
+            again = [i for i in dict.fromkeys(ids) if i in claimed]
+            outcome = pre or ("seq" if internal or lo <= high else "duplicate" if stored or again
+                              else "duplicate_in_batch" if twice else "accepted")
+            out.append(outcome)
+            before.append(high)
+            dups.append(again)
+            if outcome == "accepted":
+                high = hi
+                claimed.update(ids)
+        yield pa.RecordBatch.from_arrays(
+            [*(b.column(b.schema.get_field_index(c)) for c in KEYS), pa.array(out, pa.string()), pa.array(before, pa.int32()), pa.array(dups, pa.list_(pa.string()))],
+            [*KEYS, "outcome", "high_before", "dup_ids"])
+
+
+def replayed_outcomes(summ: DataFrame) -> DataFrame:
+    """The outcomes of ``summ``, each trace replayed whole in order of batch_no."""
+    return (summ.select(*KEYS, *SUMMARY).repartition("trace_id").sortWithinPartitions(*KEYS)
+            .mapInArrow(_replay, "trace_id string, batch_no int, outcome string, high_before int, dup_ids array<string>"))
+
+
 def segmented_outcomes(summ: DataFrame) -> DataFrame:
-    """(trace_id, batch_no, outcome, high_before, dup_ids) for each batch summary: pre, lo, hi, internal_bad, dup_stored,
-    dup_in_batch, rep_ids (ids that may occur in other batches of the trace), high0. ``summ`` is read several times: pass a
-    written table."""
+    """The outcomes of ``summ`` by segments. ``summ`` is read several times: pass a written table."""
     open_ = written(segments(summ), "fold-segments")
     replayed = (open_.select("trace_id", "segment", "batch_no", "lo", "hi", "high0", (F.col("dup_stored") | (F.size("sure_ids") > 0)).alias("known"),
                              F.col("dup_in_batch").alias("twice"), "ids")
@@ -109,3 +141,14 @@ def segmented_outcomes(summ: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     return x.select(*KEYS, "outcome", F.greatest("high0", F.coalesce("_mark", F.lit(0))).cast("int").alias("high_before"),
                     F.array_distinct(F.concat(F.coalesce("sure_ids", none), F.coalesce("again", none))).alias("dup_ids"))
+
+
+def folded(summ: DataFrame) -> DataFrame:
+    """(trace_id, batch_no, outcome, high_before, dup_ids) for each batch summary: pre, lo, hi, internal_bad, dup_stored,
+    dup_in_batch, rep_ids (ids that may occur in other batches of the trace), high0. ``summ`` is a written table."""
+    large = summ.groupBy("trace_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > WHOLE).select("trace_id")
+    if large.isEmpty():
+        return replayed_outcomes(summ)
+    large = written(large, "fold-large")
+    rest, cut = summ.join(large, "trace_id", "left_anti"), written(summ.join(large, "trace_id", "left_semi"), "fold-cut")
+    return replayed_outcomes(rest).unionByName(segmented_outcomes(cut))

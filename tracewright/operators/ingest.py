@@ -21,15 +21,12 @@ summaries move.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.jsonrules import SparkDialect, enum_message
 from tracewright.operators.common import written
-from tracewright.operators.fold import segmented_outcomes
+from tracewright.operators.fold import folded, replayed_outcomes
 from tracewright.operators.validate import explode_violations, violations_array
 from tracewright.schemas import ENUMS, ENVELOPE_RULES, MAX_EVENTS_PER_BATCH, PAYLOAD_RULES
 
@@ -180,41 +177,10 @@ def batch_summaries(rows: DataFrame, traces: DataFrame, stored: DataFrame | None
     return summ.withColumn("pre", pre).withColumn("high0", F.coalesce(F.col("_high0"), F.lit(0)).cast("int"))
 
 
-_SUMMARY = ["pre", "lo", "hi", "internal_bad", "dup_stored", "dup_in_batch", "rep_ids", "high0"]
-
-
-def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batch summaries in the order of (trace, batch_no): outcome of each, with
-    the trace's high-water mark and claimed ids as the only state."""
-    trace, high, claimed = None, 0, set()
-    for b in batches:
-        out, before, dups = [], [], []
-        cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ["trace_id", *_SUMMARY]]
-        for t, pre, lo, hi, internal, stored, twice, ids, high0 in zip(*cols):
-            if t != trace:
-                trace, high, claimed = t, high0, set()
-            again = [i for i in dict.fromkeys(ids) if i in claimed]
-            outcome = pre or ("seq" if internal or lo <= high else "duplicate" if stored or again
-                              else "duplicate_in_batch" if twice else "accepted")
-            out.append(outcome)
-            before.append(high)
-            dups.append(again)
-            if outcome == "accepted":
-                high = hi
-                claimed.update(ids)
-        yield pa.RecordBatch.from_arrays(
-            [b.column(b.schema.get_field_index("trace_id")), b.column(b.schema.get_field_index("batch_no")), pa.array(out, pa.string()),
-             pa.array(before, pa.int32()), pa.array(dups, pa.list_(pa.string()))],
-            ["trace_id", "batch_no", "outcome", "high_before", "dup_ids"])
-
-
 def fold_outcomes(summ: DataFrame, replay_all: bool = False) -> DataFrame:
-    """The outcome of each batch against what its trace has accepted: by segments that are replayed side by side
-    (``operators/fold.py``), or with ``replay_all`` a trace at a time in order of batch_no."""
-    if not replay_all:
-        return segmented_outcomes(summ)
-    return (summ.select("trace_id", "batch_no", *_SUMMARY).repartition("trace_id").sortWithinPartitions("trace_id", "batch_no")
-            .mapInArrow(_replay, "trace_id string, batch_no int, outcome string, high_before int, dup_ids array<string>"))
+    """The outcome of each batch against what its trace has accepted (``operators/fold.py``). ``replay_all`` replays
+    every trace whole, however many batches it has."""
+    return replayed_outcomes(summ) if replay_all else folded(summ)
 
 
 def request_summaries(subs: DataFrame, traces: DataFrame, stored_high: DataFrame | None = None) -> DataFrame:

@@ -42,6 +42,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table's scan dealt over all cores where its files give fewer splits than there are cores: rules and regexes cost
+    far more than moving so few rows. A table of more splits than cores is left as it is. ``df`` is a plain scan."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _code_version() -> str:
     """Hash of the package source: any code change gives new table paths."""
     h = hashlib.sha1()
@@ -74,7 +81,7 @@ def _input_stamp(spark: SparkSession, sf_dir: str) -> str:
         return repr([sorted(map(str, rows)) for rows in meta])
 
 
-def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def materialized(spark: SparkSession, sf_dir: str, name: str, build, dealt: bool = False) -> DataFrame:
     """Read derived table ``name`` from the shared checkpoint folder, writing it
     first if absent. Keyed by input folder, its files (sizes and modification
     times) and the code version, so changed input or code never reads a
@@ -84,7 +91,7 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
     path = scratch_path(spark, f"tw-bindings/{key}/{name}")
     if not _written(spark, path):
         build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spread(spark.read.parquet(path)) if dealt else spark.read.parquet(path)
 
 
 def _written(spark: SparkSession, path: str) -> bool:
@@ -182,7 +189,7 @@ def _payload(eid: Column, typ: Column, blob_id: Column) -> Column:
 
 
 def tel_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialized(spark, sf_dir, "tel_events", lambda: build_tel_events(spark, sf_dir))
+    return materialized(spark, sf_dir, "tel_events", lambda: build_tel_events(spark, sf_dir), dealt=True)
 
 
 def build_tel_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +213,7 @@ def build_tel_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tel_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialized(spark, sf_dir, "tel_submissions", lambda: build_tel_submissions(tel_events(spark, sf_dir)))
+    return materialized(spark, sf_dir, "tel_submissions", lambda: build_tel_submissions(tel_events(spark, sf_dir)), dealt=True)
 
 
 def build_tel_submissions(te: DataFrame) -> DataFrame:
