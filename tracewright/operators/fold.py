@@ -143,12 +143,13 @@ def segmented_outcomes(summ: DataFrame) -> DataFrame:
                     F.array_distinct(F.concat(F.coalesce("sure_ids", none), F.coalesce("again", none))).alias("dup_ids"))
 
 
-def folded(summ: DataFrame) -> DataFrame:
+def folded(summ: DataFrame, marked: DataFrame) -> DataFrame:
     """(trace_id, batch_no, outcome, high_before, dup_ids) for each batch summary: pre, lo, hi, internal_bad, dup_stored,
-    dup_in_batch, rep_ids (ids that may occur in other batches of the trace), high0. ``summ`` is a written table."""
+    dup_in_batch, rep_ids (ids that may occur in other batches of the trace), high0. ``summ`` is a written table,
+    ``marked`` has the same rows with ``dup_stored`` as it is to be."""
     large = summ.groupBy("trace_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > WHOLE).select("trace_id")
     if large.isEmpty():
-        return replayed_outcomes(summ)
+        return replayed_outcomes(marked)
     large = written(large, "fold-large")
-    rest, cut = summ.join(large, "trace_id", "left_anti"), written(summ.join(large, "trace_id", "left_semi"), "fold-cut")
+    rest, cut = marked.join(large, "trace_id", "left_anti"), written(marked.join(large, "trace_id", "left_semi"), "fold-cut")
     return replayed_outcomes(rest).unionByName(segmented_outcomes(cut))

@@ -177,10 +177,12 @@ def batch_summaries(rows: DataFrame, traces: DataFrame, stored: DataFrame | None
     return summ.withColumn("pre", pre).withColumn("high0", F.coalesce(F.col("_high0"), F.lit(0)).cast("int"))
 
 
-def fold_outcomes(summ: DataFrame, replay_all: bool = False) -> DataFrame:
-    """The outcome of each batch against what its trace has accepted (``operators/fold.py``). ``replay_all`` replays
-    every trace whole, however many batches it has."""
-    return replayed_outcomes(summ) if replay_all else folded(summ)
+def fold_outcomes(summ: DataFrame, replay_all: bool = False, stored: DataFrame | None = None) -> DataFrame:
+    """The outcome of each batch against what its trace has accepted (``operators/fold.py``) and against ids
+    ``stored`` before (V13). ``replay_all`` replays every trace whole, however many batches it has."""
+    if stored is None:
+        return replayed_outcomes(summ) if replay_all else folded(summ, summ)
+    return folded(summ, mark_stored(summ, stored))
 
 
 def request_summaries(subs: DataFrame, traces: DataFrame, stored_high: DataFrame | None = None) -> DataFrame:
@@ -191,25 +193,22 @@ def request_summaries(subs: DataFrame, traces: DataFrame, stored_high: DataFrame
     x = envelope_violations(subs)
     x = violations_array(x, "payload_json", PAYLOAD_RULES, gate_col="type", out="pay",
                          prefix=F.concat(F.lit("events."), F.col("pos").cast("string"), F.lit(".payload.")))
+    # few steps from here on: each one analyses the rules' expressions again
     entry = F.when(F.col("pos") <= MAX_EVENTS_PER_BATCH, F.struct("pos", "seq", "event_id"))
-    b = (x.select(*BATCH_KEYS, "pos", "seq", "event_id", _non_null("env").alias("n_env"), _non_null("pay").alias("n_pay"))
-         .groupBy(*BATCH_KEYS).agg(F.count(F.lit(1)).alias("n_events"), F.sum("n_env").alias("n_env"), F.sum("n_pay").alias("n_pay"),
-                                   F.max("seq").alias("hi"), F.sort_array(F.collect_list(entry)).alias("_events")))
+    b = x.groupBy(*BATCH_KEYS).agg(F.count(F.lit(1)).alias("n_events"), F.sum(_non_null("env")).alias("n_env"), F.sum(_non_null("pay")).alias("n_pay"),
+                                   F.max("seq").alias("hi"), F.sort_array(F.collect_list(entry)).alias("_events"))
+    b = b.join(traces.select("trace_id", F.col("status").alias("_status")), "trace_id", "left")
+    if stored_high is not None:
+        b = b.join(stored_high, "trace_id", "left")
     seqs, ids = F.col("_events.seq"), F.col("_events.event_id")
     steps = F.zip_with(F.slice(seqs, 2, MAX_EVENTS_PER_BATCH), F.slice(seqs, 1, F.greatest(F.size(seqs) - 1, F.lit(0))), lambda now, was: now <= was)
-    b = (b.withColumn("lo", F.get(seqs, F.lit(0)))
-         .withColumn("internal_bad", F.coalesce(F.exists(steps, lambda bad: F.coalesce(bad, F.lit(False))), F.lit(False)))
-         .withColumn("rep_ids", F.array_distinct(ids)).withColumn("dup_in_batch", F.size("rep_ids") < F.size(ids))
-         .withColumn("dup_stored", F.lit(False)))
-    b = b.join(traces.select("trace_id", F.col("status").alias("_status")), "trace_id", "left")
-    if stored_high is None:
-        b = b.withColumn("high0", F.lit(0))
-    else:
-        b = b.join(stored_high, "trace_id", "left").withColumn("high0", F.coalesce("high0", F.lit(0)))
     schema_bad = (F.col("n_env") > 0) | (F.col("n_pay") > 0) | (F.col("n_events") > MAX_EVENTS_PER_BATCH)
     pre = (F.when(schema_bad, F.lit("schema")).when(F.col("_status").isNull(), F.lit("missing"))
            .when(F.col("_status") != "collecting", F.lit("state")))
-    return b.select(*BATCH_KEYS, "n_events", pre.alias("pre"), "lo", "hi", "internal_bad", "dup_stored", "dup_in_batch", "rep_ids", "high0")
+    return b.select(*BATCH_KEYS, "n_events", pre.alias("pre"), F.get(seqs, F.lit(0)).alias("lo"), "hi",
+                    F.coalesce(F.exists(steps, lambda bad: F.coalesce(bad, F.lit(False))), F.lit(False)).alias("internal_bad"),
+                    F.lit(False).alias("dup_stored"), (F.size(F.array_distinct(ids)) < F.size(ids)).alias("dup_in_batch"), F.array_distinct(ids).alias("rep_ids"),
+                    (F.lit(0) if stored_high is None else F.coalesce("high0", F.lit(0))).alias("high0"))
 
 
 def respond(summ: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -231,9 +230,7 @@ def batch_outcomes(subs: DataFrame, traces: DataFrame, stored: DataFrame | None
         return respond(summ, fold_outcomes(summ, True))
     high = None if stored is None else stored.groupBy("trace_id").agg(F.max("seq").cast("int").alias("high0"))
     summ = written(request_summaries(subs, traces, high), "batch-summaries")
-    if stored is not None:
-        summ = written(mark_stored(summ, stored), "batch-summaries")
-    return respond(summ, fold_outcomes(summ))
+    return respond(summ, fold_outcomes(summ, stored=stored))
 
 
 def mark_stored(summ: DataFrame, stored: DataFrame) -> DataFrame:

@@ -10,11 +10,10 @@ from tracewright.streaming.incremental import EVENT_COLS, replay_incremental
 
 @query("incremental_ingest", ORACLES["accepted_events"])
 def incremental_ingest(spark, sf):
-    """Submissions streamed in batch_no ranges (two batch numbers an epoch, so
-    most epochs meet stored ids and high-water marks); the stored events equal
-    the batch fold's accepted events."""
-    return replay_incremental(spark, B.tel_submissions(spark, sf), B.tel_traces(spark, sf),
-                              batches_per_epoch=2).select(*EVENT_COLS)
+    """Submissions streamed in six epochs of about equally many rows, each against
+    the state index of the ones before it; the stored events equal the batch
+    fold's accepted events."""
+    return replay_incremental(spark, B.tel_submissions(spark, sf), B.tel_traces(spark, sf)).select(*EVENT_COLS)
 
 
 _ = q_ingest  # the oracle is shared with accepted_events

@@ -1,41 +1,41 @@
 """Incremental ingestion with Structured Streaming.
 
 Submissions arrive as files; each micro-batch runs the batch ingestion
-operators against the *stored* event table, which is the only state:
-
-* high-water mark per trace = ``max(seq)`` of stored events (A1, a partial
-  aggregate), stored ids = a semi join on (trace_id, event_id) (V13);
-* accepted events are appended to the stored table under ``epoch=<id>``, and
-  outcomes to an outcome table, both by dynamic partition overwrite, so a
-  retried epoch rewrites its own rows instead of rejecting them as
-  duplicates (X3); reads of the stored table exclude the current epoch;
+operators against a compact index of what earlier epochs stored
+(``streaming/state.py``), never against the stored events themselves:
+
+* high-water mark per trace from the index's marks (A1), stored ids from its
+  Bloom filters and, for the ids they let through, its id lists (V13);
+* accepted events go to the stored table under ``epoch=<id>``, outcomes to an
+  outcome table and the index's parts likewise; a retried epoch overwrites its
+  own parts instead of rejecting its rows as duplicates (X3), and reads only
+  what earlier epochs wrote;
 * late / out-of-order events are rejected by the seq rule (X4); finalized
   traces refuse events through the status check (X5). No watermark and no
   unbounded operator state are needed.
 
-The stored table is partitioned by epoch and by bucket of the trace, and sorted
-by (trace_id, seq): a micro-batch reads the state of its own traces only.
+An epoch is written by as many tasks as the shuffle has: events are dealt by
+trace and stretch of seq, so a hot trace is no single task, and sorted by
+(trace_id, seq).
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.operators import ingest as I
+from tracewright.operators.common import written
 from tracewright.schemas import SUBMISSION_TABLE
 from tracewright.session import scratch_path
+from tracewright.streaming.state import StateIndex
 
-BUCKETS = 16
 EVENT_COLS = ["trace_id", "event_id", "seq", "ts_ms", "type", "actor_kind", "payload_json"]
-
-
-def bucket_of(trace_id: Column) -> Column:
-    """Bucket of the stored event table that holds a trace; a partition column, so reads of some traces are pruned."""
-    return F.pmod(F.xxhash64(trace_id), F.lit(BUCKETS)).cast("int")
+STRETCH = 4096  # seq values of a trace that one task writes
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -55,21 +55,31 @@ def stored_events(spark: SparkSession, table: str, before_epoch: int | None = No
 
 def ingest_epoch(spark: SparkSession, batch: DataFrame, epoch_id: int, traces: DataFrame,
                  events_table: str, outcomes_table: str) -> None:
-    """One micro-batch: fold its request batches onto the stored state."""
-    stored = stored_events(spark, events_table, before_epoch=epoch_id)
-    if stored is None:
-        stored = spark.createDataFrame([], "trace_id string, event_id string, seq int")
-    else:  # state of the micro-batch's traces only, in the store's buckets that hold them
-        here = batch.select("trace_id").distinct().withColumn("bucket", bucket_of(F.col("trace_id")))
-        stored = stored.select("bucket", "trace_id", "event_id", "seq").join(here, ["bucket", "trace_id"], "left_semi")
-    out = I.batch_outcomes(batch, traces, stored.select("trace_id", "event_id", "seq"))
-    out = out.select("trace_id", "batch_no", "n_events", "outcome", "http_status", "accepted", "seq_high",
-                     "high_before").withColumn("epoch", F.lit(epoch_id))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(outcomes_table)
-    done = spark.read.parquet(outcomes_table).where(F.col("epoch") == epoch_id)
-    acc = I.accepted_events(batch, done).select(*EVENT_COLS).withColumn("epoch", F.lit(epoch_id)).withColumn("bucket", bucket_of(F.col("trace_id")))
-    (acc.repartition("bucket").sortWithinPartitions("bucket", "trace_id", "seq")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch", "bucket").parquet(events_table))
+    """One micro-batch: fold its request batches onto the state that earlier epochs left. The index stands beside the event table."""
+    index = StateIndex(spark, os.path.join(os.path.dirname(events_table), "state"))
+    summ = written(I.request_summaries(batch, traces, index.highs(epoch_id)), "epoch-summaries")
+    ids = summ.where(F.col("pre").isNull() & ~F.col("internal_bad")).select("trace_id", F.explode("rep_ids").alias("event_id"))
+    outcomes = I.fold_outcomes(summ, stored=index.stored_ids(ids, epoch_id))
+    out = I.respond(summ, outcomes).select("trace_id", "batch_no", "n_events", "outcome", "http_status", "accepted", "seq_high", "high_before")
+    at = f"{outcomes_table}/epoch={epoch_id}"
+    out.write.mode("overwrite").parquet(at)
+    done = spark.read.schema(out.schema).parquet(at).where(F.col("outcome") == "accepted")
+
+    def events() -> None:
+        acc = I.accepted_events(batch, done).select(*EVENT_COLS).withColumn("_stretch", F.floor(F.col("seq") / STRETCH))
+        (acc.repartition("trace_id", "_stretch").sortWithinPartitions("trace_id", "seq").drop("_stretch")
+         .write.mode("overwrite").parquet(f"{events_table}/epoch={epoch_id}"))
+
+    def marks() -> None:
+        index.add_highs(done.groupBy("trace_id").agg(F.max("seq_high").alias("high0")), epoch_id)
+
+    def claims() -> None:
+        accepted = summ.join(done.select("trace_id", "batch_no"), ["trace_id", "batch_no"], "left_semi")
+        index.add_ids(accepted.select("trace_id", F.explode("rep_ids").alias("event_id")), epoch_id)
+
+    with ThreadPoolExecutor(3) as pool:  # three independent writes
+        for f in [pool.submit(w) for w in (events, marks, claims)]:
+            f.result()
 
 
 def run_incremental(spark: SparkSession, source_dir: str, traces: DataFrame, work_dir: str,
@@ -96,18 +106,22 @@ def arrive(subs: DataFrame, source_dir: str) -> None:
     subs.select(*SUBMISSION_TABLE.names).repartition("trace_id", "batch_no").write.mode("append").parquet(source_dir)
 
 
-def replay_incremental(spark: SparkSession, subs: DataFrame, traces: DataFrame,
-                       batches_per_epoch: int = 2) -> DataFrame:
-    """Replay submissions through the stream: batch_no ranges arrive one after
-    another and each is an epoch against what the earlier ones stored; returns the
-    stored (accepted) events. Uses a fresh folder under the shared checkpoint
-    folder per run."""
+def epoch_bounds(subs: DataFrame, epochs: int) -> list[int]:
+    """Last batch number of each epoch but the last, so that epochs hold about equally many rows: fewer than ``epochs`` numbers."""
+    cuts = subs.agg(F.percentile_approx("batch_no", [i / epochs for i in range(1, epochs)], 10_000)).first()[0]
+    return sorted(set(cuts or []))
+
+
+def replay_incremental(spark: SparkSession, subs: DataFrame, traces: DataFrame, epochs: int = 6) -> DataFrame:
+    """Replay submissions through the stream: ranges of batch_no with about equally many rows arrive one after
+    another, however many batches a trace has, and each is an epoch against what the earlier ones stored. Returns the
+    stored (accepted) events. Uses a fresh folder under the shared checkpoint folder per run."""
     work = scratch_path(spark, f"tw-stream-{uuid.uuid4().hex}")
     source = os.path.join(work, "incoming")
-    top = subs.agg(F.max("batch_no")).first()[0]
-    events_table = os.path.join(work, "events")
-    for lo in range(0, 1 if top is None else top + 1, batches_per_epoch):
-        arrive(subs.where(F.col("batch_no").between(lo, lo + batches_per_epoch - 1)), source)
-        events_table, _ = run_incremental(spark, source, traces, work)
-    stored = stored_events(spark, events_table)
+    bounds = epoch_bounds(subs, epochs)
+    no = F.col("batch_no")
+    for lo, hi in zip([None, *bounds], [*bounds, None]):
+        arrive(subs.where((F.lit(True) if lo is None else no > lo) & (F.lit(True) if hi is None else no <= hi)), source)
+        run_incremental(spark, source, traces, work)
+    stored = stored_events(spark, os.path.join(work, "events"))
     return stored if stored is not None else spark.createDataFrame([], SUBMISSION_TABLE)
