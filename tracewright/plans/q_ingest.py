@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tracewright.functions.jsonrules import DuckDialect, compile_rules, enum_message
 from tracewright.operators import ingest as I
+from tracewright.operators.event_store import EventStore
 from tracewright.plans.oracle_views import with_views
 from tracewright.plans.q_validate import duck_payload_array
 from tracewright.plans.registry import query
-from tracewright.schemas import ENUMS, ENVELOPE_RULES
+from tracewright.schemas import ENUMS, ENVELOPE_RULES, STORED_EVENT
+from tracewright.session import scratch_path
 from tracewright.sources import bindings as B
 
 
@@ -270,6 +274,38 @@ def event_json_typed(spark, sf):
     return t.select("trace_id", "batch_no", "pos", "event_id", "seq", "ts_ms", "actor_id", "context.branch", F.col("context").isNotNull().alias("has_context"))
 
 
+_TYPED_SQL = """
+SELECT trace_id, coalesce(json_extract_string(event_json, '$.event_id'), concat('ev-', sha256(concat(trace_id, '/', batch_no, '/', pos)))) AS event_id,
+       CASE WHEN json_type(event_json, '$.seq') = 'BOOLEAN' THEN 1 ELSE CAST(trunc(CAST(json_extract_string(event_json, '$.seq') AS DOUBLE)) AS INT) END AS seq,
+       json_extract_string(event_json, '$.actor.kind') AS actor_kind, json_extract_string(event_json, '$.actor.id') AS actor_id,
+       json_type(event_json, '$.context') IS NOT NULL AS has_context, json_extract_string(event_json, '$.context.branch') AS branch,
+       json_extract_string(event_json, '$.context.commit_head') AS commit_head
+FROM tel_event_json"""
+
+
+@query("event_store_by_trace", with_views("""
+SELECT e.*, t.status FROM typed e LEFT JOIN tel_traces t USING (trace_id)""", "tel_event_json", "tel_traces", extra={"typed": _TYPED_SQL}))
+def event_store_by_trace(spark, sf):
+    """Submitted events typed, stored in buckets of their trace with actor and context, read back and joined
+    with the trace's status where they lie."""
+    t = I.typed_events(B.tel_event_json(spark, sf))
+    actor = F.when(F.col("actor_kind").isNotNull(), F.struct(F.col("actor_kind").alias("kind"), F.col("actor_id").alias("id")))
+    store = EventStore(spark, scratch_path(spark, f"tw-events-{uuid.uuid4().hex}")).write(t.withColumn("actor", actor).withColumn("seq", F.col("seq").cast("int")))
+    e = store.with_traces(B.tel_traces(spark, sf).select("trace_id", "status"), "left")
+    return e.select("trace_id", "event_id", "seq", F.col("actor.kind").alias("actor_kind"), F.col("actor.id").alias("actor_id"),
+                    F.col("context").isNotNull().alias("has_context"), "context.branch", "context.commit_head", "status")
+
+
+@query("event_store_marks", with_views("""
+SELECT trace_id, CAST(count(*) AS BIGINT) AS n_events, max(seq) AS seq_high FROM tel_events GROUP BY trace_id""", "tel_events"))
+def event_store_marks(spark, sf):
+    """Marks per trace from the bucketed event table, aggregated where the events lie."""
+    none = F.lit(None).cast(STORED_EVENT["context"].dataType)
+    ev = B.tel_events(spark, sf).withColumn("actor", F.struct(F.col("actor_kind").alias("kind"), F.lit(None).cast("string").alias("id"))).withColumn("context", none)
+    store = EventStore(spark, scratch_path(spark, f"tw-events-{uuid.uuid4().hex}")).write(ev)
+    return store.per_trace(F.count(F.lit(1)).alias("n_events"), F.max("seq").alias("seq_high"))
+
+
 @query("request_size_check", """
 WITH r AS (SELECT DISTINCT event_id // 101 AS request_id FROM events UNION SELECT max(event_id) // 101 + 1 FROM events),
 n AS (SELECT event_id // 101 AS request_id, count(*) AS n FROM events GROUP BY 1)

@@ -3,15 +3,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tracewright.operators import lifecycle as LC
+from tracewright.operators.qa_store import QaStore, apply_judge, apply_tests
 from tracewright.operators.timeline import PART_EVENTS, ordered_join, part_no
 from tracewright.plans import q_judge, q_packet
 from tracewright.plans.oracle_views import with_views
 from tracewright.plans.q_validate import _duck_explode, duck_doc_array
 from tracewright.plans.registry import query
 from tracewright.schemas import FINALIZE_RULES, SCORE_NAMES
+from tracewright.session import scratch_path
 from tracewright.sources import bindings as B
 
 NOW_MS = 1_800_000_000_000  # finalize time stamp used in replay (a plan parameter)
@@ -272,6 +276,20 @@ def qa_upsert(spark, sf):
             .select("trace_id", "tests.runner", "tests.n_invocations", "judge.overall"))
 
 
+@query("qa_stored_stages", _sql("""
+SELECT s.trace_id, s.status, s.schema_valid, s.error, CASE WHEN s.has_tests AND s.status_before = 'finalizing' THEN q.runner END AS runner,
+       CASE WHEN s.has_tests AND s.status_before = 'finalizing' THEN q.n_invocations END AS n_invocations,
+       CASE WHEN s.has_tests AND s.status_before = 'finalizing' AND s.judge_outcome = 'ok' THEN j.overall END AS overall
+FROM lc_stages s LEFT JOIN lc_tests q USING (trace_id) LEFT JOIN jg_results j USING (trace_id)"""))
+def qa_stored_stages(spark, sf):
+    """The test stage and then the judge stage change the stored QA records, which are read back."""
+    store = QaStore(spark, scratch_path(spark, f"tw-qa-{uuid.uuid4().hex}")).create(B.tel_traces(spark, sf))
+    apply_tests(store, _tests(spark, sf).select("trace_id", "runner", "n_invocations", "final_passed"))
+    section = F.struct("model", "rubric_version", "overall", "rationale_blob_id", "flags")
+    apply_judge(store, _judge(spark, sf).join(q_judge._results(spark, sf).select("trace_id", section.alias("judge")), "trace_id", "left"))
+    return store.records().select("trace_id", "status", "schema_valid", "error", "tests.runner", "tests.n_invocations", "judge.overall")
+
+
 @query("judge_rationale_blobs", _sql("""
 SELECT DISTINCT rationale_blob_id AS blob_id, rationale AS content, 'text/plain' AS content_type, CAST(octet_length(encode(rationale)) AS BIGINT) AS byte_length
 FROM jg_results WHERE rationale_blob_id NOT IN (SELECT concat('sha256:', sha256(text)) FROM documents)"""))

@@ -173,6 +173,15 @@ EVENT_TABLE = T.StructType([
     T.StructField("payload_json", T.StringType()),
 ])
 
+# An event as it is stored: actor and context normalized, the payload as it was sent.
+STORED_EVENT = T.StructType([
+    *EVENT_TABLE.fields[:5],
+    T.StructField("actor", T.StructType([T.StructField("kind", T.StringType()), T.StructField("id", T.StringType())])),
+    T.StructField("context", T.StructType([T.StructField(n, T.StringType()) for n in (
+        "workspace_root", "branch", "commit_head", "correlation_id", "parent_event_id")])),
+    T.StructField("payload_json", T.StringType()),
+])
+
 SUBMISSION_TABLE = T.StructType([
     T.StructField("trace_id", T.StringType()),
     T.StructField("batch_no", T.IntegerType()),
