@@ -60,7 +60,7 @@ def test_another_session_opens_the_table_and_one_trace_reads_one_bucket(spark):
     store.spark.sql(f"DROP TABLE IF EXISTS {store.table}")
     store.open()
     one = store.of_trace("t7")
-    assert "SelectedBucketsCount: 1 out of 16" in store.main().where("trace_id = 't7'")._explain_string("formatted")
+    assert store.main().where("trace_id = 't7'").rdd.getNumPartitions() == 1 < store.main().rdd.getNumPartitions()  # one bucket's file is read
     assert sorted(r.event_id for r in one.collect()) == sorted(r.event_id for r in ev.where("trace_id = 't7'").collect())
     assert store.of_trace("hot").count() == 1000 and store.of_trace("none").count() == 0
 
