@@ -15,7 +15,8 @@ also starts earlier (smaller id, or the same document and an earlier start).
 
 Results are exact but for collisions of 128-bit hashes.
 
-Defined cases: a null text has no words; texts under 20 words lose nothing; null ids come before all others; texts of
+Defined cases: a null text has no words; texts under 20 words lose nothing; a text longer than a chunk makes a chunk of its
+own, so the longest text bounds a task's memory; null ids come before all others; texts of
 equal ids are ordered by their digests; rows that repeat id and text are one document; other columns are not
 read; an empty table gives an empty result.
 """
@@ -41,6 +42,7 @@ BLOCK = 10
 GRANULE = 8              # positions of hits are kept to this many words
 CHUNK = 1 << 22          # bytes of text in a chunk
 BUCKET_BYTES = 1 << 22   # bytes of text per bucket, about
+ROUND = 1 << 25          # bytes of starts that a task gathers before it emits them
 
 
 def _words(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -310,30 +312,46 @@ def later_windows(hashes: list[bytes], places: list[bytes], docs: list[bytes]) -
 
 
 def _settle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in the order of bucket to (k, starts); starts that are final pass."""
-    def out(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.binary()), pa.array([y for _, y in pairs], pa.binary())], ["k", "starts"])
-
-    def settle(held: list[tuple]) -> list[tuple[bytes, bytes]]:
-        return [(k, s.astype("<u4").tobytes()) for k, s in later_windows(*map(list, zip(*held)))]
+    """Rows in the order of bucket to (k, starts); starts that are final pass. A task gathers the starts that its buckets
+    find in a text before it emits them, in rounds of about ``ROUND`` bytes: a text costs a row per task and round, not
+    one per bucket, and never more than one per repeated window."""
+    found: dict[bytes, list[bytes]] = {}
+    size = 0
+
+    def add(pairs: Iterator[tuple[bytes, bytes]]) -> None:
+        nonlocal size
+        for k, x in pairs:
+            found.setdefault(k, []).append(x)
+            size += len(x) + 100
+
+    def out() -> pa.RecordBatch:
+        nonlocal size
+        made = pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array([b"".join(x) for x in found.values()], pa.binary())], ["k", "starts"])
+        found.clear()
+        size = 0
+        return made
+
+    def settle(held: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+        return ((k, s.astype("<u4").tobytes()) for k, s in later_windows(*map(list, zip(*held))))
 
     now, held = None, []
     for b in batches:
-        done = []
         cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("bucket", "hashes", "places", "docs", "k", "starts")]
         for bucket, hashes, places, docs, k, starts in zip(*cols):
             if hashes is None:
-                done.append((k, starts))
+                add([(k, starts)])
                 continue
             if bucket != now:
                 if held:
-                    done += settle(held)
+                    add(settle(held))
                 now, held = bucket, []
             held.append((hashes, places, docs))
-        if done:
-            yield out(done)
-    if held and (done := settle(held)):
-        yield out(done)
+        if size >= ROUND:
+            yield out()
+    if held:
+        add(settle(held))
+    if found:
+        yield out()
 
 
 def _cut_batches(window: int, with_text: bool):
