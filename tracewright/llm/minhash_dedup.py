@@ -351,7 +351,7 @@ def _blocked(opened: DataFrame) -> DataFrame:
 
 
 def minhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK,
-                  chunk_nodes: int = 20_000) -> DataFrame:
+                  chunk_nodes: int = 5_000) -> DataFrame:
     """(id, n_shingles, component_id, kept) for each row."""
     spark = df.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
