@@ -118,13 +118,28 @@ def test_stages_equal_brute_force(spark, tmp_path, seed):
     assert max(fill.values()) <= 2048 and len(fill) <= -(-sum(size.values()) // 2048) + 1
 
 
-def test_empty_and_clashing(spark, tmp_path):
+def test_empty_table(spark, tmp_path):
     empty = spark.createDataFrame([], SCHEMA)
     empty.write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
-    rows = [(1, "One two three. " * 9, "en", "s", 5, True, 7), (2, None, None, None, None, None, None)]
-    docs = spark.createDataFrame(rows, SCHEMA + ", kept boolean, taken int")
+
+
+MADE = ["kept", "size", "taken", "target", "epochs", "source_size", "n_words", "n_removed", "spans", "kept_sha256", "kept_text", "clean_text",
+        "first_ord", "component_id", "n_shingles", "base_failed", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "k", "ord",
+        "id", "copies", "near", "starts", "bucket", "__ord", "__k", "__nth", "__c0", "__carried_0", "__llm_id", "a.b", "a b"]
+
+
+def test_foreign_columns_keep_their_values(spark):
+    """Every name that an operator makes stands in the input with values of its own; each stage returns them."""
+    text = "One two three four five six seven eight nine ten eleven twelve. Some more words that end with a stop are here now.\n"
+    rows = [(i, text.replace("One", f"Word{i}") + f"Another line {i} of prose that ends well.", "en", "ab"[i % 2], 9, *[f"{c}-{i}" for c in MADE])
+            for i in range(6)] + [(9, None, None, None, None, *[None] * len(MADE))]
+    docs = spark.createDataFrame(rows, ", ".join([SCHEMA, *(f"`{c}` string" for c in MADE)]))
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, "").columns == docs.columns, name
-        stage(spark, docs, "").collect()
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        got = [r for r in out.collect() if r[0] != 9]
+        assert got, name
+        for r in got:
+            assert list(r[5:]) == [f"{c}-{r[0]}" for c in MADE], name
     corpus_pipeline.pack(spark, docs, "").collect()
