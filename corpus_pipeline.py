@@ -1,7 +1,8 @@
 """Training-data pipeline over the ``documents`` table.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
-one's ``docs``. All stages but the last return the columns they were given.
+one's ``docs``. All stages but the last return the columns they were given, by value: columns beside OWN go through a stage
+under private names, so none of them meets a column that an operator makes.
 
 quality_rules    lines that fail a rule go, documents that lose too much or fail a base rule go
 near_dedup       of each group of near-duplicates the document with the least id stays
@@ -12,6 +13,9 @@ packing          documents become pieces of at most 2048 tokens with a place in
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,17 +30,31 @@ from tracewright.llm.substring_dedup import substring_dedup
 TOKENIZER = "byte_bpe_50k.json"
 
 
+OWN = ("doc_id", "text", "source", "n_chars")
+
+
+def carrying(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with all columns but OWN renamed on the way in and named as before on the way out."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        inside = [c.lower() if c.lower() in OWN else f"__carried_{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*inside), sf_dir).select(*inside).toDF(*docs.columns)
+    return run_stage
+
+
 def _as(docs: DataFrame, out: DataFrame, text: str) -> DataFrame:
     """``out`` with the columns of ``docs``; ``text`` names the column that holds the new text."""
     new = {"text": F.col(text), "n_chars": F.char_length(F.col(text)).cast("long")}
     return out.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
+@carrying
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document of which no line failed keeps its text as it is."""
     return _as(docs, quality_rules(docs).where("kept"), "clean_text")
 
 
+@carrying
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that repeat both id and text are copies as well: one stays."""
     kept = minhash_dedup(docs.select("doc_id", "text")).where("kept").select(order_value(F.col("doc_id")).alias("__ord")).distinct()
@@ -45,12 +63,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return once.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+@carrying
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     carried = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
     out = substring_dedup(docs, with_text=True, carry=carried)
     return _as(docs, out.where("n_removed = 0 or n_removed < n_words"), "kept_text")
 
 
+@carrying
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = mix_sources(docs).where("taken > 0")
     times = F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int"))
