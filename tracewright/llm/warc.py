@@ -224,11 +224,19 @@ def reachable(nodes: DataFrame) -> DataFrame:
         jumps = saved(jumps.join(onward, ["file", "leaves"], "left").select("file", "start", F.coalesce("beyond", "leaves").alias("leaves")), "warc-jumps")
 
 
+def _stored(segments: DataFrame) -> DataFrame:
+    """The one table that holds payloads, packed by zstd."""
+    spark = segments.sparkSession
+    path = scratch_path(spark, f"llm/warc-segments-{uuid.uuid4().hex}")
+    segments.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(segments.schema).parquet(path)
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The records of the archives under ``path``: RECORD. A revisit has an empty payload; ``http_length`` is the length that its HTTP header states."""
     text = spark.read.option("lineSep", MAGIC.decode()).text(path)
-    segments = saved(text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
-                                 F.col("value").cast("binary").alias("body")).mapInArrow(_segments, _SEGMENT), "warc-segments")
+    segments = _stored(text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                                   F.col("value").cast("binary").alias("body")).mapInArrow(_segments, _SEGMENT))
     narrow = segments.drop("body")
     sizes = narrow.groupBy("file", "split").agg(F.sum(F.col("size") + M).alias("bytes"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
