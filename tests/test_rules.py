@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tracewright.operators.validate import document_violations, payload_violations
@@ -192,3 +194,37 @@ def test_new_event_type_is_one_rule_table_entry(spark):
     got = sorted((r.event_id, r.field, r.code) for r in
                  explode_violations(violations_array(df, "payload_json", rules, gate_col="type"), ["event_id"]).collect())
     assert got == [("b", "file_path", "missing"), ("b", "line", "greater_than_equal")]
+
+
+INT_PROBES = ["5", "5.0", '"5"', '"5."', '"5.0"', '"5.00"', '" 5 "', '"\\u00a05"', '"5\\u3000"', '"\\u001c5"', "1" + "0" * 30, "1e20", "1e300", "9.2e18", "5.5", "true", "null",
+              '"1_000"', '"_1"', '"1__0"', '"+5"', '"-5"', '"nan"', '"inf"', '""', "[]", "{}", "3000000000", "-7", "1e2"]
+FLOAT_PROBES = ["1", "1.5", '"1.5"', '"1."', '".5"', '"\\u00a02"', '"nan"', '"inf"', '"-inf"', '"Infinity"', '"+Infinity"', '"NaN"', '"infin"', "1e300", "-0.1", "true", '"1_0"', '"4_"', "5.04", "null", '"1e400"']
+
+
+def test_numbers_as_pydantic_reads_them(spark):
+    """Parity of every way to write a number, for an integer of at least 1 and a float of 0 to 5."""
+    import json
+
+    pydantic = pytest.importorskip("pydantic")
+
+    class M(pydantic.BaseModel):
+        exit_code: int = pydantic.Field(ge=1)
+
+    class S(pydantic.BaseModel):
+        overall: float = pydantic.Field(ge=0.0, le=5.0)
+
+    from tracewright.functions.jsonrules import MESSAGES
+    from tracewright.operators.validate import document_violations
+    from tracewright.schemas import Field
+    for model, name, kind, probes, le in ((M, "exit_code", "int", INT_PROBES, None), (S, "overall", "float", FLOAT_PROBES, 5.0)):
+        df = spark.createDataFrame([(i, f'{{"{name}":{p}}}') for i, p in enumerate(probes)], "i int, doc string")
+        rules = [Field(name, kind, ge=1 if kind == "int" else 0.0, le=le)]
+        got = {r.i: (r.code, r.message) for r in document_violations(df, ["i"], "doc", rules).collect()}
+        for i, p in enumerate(probes):
+            try:
+                model(**json.loads(f'{{"{name}":{p}}}'))
+                want = None
+            except pydantic.ValidationError as e:
+                want = (e.errors()[0]["type"], e.errors()[0]["msg"])
+            assert got.get(i) == want, p
+    assert "int_parsing_size" in MESSAGES

@@ -29,6 +29,7 @@ MESSAGES = {
     "int_type": "Input should be a valid integer",
     "int_parsing": "Input should be a valid integer, unable to parse string as an integer",
     "int_from_float": "Input should be a valid integer, got a number with a fractional part",
+    "int_parsing_size": "Unable to parse input string as an integer, exceeded maximum size",
     "bool_type": "Input should be a valid boolean",
     "bool_parsing": "Input should be a valid boolean, unable to interpret input",
     "float_type": "Input should be a valid number",
@@ -41,6 +42,10 @@ MESSAGES = {
 }
 
 
+# Fixed value: white space around numbers in strings.
+SPACE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+
 def _sq(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -80,9 +85,26 @@ class SparkDialect:
 
     @staticmethod
     def number_of(at: str) -> str:
-        """The value at ``at`` (variant, path) as a double; digits of strings may be grouped by underscores."""
+        """The value at ``at`` (variant, path) as a double; strings may have white space around and digits grouped by underscores."""
         return (f"coalesce(try_variant_get({at}, 'double'), "
-                f"try_cast(replace(try_variant_get({at}, 'string'), '_', '') AS double))")
+                f"try_cast(regexp_replace(try_variant_get({at}, 'string'), r'[_{SPACE}]', '') AS double))")
+
+    def whole(self, path: str) -> str:
+        """The value as a 64-bit integer, exact, a fraction cut off; NULL where it does not fit, or for a string that is no integer."""
+        at = f"{self.doc}, {_sq('$.' + path)}"
+        text = f"regexp_replace({self.text(path)}, r'[_{SPACE}]', '')"
+        return (f"CASE {self.kind_expr(path)} WHEN 'number' THEN try_variant_get({at}, 'bigint') WHEN 'boolean' THEN CAST({self.boolean(path)} AS BIGINT) "
+                f"WHEN 'string' THEN IF({self.regex(self.text(path), _INT_STR)}, try_cast(try_cast({text} AS decimal(38, 1)) AS bigint), NULL) END")
+
+    @staticmethod
+    def fraction(n: str) -> str:
+        return f"({n} % 1)"
+
+    def literal(self, path: str) -> str:
+        return f"to_json({self.sub(path)})"
+
+    def elem_literal(self) -> str:
+        return "to_json(x)"
 
     def text(self, path: str) -> str:
         return f"try_variant_get({self.doc}, {_sq('$.' + path)}, 'string')"
@@ -140,7 +162,17 @@ class DuckDialect:
         return self.kind(f"{path}[{i}]")
 
     def num(self, path: str) -> str:
-        return f"TRY_CAST(replace(trim(json_extract_string({self.doc}, {_sq('$.' + path)})), '_', '') AS DOUBLE)"
+        return f"TRY_CAST(regexp_replace(json_extract_string({self.doc}, {_sq('$.' + path)}), '[_{SPACE}]', '', 'g') AS DOUBLE)"
+
+    @staticmethod
+    def fraction(n: str) -> str:
+        return f"(CASE WHEN isfinite({n}) THEN {n} - trunc({n}) ELSE 0 END)"
+
+    def literal(self, path: str) -> str:
+        return f"CAST(json_extract({self.doc}, {_sq('$.' + path)}) AS VARCHAR)"
+
+    def elem_literal(self) -> str:
+        return "CAST(x AS VARCHAR)"
 
     def text(self, path: str) -> str:
         return f"json_extract_string({self.doc}, {_sq('$.' + path)})"
@@ -166,7 +198,7 @@ class DuckDialect:
         return "json_extract_string(x, '$')"
 
     def elem_num(self) -> str:
-        return "TRY_CAST(replace(trim(json_extract_string(x, '$')), '_', '') AS DOUBLE)"
+        return f"TRY_CAST(regexp_replace(json_extract_string(x, '$'), '[_{SPACE}]', '', 'g') AS DOUBLE)"
 
     def elem_index(self) -> str:
         return "CAST(i - 1 AS VARCHAR)"
@@ -184,13 +216,15 @@ class DuckDialect:
 
 
 _DIGITS = "[0-9]+(_[0-9]+)*"
-_AROUND = r"[\t-\r ]*"
-_INT_STR = rf"^{_AROUND}[+-]?{_DIGITS}(\.0*)?{_AROUND}$"
-_FLOAT_STR = rf"^{_AROUND}[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?{_AROUND}$"
+_AROUND = rf"[{SPACE}]*"
+_INT_STR = rf"^{_AROUND}[+-]?{_DIGITS}(\.0+)?{_AROUND}$"
+_FLOAT_STR = rf"^{_AROUND}[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS}|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])([eE][+-]?{_DIGITS})?{_AROUND}$"
 
 
-def _int_checks(d, k: str, n: str, text: str) -> list[tuple[str, str]]:
-    return [(f"{k} = 'number' AND {n} <> floor({n})", "int_from_float"),
+def _int_checks(d, k: str, n: str, text: str, literal: str) -> list[tuple[str, str]]:
+    """``literal`` is the JSON text of a number. Integers may have any size; a number written with a fraction or exponent must fit 64 bits."""
+    return [(f"{k} = 'number' AND {d.fraction(n)} <> 0", "int_from_float"),
+            (f"{k} = 'number' AND abs({n}) >= 9.223372036854775807E18 AND {d.regex(literal, '[.eE]')}", "int_parsing_size"),
             (f"{k} = 'string' AND NOT {d.regex(text, _INT_STR)}", "int_parsing"),
             (f"{k} NOT IN ('number', 'boolean', 'string')", "int_type")]
 
@@ -208,14 +242,16 @@ def _type_checks(d, f: Field, k: str) -> list[tuple[str, str]]:
         n = d.num(p)
         s = d.text(p)
         if kind == "int":
-            out += _int_checks(d, k, n, d.text(p))
+            out += _int_checks(d, k, n, d.text(p), d.literal(p))
         else:
             out.append((f"{k} = 'string' AND NOT {d.regex(s, _FLOAT_STR)}", "float_parsing"))
             out.append((f"{k} NOT IN ('number', 'boolean', 'string')", "float_type"))
         if f.ge is not None:
-            out.append((f"{k} <> 'boolean' AND {n} < {f.ge}", "greater_than_equal"))
+            # the upper bound, where there is one, is the first to refuse a NaN
+            below = f"{n} < {f.ge} OR isnan({n})" if f.le is None else f"{n} < {f.ge} AND NOT isnan({n})"
+            out.append((f"{k} <> 'boolean' AND ({below})", "greater_than_equal"))
         if f.le is not None:
-            out.append((f"{k} <> 'boolean' AND {n} > {f.le}", "less_than_equal"))
+            out.append((f"{k} <> 'boolean' AND ({n} > {f.le} OR isnan({n}))", "less_than_equal"))
     elif kind == "bool":
         n = d.num(p)
         words = ", ".join(_sq(x) for x in TRUE_WORDS + FALSE_WORDS)
@@ -233,7 +269,7 @@ def _type_checks(d, f: Field, k: str) -> list[tuple[str, str]]:
         out.append((f"{k} <> 'array'", "list_type"))
         out.append((f"{d.array_len(p)} > 2", "too_long"))
         # a bad element is reported instead of a short list
-        one_ok = " AND ".join(f"NOT ({c})" for c, _ in _int_checks(d, d.kind_at(p, 0), d.num(p + "[0]"), d.text(p + "[0]")))
+        one_ok = " AND ".join(f"NOT ({c})" for c, _ in _int_checks(d, d.kind_at(p, 0), d.num(p + "[0]"), d.text(p + "[0]"), d.literal(p + "[0]")))
         out.append((f"{d.array_len(p)} = 0 OR ({d.array_len(p)} = 1 AND {one_ok})", "too_short"))
     else:
         raise ValueError(f"unknown kind {kind}")
@@ -241,7 +277,7 @@ def _type_checks(d, f: Field, k: str) -> list[tuple[str, str]]:
 
 
 def _fmt_bound(f: Field, v: float) -> str:
-    return str(int(v)) if f.kind == "int" else repr(float(v))
+    return str(int(v)) if v == int(v) else repr(float(v))
 
 
 def message_for(f: Field, code: str) -> str:
@@ -288,7 +324,7 @@ def _element_item(d, f: Field, idx: int, prefix_sql: str) -> str | None:
         dom = ", ".join(_sq(x) for x in ENUMS[f.kind.split(":", 1)[1]])
         checks, ef = [(f"{k} <> 'string' OR {d.elem_text()} NOT IN ({dom})", "enum")], f
     elif f.kind == "int_pair":
-        checks, ef = _int_checks(d, k, d.elem_num(), d.elem_text()), Field(f.name, "int")
+        checks, ef = _int_checks(d, k, d.elem_num(), d.elem_text(), d.elem_literal()), Field(f.name, "int")
     else:
         return None
     field = f"concat({prefix_sql}, {_sq(f.name + '.')}, {d.elem_index()})"

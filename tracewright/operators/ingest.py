@@ -71,15 +71,16 @@ def event_json_violations(events: DataFrame, keys: list[str], doc_col: str = "ev
 def typed_events(events: DataFrame, doc_col: str = "event_json") -> DataFrame:
     """The envelope of each event's JSON as typed columns. Numbers are
     read as the rules accept them ("5", 5.0, true); an absent event_id becomes a
-    digest of (trace_id, batch_no, pos); context is a struct, the payload stays JSON."""
+    digest of (trace_id, batch_no, pos); context is a struct, the payload stays JSON.
+    Numbers are exact 64-bit integers; one that does not fit, or is no number, is null and never ends the job."""
     d = SparkDialect("_v")
     x = events.withColumn("_v", F.expr(f"try_parse_json(`{doc_col}`)"))
-    whole = lambda p: F.coalesce(F.expr(d.num(p)), F.expr(f"CAST({d.boolean(p)} AS INT)").cast("double")).cast("long")
+    whole = lambda p: F.expr(d.whole(p))
     text = lambda p: F.expr(d.text(p))
     own = F.concat(F.lit("ev-"), F.sha2(F.concat_ws("/", "trace_id", F.col("batch_no").cast("string"), F.col("pos").cast("string")), 256))
     context = F.struct(*[text(f"context.{n}").alias(n) for n in ("workspace_root", "branch", "commit_head", "correlation_id", "parent_event_id")])
     has_context = F.coalesce(F.expr(f"{d.kind_expr('context')} = 'object'"), F.lit(False))
-    return x.select("trace_id", "batch_no", "pos", F.coalesce(text("event_id"), own).alias("event_id"), whole("seq").cast("int").alias("seq"),
+    return x.select("trace_id", "batch_no", "pos", F.coalesce(text("event_id"), own).alias("event_id"), whole("seq").alias("seq"),
                     whole("ts_ms").alias("ts_ms"), text("type").alias("type"), text("actor.kind").alias("actor_kind"), text("actor.id").alias("actor_id"),
                     F.when(has_context, context).alias("context"), F.to_json(F.expr(d.sub("payload"))).alias("payload_json"))
 

@@ -264,7 +264,7 @@ def event_json_violations(spark, sf):
 
 @query("event_json_typed", with_views("""
 SELECT trace_id, batch_no, pos, coalesce(json_extract_string(event_json, '$.event_id'), concat('ev-', sha256(concat(trace_id, '/', batch_no, '/', pos)))) AS event_id,
-       CASE WHEN json_type(event_json, '$.seq') = 'BOOLEAN' THEN 1 ELSE CAST(trunc(CAST(json_extract_string(event_json, '$.seq') AS DOUBLE)) AS INT) END AS seq,
+       CASE WHEN json_type(event_json, '$.seq') = 'BOOLEAN' THEN 1 ELSE CAST(trunc(CAST(json_extract_string(event_json, '$.seq') AS DOUBLE)) AS BIGINT) END AS seq,
        TRY_CAST(json_extract_string(event_json, '$.ts_ms') AS BIGINT) AS ts_ms, json_extract_string(event_json, '$.actor.id') AS actor_id,
        json_extract_string(event_json, '$.context.branch') AS branch, json_type(event_json, '$.context') IS NOT NULL AS has_context
 FROM tel_event_json""", "tel_event_json"))
@@ -276,7 +276,7 @@ def event_json_typed(spark, sf):
 
 _TYPED_SQL = """
 SELECT trace_id, coalesce(json_extract_string(event_json, '$.event_id'), concat('ev-', sha256(concat(trace_id, '/', batch_no, '/', pos)))) AS event_id,
-       CASE WHEN json_type(event_json, '$.seq') = 'BOOLEAN' THEN 1 ELSE CAST(trunc(CAST(json_extract_string(event_json, '$.seq') AS DOUBLE)) AS INT) END AS seq,
+       CASE WHEN json_type(event_json, '$.seq') = 'BOOLEAN' THEN 1 ELSE CAST(trunc(CAST(json_extract_string(event_json, '$.seq') AS DOUBLE)) AS BIGINT) END AS seq,
        json_extract_string(event_json, '$.actor.kind') AS actor_kind, json_extract_string(event_json, '$.actor.id') AS actor_id,
        json_type(event_json, '$.context') IS NOT NULL AS has_context, json_extract_string(event_json, '$.context.branch') AS branch,
        json_extract_string(event_json, '$.context.commit_head') AS commit_head
@@ -290,22 +290,47 @@ def event_store_by_trace(spark, sf):
     with the trace's status where they lie."""
     t = I.typed_events(B.tel_event_json(spark, sf))
     actor = F.when(F.col("actor_kind").isNotNull(), F.struct(F.col("actor_kind").alias("kind"), F.col("actor_id").alias("id")))
-    store = EventStore(spark, scratch_path(spark, f"tw-events-{uuid.uuid4().hex}")).write(t.withColumn("actor", actor).withColumn("seq", F.col("seq").cast("int")))
+    store = EventStore(spark, scratch_path(spark, f"tw-events-{uuid.uuid4().hex}")).write(t.withColumn("actor", actor))
     e = store.with_traces(B.tel_traces(spark, sf).select("trace_id", "status"), "left")
     return e.select("trace_id", "event_id", "seq", F.col("actor.kind").alias("actor_kind"), F.col("actor.id").alias("actor_id"),
                     F.col("context").isNotNull().alias("has_context"), "context.branch", "context.commit_head", "status")
 
 
 @query("event_store_marks", with_views("""
-SELECT trace_id, CAST(count(*) AS BIGINT) AS n_events, max(seq) AS seq_high FROM tel_events GROUP BY trace_id""", "tel_events"))
+SELECT trace_id, CAST(count(*) AS BIGINT) AS n_events, CAST(max(seq) AS BIGINT) AS seq_high FROM tel_events GROUP BY trace_id""", "tel_events"))
 def event_store_marks(spark, sf):
     """Marks per trace from the bucketed event table, aggregated where the events lie."""
     none = F.lit(None).cast(STORED_EVENT["context"].dataType)
-    ev = B.tel_events(spark, sf).withColumn("actor", F.struct(F.col("actor_kind").alias("kind"), F.lit(None).cast("string").alias("id"))).withColumn("context", none)
+    ev = B.tel_events(spark, sf).withColumn("actor", F.struct(F.col("actor_kind").alias("kind"), F.lit(None).cast("string").alias("id"))).withColumn("context", none).withColumn("seq", F.col("seq").cast("long"))
     store = EventStore(spark, scratch_path(spark, f"tw-events-{uuid.uuid4().hex}")).write(ev)
     return store.per_trace(F.count(F.lit(1)).alias("n_events"), F.max("seq").alias("seq_high"))
 
 
+# JSON of seq, the violation of it, and what it is typed as
+_WIDE = (("3000000000", None, "3000000000"), ("1e300", "int_parsing_size", None), ('"5."', "int_parsing", None), ("1e20", "int_parsing_size", None),
+         ("1" + "0" * 30, None, None), ('"\\u00a05"', None, "5"), ('"5.0"', None, "5"), ('"1_000"', None, "1000"), ("true", None, "1"),
+         ("9007199254740993", None, "9007199254740993"), ("-1", "greater_than_equal", "-1"), ("5.5", "int_from_float", "5"), ('"nan"', "int_parsing", None))
+
+
+def _wide(k: int) -> str:
+    cases = " ".join(f"WHEN {i} THEN " + ("NULL" if w[k] is None else f"'{w[k]}'") for i, w in enumerate(_WIDE))
+    return f"CASE n % {len(_WIDE)} {cases} END"
+
+
+@query("event_wide_numbers", f"""
+SELECT event_id, {_wide(1)} AS seq_code, {_wide(2)} AS seq, CAST(NULL AS VARCHAR) AS ts_ms
+FROM (SELECT event_id, event_id AS n FROM events) e""")
+def event_wide_numbers(spark, sf):
+    """Integers of any size, written in every way, are judged and typed without ending the job; ts_ms is 1e300 throughout."""
+    cases = F.array(*[F.lit(w[0].replace("\\\\", "\\")) for w in _WIDE])
+    doc = F.concat(F.lit('{"event_id":"e","seq":'), F.element_at(cases, (F.col("event_id") % len(_WIDE) + 1).cast("int")), F.lit(
+        ',"ts_ms":1e300,"type":"commit","actor":{"kind":"human"},"payload":{}}'))
+    e = B.table(spark, sf, "events").select(F.col("event_id").cast("string").alias("trace_id"), F.lit(0).alias("batch_no"), F.lit(0).alias("pos"), doc.alias("event_json"))
+    bad = I.event_json_violations(e, ["trace_id"]).where("field = 'events.0.seq'").select("trace_id", F.col("code").alias("seq_code"))
+    t = I.typed_events(e).select("trace_id", "seq", "ts_ms")
+    return t.join(bad, "trace_id", "left").select(F.col("trace_id").cast("long").alias("event_id"), "seq_code", F.col("seq").cast("string").alias("seq"), F.col("ts_ms").cast("string").alias("ts_ms"))
+
+
 @query("request_size_check", """
 WITH r AS (SELECT DISTINCT event_id // 101 AS request_id FROM events UNION SELECT max(event_id) // 101 + 1 FROM events),
 n AS (SELECT event_id // 101 AS request_id, count(*) AS n FROM events GROUP BY 1)

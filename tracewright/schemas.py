@@ -175,7 +175,9 @@ EVENT_TABLE = T.StructType([
 
 # An event as it is stored: actor and context normalized, the payload as it was sent.
 STORED_EVENT = T.StructType([
-    *EVENT_TABLE.fields[:5],
+    *EVENT_TABLE.fields[:2],
+    T.StructField("seq", T.LongType()),
+    *EVENT_TABLE.fields[3:5],
     T.StructField("actor", T.StructType([T.StructField("kind", T.StringType()), T.StructField("id", T.StringType())])),
     T.StructField("context", T.StructType([T.StructField(n, T.StringType()) for n in (
         "workspace_root", "branch", "commit_head", "correlation_id", "parent_event_id")])),
