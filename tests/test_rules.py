@@ -228,3 +228,39 @@ def test_numbers_as_pydantic_reads_them(spark):
                 want = (e.errors()[0]["type"], e.errors()[0]["msg"])
             assert got.get(i) == want, p
     assert "int_parsing_size" in MESSAGES
+
+
+def test_offending_values_are_what_pydantic_was_given(spark):
+    """The value of every error of a file_edit payload, as JSON, equal to pydantic's ``input``; null ones are left out."""
+    from typing import Optional
+
+    pydantic = pytest.importorskip("pydantic")
+
+    class Range(pydantic.BaseModel):
+        start: list[int] = pydantic.Field(min_length=2, max_length=2)
+        end: list[int] = pydantic.Field(min_length=2, max_length=2)
+
+    class Edit(pydantic.BaseModel):
+        file_path: str
+        patch_blob_id: str
+        selection: Optional[Range] = None
+        reason_ref: Optional[str] = None
+
+    from tracewright.operators.validate import document_violations, offending_value
+    from tracewright.schemas import PAYLOAD_RULES
+    docs = ["{}", '{"file_path":5,"patch_blob_id":null}', '{"zz":{"b":[1,2.5]},"file_path":"a","patch_blob_id":["x",{"k":1}]}',
+            '{"file_path":"a","patch_blob_id":"b","selection":{"end":[1,"x"],"start":[1.5,2]},"reason_ref":7.5}', '{"file_path":"a","patch_blob_id":"b","selection":{"end":[1,2]}}',
+            '{"file_path":true,"patch_blob_id":"b","selection":"né"}', '{"file_path":"a","patch_blob_id":"b","selection":{"start":[1],"end":[1,2,3]}}']
+    names = {"file_path", "patch_blob_id", "selection", "selection.start", "selection.end", "reason_ref"}
+    rules = [f for f in PAYLOAD_RULES["file_edit"] if f.name in names]
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, doc string")
+    v = document_violations(df, ["i"], "doc", rules).join(df, "i")
+    got = {(r.i, r.field): r.value for r in v.select("i", "field", offending_value(F.col("doc"), F.col("field"), F.col("code")).alias("value")).collect()}
+    want = {}
+    for i, d in enumerate(docs):
+        try:
+            Edit(**json.loads(d))
+        except pydantic.ValidationError as e:
+            for x in e.errors():
+                want[i, ".".join(map(str, x["loc"]))] = None if x["input"] is None else x["input"]
+    assert {k: None if x is None else json.loads(x) for k, x in got.items()} == want

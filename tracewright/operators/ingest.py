@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tracewright.functions.jsonrules import SparkDialect, enum_message
 from tracewright.operators.common import written
 from tracewright.operators.fold import folded, replayed_outcomes
-from tracewright.operators.validate import explode_violations, violations_array
+from tracewright.operators.validate import explode_violations, offending_value, violations_array
 from tracewright.schemas import ENUMS, ENVELOPE_RULES, MAX_EVENTS_PER_BATCH, PAYLOAD_RULES
 
 OUTCOME_STATUS = {
@@ -253,22 +253,35 @@ def accepted_events(subs: DataFrame, outcomes: DataFrame) -> DataFrame:
     return subs.join(ok, BATCH_KEYS, "left_semi")
 
 
+def _envelope_value(field: Column) -> Column:
+    """JSON text of the typed envelope column that a violation names; NULL if it is null."""
+    name = F.regexp_extract(field, r"^events\.[0-9]+\.(.*)$", 1)
+    quoted = lambda c: F.when(F.col(c).isNotNull(), F.to_json(F.struct(F.col(c).alias("v"))))
+    text = lambda c: F.regexp_extract(quoted(c), r"^\{\"v\":(.*)\}$", 1)
+    return (F.when(name == "seq", F.col("seq").cast("string")).when(name == "ts_ms", F.col("ts_ms").cast("string")).when(name == "type", text("type"))
+            .when(name == "actor.kind", text("actor_kind")).when(name == "payload", F.nullif(F.trim("payload_json"), F.lit("null"))))
+
+
 def violation_report(subs: DataFrame) -> DataFrame:
-    """Per batch with schema errors, ``{detail, errors[]}`` as in the API.
+    """Per batch with schema errors, ``{detail, errors[]}`` as in the API, each error with its field, message and
+    the offending value (left out when null).
 
     Envelope errors win; payload errors are reported only when the whole
     batch passed the envelope phase. Errors ordered by (pos, rule)."""
-    rows = batch_rows(subs)
-    items = rows.select(*BATCH_KEYS, "pos", F.explode_outer("env").alias("e"), F.lit(0).alias("phase")) \
-        .unionByName(rows.select(*BATCH_KEYS, "pos", F.explode_outer("pay").alias("e"), F.lit(1).alias("phase"))) \
+    rows = batch_rows(subs).select(*BATCH_KEYS, "pos", "seq", "ts_ms", "type", "actor_kind", "payload_json", "env", "pay")
+    kept = [*BATCH_KEYS, "pos", "seq", "ts_ms", "type", "actor_kind", "payload_json"]
+    items = rows.select(*kept, F.explode_outer("env").alias("e"), F.lit(0).alias("phase")) \
+        .unionByName(rows.select(*kept, F.explode_outer("pay").alias("e"), F.lit(1).alias("phase"))) \
         .where(F.col("e").isNotNull())
+    inner = F.regexp_extract("e.field", r"^events\.[0-9]+\.payload\.(.*)$", 1)
+    value = F.when(F.col("phase") == 0, _envelope_value(F.col("e.field"))).otherwise(offending_value(F.col("payload_json"), inner, F.col("e.code")))
     per = (items.groupBy(*BATCH_KEYS)
            .agg(F.min("phase").alias("_phase"),
                 F.sort_array(F.collect_list(F.struct("phase", "pos", F.col("e.idx").alias("idx"),
                                                      F.col("e.field").alias("field"),
-                                                     F.col("e.message").alias("message")))).alias("_errs")))
+                                                     F.col("e.message").alias("message"), value.alias("value")))).alias("_errs")))
     errs = F.filter("_errs", lambda e: e["phase"] == F.col("_phase"))
-    err_json = F.transform(errs, lambda e: F.to_json(F.struct(e["field"].alias("field"), e["message"].alias("message"))))
+    err_json = F.transform(errs, lambda e: F.to_json(F.struct(e["field"].alias("field"), e["message"].alias("message"), e["value"].alias("value"))))
     return per.select(*BATCH_KEYS, F.size(errs).cast("long").alias("n_errors"),
                       F.concat(F.size(errs).cast("string"), F.lit(" validation error(s)")).alias("summary"),
                       F.concat(F.lit('{"detail":"Validation failed","errors":['), F.array_join(err_json, ","),

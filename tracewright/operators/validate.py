@@ -80,3 +80,16 @@ def document_violations(docs: DataFrame, keys: Sequence[str], doc_col: str, rule
     """One rule set for every document."""
     arr = violations_array(docs, doc_col, {None: rules})
     return explode_violations(arr, keys)
+
+
+def offending_value(doc: Column, path: Column, code: Column) -> Column:
+    """JSON text of the input that a violation is about: what stands at the failing path, or for a missing field the
+    object that lacks it. NULL for null, and then left out of the response. ``path`` is the violation's field within ``doc``,
+    list positions as numbers. Meant for violation rows, which are few: no rule carries values."""
+    at = F.regexp_replace(path, r"\.([0-9]+)(?=\.|$)", "[$1]")
+    at = F.when(code == "missing", F.regexp_replace(at, r"(^|\.)[^.]+$", "")).otherwise(at)
+    full = F.concat(F.lit("$."), at)
+    scalar = F.call_function("to_json", F.call_function("try_variant_get", F.call_function("try_parse_json", doc), full, F.lit("variant")))
+    # objects and lists as they were sent: a VARIANT orders the keys
+    value = F.when(F.substring(scalar, 1, 1).isin("{", "["), F.call_function("get_json_object", doc, full)).otherwise(scalar)
+    return F.nullif(F.when(at == "", F.trim(doc)).otherwise(value), F.lit("null"))

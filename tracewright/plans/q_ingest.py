@@ -232,13 +232,19 @@ def envelope_violations(spark, sf):
 @query("violation_report", _ingest_sql("""
 SELECT trace_id, batch_no, CAST(count(*) AS BIGINT) AS n_errors, concat(count(*), ' validation error(s)') AS summary,
        concat('{"detail":"Validation failed","errors":[',
-              string_agg(to_json({'field': field, 'message': message}), ',' ORDER BY pos, idx, field), ']}') AS body
+              string_agg(CASE WHEN value IS NULL OR value = 'null' THEN to_json({'field': field, 'message': message})
+                              ELSE to_json({'field': field, 'message': message, 'value': value}) END, ',' ORDER BY pos, idx, field), ']}') AS body
 FROM (SELECT *, min(phase) OVER (PARTITION BY trace_id, batch_no) AS min_phase
-      FROM (SELECT trace_id, batch_no, pos, 0 AS phase, v.idx AS idx, v.field AS field, v.message AS message
-            FROM (SELECT trace_id, batch_no, pos, unnest(env) AS v FROM sub_rows) a WHERE v IS NOT NULL
+      FROM (SELECT trace_id, batch_no, pos, 0 AS phase, v.idx AS idx, v.field AS field, v.message AS message,
+                   CASE v.idx WHEN 1 THEN CAST(seq AS VARCHAR) WHEN 2 THEN CAST(ts_ms AS VARCHAR) WHEN 3 THEN CAST(to_json(type) AS VARCHAR)
+                        WHEN 4 THEN CAST(to_json(actor_kind) AS VARCHAR) WHEN 6 THEN payload_json END AS value
+            FROM (SELECT *, unnest(env) AS v FROM sub_rows) a WHERE v IS NOT NULL
             UNION ALL
-            SELECT trace_id, batch_no, pos, 1, v.idx, v.field, v.message
-            FROM (SELECT trace_id, batch_no, pos, unnest(pay) AS v FROM sub_rows) b WHERE v IS NOT NULL) u) w
+            SELECT trace_id, batch_no, pos, 1, v.idx, v.field, v.message,
+                   CASE WHEN v.code <> 'missing' THEN CAST(json_extract(payload_json, concat('$.', regexp_replace(regexp_extract(v.field, 'payload[.](.*)$', 1), '[.]([0-9]+)$', '[\\1]'))) AS VARCHAR)
+                        WHEN contains(regexp_extract(v.field, 'payload[.](.*)$', 1), '.') THEN CAST(json_extract(payload_json, concat('$.', regexp_replace(regexp_extract(v.field, 'payload[.](.*)$', 1), '[.][^.]+$', ''))) AS VARCHAR)
+                        ELSE payload_json END
+            FROM (SELECT *, unnest(pay) AS v FROM sub_rows) b WHERE v IS NOT NULL) u) w
 WHERE phase = min_phase GROUP BY trace_id, batch_no"""))
 def violation_report(spark, sf):
     return I.violation_report(B.tel_submissions(spark, sf))
