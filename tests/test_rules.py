@@ -264,3 +264,29 @@ def test_offending_values_are_what_pydantic_was_given(spark):
             for x in e.errors():
                 want[i, ".".join(map(str, x["loc"]))] = None if x["input"] is None else x["input"]
     assert {k: None if x is None else json.loads(x) for k, x in got.items()} == want
+
+
+def test_whether_any_rule_is_broken_agrees_with_the_violations(spark):
+    """The short form of the rules on every payload rule set against the full one, over mutated documents."""
+    import random
+
+    from tracewright.operators.validate import any_violation
+    from tracewright.schemas import ENUMS, PAYLOAD_RULES
+    r = random.Random(8)
+    values = ['"x"', "5", "-1", "5.5", "true", "null", '"yes"', "[]", '["a"]', "[1,2]", '[1,"x"]', "[1]", "[1,2,3]", "{}", '{"start":[1,2],"end":[1,2]}', '{"start":[1,"z"],"end":[3]}']
+    rows = []
+    for t, fields in PAYLOAD_RULES.items():
+        top = [f for f in fields if "." not in f.name]
+        for _ in range(60):
+            doc = {}
+            for f in top:
+                good = {"str": '"s"', "int": "3", "bool": "true", "list_str": '["a"]', "dict": "{}" if f.name == "details" else "null"}.get(f.kind, f'"{ENUMS[f.kind[5:]][0]}"' if f.kind.startswith("enum:") else "null")
+                if f.required or r.random() < 0.6:
+                    doc[f.name] = good if r.random() < 0.85 else r.choice(values)
+                if f.required and r.random() < 0.03:
+                    doc.pop(f.name)
+            rows.append((len(rows), t, "{" + ",".join(f'"{k}":{v}' for k, v in doc.items()) + "}"))
+    df = spark.createDataFrame(rows, "i int, type string, payload_json string")
+    short = {x.i: x.bad for x in any_violation(df, "payload_json", PAYLOAD_RULES, "type", "bad").collect()}
+    broken = {x.i for x in payload_violations(df, ["i"]).select("i").distinct().collect()}
+    assert short == {i: i in broken for i, _, _ in rows} and 50 < len(broken) < len(rows) - 50

@@ -315,23 +315,48 @@ def _null_code(f: Field) -> str:
         f.kind, "enum" if f.kind.startswith("enum:") else "list_type")
 
 
-def _element_item(d, f: Field, idx: int, prefix_sql: str) -> str | None:
-    """CASE over an element of list field ``f``: its violation or NULL. None if elements are not checked."""
+def _element_checks(d, f: Field) -> tuple[list[tuple[str, str]], Field] | None:
+    """Ordered (condition, code) pairs over an element of list field ``f``, and the field that its messages speak of; None
+    if elements are not checked."""
     k = d.elem_kind()
     if f.kind == "list_str":
-        checks, ef = [(f"{k} <> 'string'", "string_type")], f
-    elif f.kind.startswith("list_enum:"):
+        return [(f"{k} <> 'string'", "string_type")], f
+    if f.kind.startswith("list_enum:"):
         dom = ", ".join(_sq(x) for x in ENUMS[f.kind.split(":", 1)[1]])
-        checks, ef = [(f"{k} <> 'string' OR {d.elem_text()} NOT IN ({dom})", "enum")], f
-    elif f.kind == "int_pair":
-        checks, ef = _int_checks(d, k, d.elem_num(), d.elem_text(), d.elem_literal()), Field(f.name, "int")
-    else:
+        return [(f"{k} <> 'string' OR {d.elem_text()} NOT IN ({dom})", "enum")], f
+    if f.kind == "int_pair":
+        return _int_checks(d, k, d.elem_num(), d.elem_text(), d.elem_literal()), Field(f.name, "int")
+    return None
+
+
+def _element_item(d, f: Field, idx: int, prefix_sql: str) -> str | None:
+    """CASE over an element of list field ``f``: its violation or NULL. None if elements are not checked."""
+    found = _element_checks(d, f)
+    if found is None:
         return None
     field = f"concat({prefix_sql}, {_sq(f.name + '.')}, {d.elem_index()})"
-    whens = " ".join(f"WHEN {cond} THEN {d.struct(idx, field, code, message_for(ef, code))}" for cond, code in checks)
+    whens = " ".join(f"WHEN {cond} THEN {d.struct(idx, field, code, message_for(found[1], code))}" for cond, code in found[0])
     return f"CASE {whens} END"
 
 
+def compile_any(d: SparkDialect, fields: Sequence[Field]) -> str:
+    """SQL expression: whether any rule is violated. The conditions of ``compile_rules`` without its structs and texts, for
+    plans that only ask whether a document passes."""
+    out = []
+    for f in fields:
+        k = d.kind(f.name)
+        guard = [f"{d.kind(p)} = 'object'" for p in _parents(f.name)]
+        checks = " ".join(f"WHEN {cond} THEN true" for cond, _ in _type_checks(d, f, k))
+        own = f"CASE {k} WHEN 'missing' THEN {str(f.required).lower()} WHEN 'null' THEN {str(not f.nullable).lower()} ELSE CASE {checks} ELSE false END END"
+        out.append(" AND ".join([*guard, own]))
+        found = _element_checks(d, f)
+        if found is not None:
+            bad = " OR ".join(f"coalesce({cond}, false)" for cond, _ in found[0])
+            size = [f"{d.array_len(f.name)} <= 2"] if f.kind == "int_pair" else []
+            out.append(" AND ".join([*guard, f"{k} = 'array'", *size, f"exists(try_cast({d.sub(f.name)} AS array<variant>), x -> {bad})"]))
+    return " OR ".join(f"coalesce({x}, false)" for x in out) if out else "false"
+
+
 def compile_rules(d, fields: Sequence[Field], prefix_sql: str = "''") -> str:
     """SQL expression: array with one slot per rule, holding a violation
     struct (idx, field, code, message) or NULL, and after these one slot per

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tracewright.functions.jsonrules import SparkDialect, enum_message
 from tracewright.operators.common import written
 from tracewright.operators.fold import folded, replayed_outcomes
-from tracewright.operators.validate import explode_violations, offending_value, violations_array
+from tracewright.operators.validate import any_violation, explode_violations, offending_value, violations_array
 from tracewright.schemas import ENUMS, ENVELOPE_RULES, MAX_EVENTS_PER_BATCH, PAYLOAD_RULES
 
 OUTCOME_STATUS = {
@@ -191,20 +191,19 @@ def request_summaries(subs: DataFrame, traces: DataFrame, stored_high: DataFrame
     in the map stage, and the first ``MAX_EVENTS_PER_BATCH`` + 1 positions of a batch are gathered as (pos, seq, event_id).
     A longer batch is refused for its size, so a request that holds a third of all events is no large row.
     ``stored_high``: (trace_id, high0) of stored events (A1). ``dup_stored`` is false here; ``rep_ids`` has all the batch's ids."""
-    x = envelope_violations(subs)
-    x = violations_array(x, "payload_json", PAYLOAD_RULES, gate_col="type", out="pay",
-                         prefix=F.concat(F.lit("events."), F.col("pos").cast("string"), F.lit(".payload.")))
-    # few steps from here on: each one analyses the rules' expressions again
+    payload_obj = F.expr("try_parse_json(payload_json)").isNotNull() & F.col("payload_json").rlike(_JSON_OBJECT)
+    envelope_ok = ((F.col("seq") >= 1) & (F.col("ts_ms") >= 0) & F.col("type").isin(*ENUMS["event_type"])
+                   & F.col("actor_kind").isin(*ENUMS["actor_kind"]) & payload_obj)
+    x = any_violation(subs, "payload_json", PAYLOAD_RULES, "type", "_pay")
     entry = F.when(F.col("pos") <= MAX_EVENTS_PER_BATCH, F.struct("pos", "seq", "event_id"))
-    b = x.groupBy(*BATCH_KEYS).agg(F.count(F.lit(1)).alias("n_events"), F.sum(_non_null("env")).alias("n_env"), F.sum(_non_null("pay")).alias("n_pay"),
+    b = x.groupBy(*BATCH_KEYS).agg(F.count(F.lit(1)).alias("n_events"), F.max(F.col("_pay") | ~F.coalesce(envelope_ok, F.lit(False))).alias("_bad"),
                                    F.max("seq").alias("hi"), F.sort_array(F.collect_list(entry)).alias("_events"))
     b = b.join(traces.select("trace_id", F.col("status").alias("_status")), "trace_id", "left")
     if stored_high is not None:
         b = b.join(stored_high, "trace_id", "left")
     seqs, ids = F.col("_events.seq"), F.col("_events.event_id")
     steps = F.zip_with(F.slice(seqs, 2, MAX_EVENTS_PER_BATCH), F.slice(seqs, 1, F.greatest(F.size(seqs) - 1, F.lit(0))), lambda now, was: now <= was)
-    schema_bad = (F.col("n_env") > 0) | (F.col("n_pay") > 0) | (F.col("n_events") > MAX_EVENTS_PER_BATCH)
-    pre = (F.when(schema_bad, F.lit("schema")).when(F.col("_status").isNull(), F.lit("missing"))
+    pre = (F.when(F.col("_bad") | (F.col("n_events") > MAX_EVENTS_PER_BATCH), F.lit("schema")).when(F.col("_status").isNull(), F.lit("missing"))
            .when(F.col("_status") != "collecting", F.lit("state")))
     return b.select(*BATCH_KEYS, "n_events", pre.alias("pre"), F.get(seqs, F.lit(0)).alias("lo"), "hi",
                     F.coalesce(F.exists(steps, lambda bad: F.coalesce(bad, F.lit(False))), F.lit(False)).alias("internal_bad"),

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.functions.jsonrules import SparkDialect, compile_rules, kind_paths
+from tracewright.functions.jsonrules import SparkDialect, compile_any, compile_rules, kind_paths
 from tracewright.operators.common import sql_expr
 from tracewright.schemas import PAYLOAD_RULES, Field
 
@@ -60,6 +60,18 @@ def violations_array(df: DataFrame, doc_col: str, rules_by_gate: Mapping[str | N
     return base.withColumn(out, sql_expr(expr)).drop(*drop)
 
 
+def any_violation(df: DataFrame, doc_col: str, rules_by_gate: Mapping[str | None, Sequence[Field]], gate_col: str, out: str) -> DataFrame:
+    """Add ``out``: whether the document breaks a rule of its gate. For plans that need no more than that."""
+    d = SparkDialect("`_doc_v`")
+    base = _add_kinds(df.withColumn("_doc_v", sql_expr(f"try_parse_json(`{doc_col}`)")), d, rules_by_gate, gate_col)
+    branches = " ".join(f"WHEN {_quoted(g)} THEN {compile_any(d, fs)}" for g, fs in rules_by_gate.items() if g is not None)
+    return base.select(*[f"`{c}`" for c in df.columns], sql_expr(f"CASE `{gate_col}` {branches} ELSE false END").alias(out))
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
 def explode_violations(df: DataFrame, keys: Sequence[str], arr: str = "violations") -> DataFrame:
     """One row per violation (the rule slots holding NULL are dropped)."""
     # explode_outer: no inferred size(arr) > 0 filter pushed below (and
