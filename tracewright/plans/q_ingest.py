@@ -15,6 +15,7 @@ from tracewright.plans.registry import query
 from tracewright.schemas import ENUMS, ENVELOPE_RULES, STORED_EVENT
 from tracewright.session import scratch_path
 from tracewright.sources import bindings as B
+from tracewright.sources import jsonlines as JL
 
 
 def _in(vals) -> str:
@@ -337,6 +338,35 @@ def event_wide_numbers(spark, sf):
     return t.join(bad, "trace_id", "left").select(F.col("trace_id").cast("long").alias("event_id"), "seq_code", F.col("seq").cast("string").alias("seq"), F.col("ts_ms").cast("string").alias("ts_ms"))
 
 
+@query("jsonl_submissions", with_views("""
+SELECT trace_id, batch_no, pos, event_id, seq, CAST(NULL AS VARCHAR) AS reason
+FROM (SELECT trace_id, batch_no, pos, json_extract_string(event_json, '$.event_id') AS event_id, event_json,
+             CASE WHEN json_type(event_json, '$.seq') = 'BOOLEAN' THEN 1 ELSE CAST(trunc(CAST(json_extract_string(event_json, '$.seq') AS DOUBLE)) AS BIGINT) END AS seq
+      FROM tel_event_json) e WHERE batch_no % 10 NOT IN (3, 7, 9)
+UNION ALL
+SELECT trace_id, batch_no, NULL, NULL, NULL, CASE batch_no % 10 WHEN 3 THEN 'malformed' WHEN 7 THEN 'missing events' ELSE 'not an object' END
+FROM (SELECT DISTINCT trace_id, batch_no FROM tel_event_json) b WHERE batch_no % 10 IN (3, 7, 9)""", "tel_event_json"))
+def jsonl_submissions(spark, sf):
+    """Requests written as JSON lines and read back as typed events; broken lines (cut off, without events, a list) go to
+    quarantine, where the text still tells which request it was."""
+    ev = B.tel_event_json(spark, sf)
+    events = F.transform(F.sort_array(F.collect_list(F.struct("pos", "event_json"))), lambda e: e["event_json"])
+    r = ev.groupBy("trace_id", "batch_no").agg(F.array_join(events, ",").alias("events"))
+    head = F.concat(F.lit('{"trace_id":"'), "trace_id", F.lit('","batch_no":'), F.col("batch_no").cast("string"))
+    n = F.col("batch_no") % 10
+    line = (F.when(n == 3, F.concat(head, F.lit(',"events":[{"event_id"'))).when(n == 7, F.concat(head, F.lit("}"))).when(n == 9, F.concat(F.lit("["), head, F.lit("}]")))
+            .otherwise(F.concat(head, F.lit(',"events":['), "events", F.lit("]}"))))
+    path = scratch_path(spark, f"tw-jsonl-{uuid.uuid4().hex}")
+    r.select(line.alias("value")).write.text(path)
+    found = JL.parsed(JL.lines(spark, path), "submissions")
+    good = JL.submitted_events(JL.requests(found, "submissions"))
+    t = I.typed_events(good).select("trace_id", "batch_no", "pos", F.when(~F.col("event_id").rlike("^ev-[0-9a-f]{64}$"), F.col("event_id")).alias("event_id"), "seq")
+    bad = JL.quarantined(found).select(
+        F.regexp_extract("line", '"trace_id":"([^"]*)"', 1).alias("trace_id"), F.regexp_extract("line", '"batch_no":([0-9]+)', 1).cast("int").alias("batch_no"),
+        F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("event_id"), F.lit(None).cast("long").alias("seq"), "reason")
+    return t.withColumn("reason", F.lit(None).cast("string")).unionByName(bad)
+
+
 @query("request_size_check", """
 WITH r AS (SELECT DISTINCT event_id // 101 AS request_id FROM events UNION SELECT max(event_id) // 101 + 1 FROM events),
 n AS (SELECT event_id // 101 AS request_id, count(*) AS n FROM events GROUP BY 1)
