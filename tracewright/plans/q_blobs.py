@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from tracewright.functions import hashing as H
 from tracewright.functions.patterns import JAVA_BLOB_ID_PATTERN, SOURCE_BLOB_ID_PATTERN
 from tracewright.operators import blobs as BL
+from tracewright.operators.redact import redact
 from tracewright.plans.oracle_views import with_views
 from tracewright.plans.registry import query
+from tracewright.schemas import MAX_BLOB_BYTES
 from tracewright.sources import bindings as B
+from tracewright.sources.binary import decoded_preview
 
 ROOT = BL.DEFAULT_ROOT
 
@@ -91,3 +94,29 @@ def blob_id_check(spark, sf):
                     cand.startswith("sha256:").alias("prefix_ok"),
                     cand.rlike(JAVA_BLOB_ID_PATTERN).alias("pattern_ok"),
                     F.when(cand.startswith("sha256:"), H.storage_uri(cand, ROOT)).alias("storage_uri"))
+
+
+_LARGE = "token=abcdefgh12345678 "
+_COPIES = 48_000  # 1,104,000 bytes, more than a blob keeps
+
+
+@query("binary_uploads", f"""
+SELECT doc_id, concat('sha256:', sha256(content)) AS blob_id, octet_length(content)::BIGINT AS byte_length, doc_id % 200 <> 0 AND doc_id % 3 <> 0 AS is_text,
+       octet_length(content) > {MAX_BLOB_BYTES} AS was_truncated,
+       CASE WHEN doc_id % 200 = 0 THEN sha256(encode(left(repeat('{_LARGE}', {_COPIES}), {MAX_BLOB_BYTES}))) WHEN doc_id % 3 = 0 THEN sha256(content) END AS kept_sha256,
+       CASE WHEN doc_id % 200 = 0 THEN concat(left(repeat('{_LARGE}', 20), 200), '...') WHEN doc_id % 3 = 0 AND length(text) > 200 THEN concat(substring(text, 1, 200), '...')
+            WHEN doc_id % 3 = 0 THEN concat(substring(text, 1, 200), chr(65533)[:CASE WHEN length(text) = 200 THEN 0 ELSE 1 END], CASE WHEN length(text) = 200 THEN '...' ELSE '' END) END AS preview
+FROM (SELECT doc_id, text, CASE WHEN doc_id % 200 = 0 THEN encode(repeat('{_LARGE}', {_COPIES})) || '\\xFF'::BLOB
+                                WHEN doc_id % 3 = 0 THEN encode(text) || '\\xFF'::BLOB ELSE encode(text) END AS content FROM documents) d""")
+def binary_uploads(spark, sf):
+    """Uploads as bytes, some of them not UTF-8 and some over a mebibyte: text rules pass the undecodable ones by,
+    truncation cuts bytes, previews decode with replacement."""
+    n, text = F.col("doc_id"), F.col("text").cast("binary")
+    bad = F.lit(b"\xff")
+    large = F.concat(F.repeat(F.lit(_LARGE), _COPIES).cast("binary"), bad)
+    docs = B.table(spark, sf, "documents").select(
+        "doc_id", F.when(n % 200 == 0, large).when(n % 3 == 0, F.concat(text, bad)).otherwise(text).alias("content"), F.lit(None).cast("string").alias("content_type"))
+    r = redact(BL.blob_rows(docs), "content")
+    odd = (n % 200 == 0) | (n % 3 == 0)
+    return r.select("doc_id", "blob_id", "byte_length", F.expr("is_valid_utf8(cast(content as string))").alias("is_text"), F.col("r_was_truncated").alias("was_truncated"),
+                    F.when(odd, F.sha2("r_content", 256)).alias("kept_sha256"), F.when(odd, decoded_preview("content", 200)).alias("preview"))
