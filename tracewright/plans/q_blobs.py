@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tracewright.functions import hashing as H
 from tracewright.functions.patterns import JAVA_BLOB_ID_PATTERN, SOURCE_BLOB_ID_PATTERN
 from tracewright.operators import blobs as BL
+from tracewright.operators.lookup import lookup, write_lookup
 from tracewright.operators.redact import redact
 from tracewright.plans.oracle_views import with_views
 from tracewright.plans.registry import query
 from tracewright.schemas import MAX_BLOB_BYTES
+from tracewright.session import scratch_path
 from tracewright.sources import bindings as B
 from tracewright.sources.binary import decoded_preview
 
@@ -120,3 +124,15 @@ def binary_uploads(spark, sf):
     odd = (n % 200 == 0) | (n % 3 == 0)
     return r.select("doc_id", "blob_id", "byte_length", F.expr("is_valid_utf8(cast(content as string))").alias("is_text"), F.col("r_was_truncated").alias("was_truncated"),
                     F.when(odd, F.sha2("r_content", 256)).alias("kept_sha256"), F.when(odd, decoded_preview("content", 200)).alias("preview"))
+
+
+@query("blob_point_lookup", with_views("""
+SELECT DISTINCT b.blob_id, CAST(octet_length(encode(b.content)) AS BIGINT) AS byte_length, b.content FROM tel_blobs b
+WHERE b.blob_id IN (SELECT blob_id FROM tel_blobs ORDER BY source_key LIMIT 50)""", "tel_blobs"))
+def blob_point_lookup(spark, sf):
+    """A request for fifty blobs (those uploaded first) against the stored table of all, by equalities pushed to the scan."""
+    rows = BL.first_writer_rows(BL.blob_rows(B.tel_blobs(spark, sf)), ["source_key"])
+    path = scratch_path(spark, f"tw-lookup-{uuid.uuid4().hex}")
+    write_lookup(rows.select("blob_id", "byte_length", "content"), path, "blob_id", ["blob_id"])
+    asked = [r["blob_id"] for r in B.tel_blobs(spark, sf).select("source_key", "blob_id").orderBy("source_key").limit(50).collect()]
+    return lookup(spark, path, "blob_id", asked).select("blob_id", "byte_length", "content")
