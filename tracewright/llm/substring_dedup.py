@@ -208,8 +208,8 @@ def _region_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield lay(*named, granules)
 
 
-_SEEN = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("places", pa.binary()), ("docs", pa.binary()), ("k", pa.binary()), ("starts", pa.binary())])
-SEEN = "bucket int, hashes binary, places binary, docs binary, k binary, starts binary"
+_SEEN = pa.schema([("bucket", pa.int32()), ("chunk", pa.binary()), ("hashes", pa.binary()), ("places", pa.binary()), ("docs", pa.binary())])
+SEEN = "bucket int, chunk binary, hashes binary, places binary, docs binary"
 _DOC = np.dtype([("ord", "<i8"), ("k", "V16"), ("first", "<u4")])
 
 
@@ -222,12 +222,6 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel(), dtype=np.int64)
 
 
-def _start_rows(keys: list[bytes], starts: list[np.ndarray], bucket: list[int]) -> pa.RecordBatch:
-    n = len(keys)
-    return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
-                                       pa.array(keys, pa.binary()), pa.array([s.astype("<u4").tobytes() for s in starts], pa.binary())], schema=_SEEN)
-
-
 def _split(values: np.ndarray, which: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Values by the (ascending) index they belong to."""
     edge = np.flatnonzero(np.concatenate(([True], which[1:] != which[:-1]))) if len(which) else []
@@ -259,101 +253,119 @@ def _window_batches(n_buckets: int):
             if not len(at):
                 continue
             h1, h2 = grams(h, WINDOW)[at], grams(h, WINDOW, 1)[at] >> U64(32)
-            k = keys.to_pylist()
+            k, o = keys.to_pylist(), ords.to_pylist()
+            chunk = hashlib.blake2b(b"".join(k), digest_size=16).digest()
+            table = np.zeros(len(k), dtype=_DOC)
+            table["ord"], table["first"], table["k"] = o, first[:-1], np.frombuffer(b"".join(k), dtype="V16")
             order_of = np.zeros(len(k), dtype=np.int64)
-            o = ords.to_pylist()
             order_of[sorted(range(len(k)), key=lambda i: (o[i], k[i]))] = np.arange(len(k))
             doc = np.searchsorted(first, at, side="right") - 1
             later = _later(h1, h2, (order_of[doc] << 32) | (at - first[doc]))
-            if later.any():
-                got = list(_split(at[later] - first[doc[later]], doc[later]))
-                yield _start_rows([k[i] for i, _ in got], [s for _, s in got], [int.from_bytes(k[i][:4], "little") % n_buckets for i, _ in got])
+            rows = [(int.from_bytes(chunk[:4], "little") % n_buckets, None, _planes(at[later]), table.tobytes())]
             h1, h2, at, doc = h1[~later], h2[~later], at[~later], doc[~later]
             bucket = (h1 % U64(n_buckets)).astype(np.int64)
             order, lead, count = _by_bucket(bucket)
-            rows = []
             for a, c in zip(lead.tolist(), count.tolist()):
                 i = order[a:a + c]
-                used = np.unique(doc[i])
-                docs = np.zeros(len(used), dtype=_DOC)
-                docs["ord"], docs["first"] = [o[d] for d in used], first[used]
-                docs["k"] = np.frombuffer(b"".join(k[d] for d in used), dtype="V16")
-                rows.append((int(bucket[i[0]]), h1[i].astype("<u8").tobytes() + h2[i].astype("<u4").tobytes(), _planes(at[i]), docs.tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2, 3)),
-                 pa.nulls(len(rows), pa.binary()), pa.nulls(len(rows), pa.binary())], schema=_SEEN)
+                rows.append((int(bucket[i[0]]), h1[i].astype("<u8").tobytes() + h2[i].astype("<u4").tobytes(), _planes(at[i]), table[np.unique(doc[i])].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([chunk] * len(rows), pa.binary()),
+                                              *(pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2, 3))], schema=_SEEN)
     return emit
 
 
-def later_windows(hashes: list[bytes], places: list[bytes], docs: list[bytes]) -> list[tuple[bytes, np.ndarray]]:
-    """One bucket: the windows that are not the first of their sequence, as (text, starts)."""
+def later_windows(hashes: list[bytes], places: list[bytes], docs: list[bytes]) -> list[np.ndarray]:
+    """One bucket: of each chunk's row the places of windows that are not the first of their sequence."""
     h1, h2, doc, at, table, base = [], [], [], [], [], 0
-    for x, p, d in zip(hashes, places, docs):
+    place = [_from_planes(p) for p in places]
+    for x, p, d in zip(hashes, place, docs):
         n = len(x) // 12
         h1.append(np.frombuffer(x, dtype="<u8", count=n))
         h2.append(np.frombuffer(x, dtype="<u4", offset=8 * n))
         t = np.frombuffer(d, dtype=_DOC)
-        place = _from_planes(p)
-        which = np.searchsorted(t["first"], place, side="right") - 1
+        which = np.searchsorted(t["first"], p, side="right") - 1
         doc.append(which + base)
-        at.append(place - t["first"][which])
+        at.append(p - t["first"][which])
         table.append(t)
         base += len(t)
     t = np.concatenate(table)
     raw = np.ascontiguousarray(t["k"]).view(">u8").reshape(-1, 2).astype(np.uint64)
     rank = np.empty(len(t), dtype=np.int64)
     rank[np.lexsort((raw[:, 1], raw[:, 0], t["ord"]))] = np.arange(len(t))
-    doc, at = np.concatenate(doc), np.concatenate(at)
-    place = (rank[doc] << 32) | at
-    later = _later(np.concatenate(h1), np.concatenate(h2).astype(np.uint64), place)
-    doc, at = doc[later], at[later]
-    order = np.argsort(doc, kind="stable")
-    return [(t["k"][d].tobytes(), s) for d, s in _split(at[order], doc[order])]
+    later = _later(np.concatenate(h1), np.concatenate(h2).astype(np.uint64), (rank[np.concatenate(doc)] << 32) | np.concatenate(at))
+    edge = np.cumsum([0, *map(len, place)])
+    return [p[later[a:b]] for p, a, b in zip(place, edge, edge[1:])]
+
+
+_SETTLED = pa.schema([("chunk", pa.binary()), ("places", pa.binary()), ("docs", pa.binary())])
 
 
 def _settle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in the order of bucket to (k, starts); starts that are final pass. A task gathers the starts that its buckets
-    find in a text before it emits them, in rounds of about ``ROUND`` bytes: a text costs a row per task and round, not
-    one per bucket, and never more than one per repeated window."""
-    found: dict[bytes, list[bytes]] = {}
+    """Rows in the order of bucket to (chunk, places of later windows); rows that name a chunk's texts pass. A task gathers
+    what its buckets find in a chunk before it emits it, in rounds of about ``ROUND`` bytes: texts cost nothing here, a
+    chunk costs a row per task and round, and never more than one per repeated window."""
+    found: dict[bytes, list[np.ndarray]] = {}
     size = 0
 
-    def add(pairs: Iterator[tuple[bytes, bytes]]) -> None:
-        nonlocal size
-        for k, x in pairs:
-            found.setdefault(k, []).append(x)
-            size += len(x) + 100
-
     def out() -> pa.RecordBatch:
-        nonlocal size
-        made = pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array([b"".join(x) for x in found.values()], pa.binary())], ["k", "starts"])
+        made = pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array([_planes(np.sort(np.concatenate(x))) for x in found.values()], pa.binary()),
+                                           pa.nulls(len(found), pa.binary())], schema=_SETTLED)
         found.clear()
-        size = 0
         return made
 
-    def settle(held: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
-        return ((k, s.astype("<u4").tobytes()) for k, s in later_windows(*map(list, zip(*held))))
+    def settle(held: list[tuple]) -> int:
+        n = 0
+        for (chunk, *_), p in zip(held, later_windows(*(list(x) for x in list(zip(*held))[1:]))):
+            if len(p):
+                found.setdefault(chunk, []).append(p)
+                n += 8 * len(p) + 100
+        return n
 
     now, held = None, []
     for b in batches:
-        cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("bucket", "hashes", "places", "docs", "k", "starts")]
-        for bucket, hashes, places, docs, k, starts in zip(*cols):
+        naming = b.filter(b.column(b.schema.get_field_index("hashes")).is_null())
+        if naming.num_rows:
+            yield naming.select(["chunk", "places", "docs"])
+        cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("bucket", "chunk", "hashes", "places", "docs")]
+        for bucket, chunk, hashes, places, docs in zip(*cols):
             if hashes is None:
-                add([(k, starts)])
                 continue
             if bucket != now:
                 if held:
-                    add(settle(held))
+                    size += settle(held)
                 now, held = bucket, []
-            held.append((hashes, places, docs))
+            held.append((chunk, hashes, places, docs))
         if size >= ROUND:
             yield out()
+            size = 0
     if held:
-        add(settle(held))
+        settle(held)
     if found:
         yield out()
 
 
+def _start_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of chunk: a chunk's places laid back on its texts, one row per text with repeats."""
+    def lay(docs: bytes, places: list[bytes]) -> pa.RecordBatch:
+        at = np.sort(np.concatenate([_from_planes(p) for p in places]))
+        t = np.frombuffer(docs, dtype=_DOC)
+        which = np.searchsorted(t["first"], at, side="right") - 1
+        got = [(t["k"][d].tobytes(), x.astype("<u4").tobytes()) for d, x in _split(at - t["first"][which], which)]
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.binary()), pa.array([x for _, x in got], pa.binary())], ["k", "starts"])
+
+    now, named, held = None, None, []
+    for b in batches:
+        cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("chunk", "places", "docs")]
+        for chunk, places, docs in zip(*cols):
+            if chunk != now:
+                if named is not None:
+                    yield lay(named, held)
+                now, named, held = chunk, None, []
+            named = docs if docs is not None else named
+            held.append(places)
+    if named is not None:
+        yield lay(named, held)
+
+
 def _cut_batches(window: int, with_text: bool):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (keys, ords, starts), buf, start, end in text_chunks(batches, ["k", "ord", "starts"], CHUNK):
@@ -365,7 +377,7 @@ def _cut_batches(window: int, with_text: bool):
                 n = len(words)
                 spans, removed = [], 0
                 if lists:
-                    at = np.concatenate([np.frombuffer(x, dtype="<u4") for x in lists]).astype(np.int64)
+                    at = np.frombuffer(lists, dtype="<u4").astype(np.int64)
                     step = np.zeros(n + 1, dtype=np.int32)
                     np.add.at(step, at, 1)
                     np.add.at(step, at + window, -1)
@@ -402,13 +414,12 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_hit_batches(width), HITS))
     near = (hits.select("chunk", "gaps", "keys", "firsts").repartition("chunk").sortWithinPartitions("chunk")
             .mapInArrow(_region_batches, "k binary, near binary"))
-    seen = (texts.join(near, "k").select("k", "ord", "text", "near")
-            .mapInArrow(_window_batches(n_buckets), SEEN)
-            .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_settle_batches, "k binary, starts binary"))
-    starts = seen.groupBy("k").agg(F.collect_list("starts").alias("starts"))
-    none = F.array().cast("array<binary>")
+    starts = (texts.join(near, "k").select("k", "ord", "text", "near")
+              .mapInArrow(_window_batches(n_buckets), SEEN)
+              .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_settle_batches, "chunk binary, places binary, docs binary")
+              .repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_start_batches, "k binary, starts binary"))
     more = ", kept_text string" if with_text else ""
-    done = texts.join(starts, "k", "left").select("k", "ord", "text", F.coalesce("starts", none).alias("starts")).mapInArrow(
+    done = texts.join(starts, "k", "left").select("k", "ord", "text", F.coalesce("starts", F.lit(b"")).alias("starts")).mapInArrow(
         _cut_batches(WINDOW, with_text),
         f"k binary, first_ord long, n_words long, n_removed long, spans array<struct<start:bigint,end:bigint>>, kept_sha256 string{more}")
     copy = (F.col("ord") != F.col("first_ord")) & (F.col("n_words") >= WINDOW)
