@@ -128,3 +128,13 @@ def test_an_upsert_touches_its_buckets_only_and_adds_new_traces(spark):
     assert {r.trace_id: r.status for r in store.records().collect()}["new"] == "collecting"
     store.upsert(spark.createDataFrame([], "trace_id string, status string"))
     assert store.records().count() == 6
+
+
+def test_documents_carry_actor_and_context_of_stored_events(spark):
+    from tracewright.operators.lifecycle import event_parts
+    store = EventStore(spark, tempfile.mkdtemp(prefix="tw-es-"), 4).write(events(spark, 600))
+    parts = event_parts(store.events(), 100)
+    assert parts.select(F.max(F.size("events"))).first()[0] <= 100
+    got = {e.event_id: e for r in parts.collect() for e in r.events}
+    assert len(got) == 600 and got["e7"].actor.id == "a2" and got["e7"].context.parent_event_id == "e6" and got["e8"].context is None
+    assert all([e.seq for e in r.events] == sorted(e.seq for e in r.events) for r in parts.collect())

@@ -15,7 +15,7 @@ from tracewright.functions.hashing import content_address
 from tracewright.functions.jsonrules import TRUE_WORDS
 from tracewright.operators.timeline import PART_EVENTS
 from tracewright.operators.validate import document_violations
-from tracewright.schemas import FINALIZE_RULES, SCORE_NAMES, TRACE_CREATE_RULES, TRACE_VERSION
+from tracewright.schemas import FINALIZE_RULES, SCORE_NAMES, STORED_EVENT, TRACE_CREATE_RULES, TRACE_VERSION
 
 INGESTION_TYPE = "struct<mode:string,client_session_id:string,seq_last:int,dedupe_policy:string,clock_skew_ms_est:int>"
 
@@ -66,11 +66,13 @@ def register_traces(bodies: DataFrame, created: DataFrame) -> DataFrame:
         flag("environment.containerized", False).alias("containerized"), _js(b, "environment.timezone").alias("timezone"))
 
 
-def nested_documents(traces: DataFrame, finals: DataFrame, tests: DataFrame, judge: DataFrame) -> DataFrame:
+def nested_documents(traces: DataFrame, finals: DataFrame, tests: DataFrame, judge: DataFrame, validity: DataFrame | None = None) -> DataFrame:
     """One nested document per trace: repo, task, developer,
     environment, final_state, qa, and null ingestion and artifacts, each
     section a typed struct. Events and invocations of a trace may be many and
-    stand beside it in bounded parts (``event_parts``, ``invocation_parts``)."""
+    stand beside it in bounded parts (``event_parts``, ``invocation_parts``).
+    ``validity``: (trace_id, schema_valid) as stored, false after a failed test
+    stage; a QA section that says nothing of it is valid."""
     f = finals.select("trace_id", F.struct("commit_head", F.when(F.col("pr_present"), F.struct(
         F.col("pr_title").alias("title"), F.col("pr_description").alias("description"),
         F.col("pr_diff_blob_id").alias("diff_blob_id"))).alias("pr")).alias("final_state"))
@@ -78,7 +80,12 @@ def nested_documents(traces: DataFrame, finals: DataFrame, tests: DataFrame, jud
     j = judge.select("trace_id", F.struct("model", "rubric_version", F.struct(*SCORE_NAMES).alias("scores"), "overall",
                                           "rationale_blob_id", "flags").alias("judge"))
     doc = traces.join(f, "trace_id", "left").join(t, "trace_id", "left").join(j, "trace_id", "left")
-    qa = F.when(F.col("tests").isNotNull() | F.col("judge").isNotNull(), F.struct(F.lit(True).alias("schema_valid"), "tests", "judge"))
+    if validity is None:
+        doc = doc.withColumn("_valid", F.lit(None).cast("boolean"))
+    else:
+        doc = doc.join(validity.select("trace_id", F.col("schema_valid").alias("_valid")), "trace_id", "left")
+    qa = F.when(F.col("tests").isNotNull() | F.col("judge").isNotNull() | F.col("_valid").isNotNull(),
+                F.struct(F.coalesce("_valid", F.lit(True)).alias("schema_valid"), "tests", "judge"))
     return doc.select(
         "trace_version", "trace_id", "created_at_ms", "status",
         F.struct("repo_id", "remote_url", "default_branch", "commit_base", F.struct("tree_hash", "dependencies_lock_hash").alias("repo_fingerprint")).alias("repo"),
@@ -90,9 +97,12 @@ def nested_documents(traces: DataFrame, finals: DataFrame, tests: DataFrame, jud
 
 def event_parts(events: DataFrame, size: int = PART_EVENTS) -> DataFrame:
     """A document's events as arrays of typed structs in the order of
-    ``seq``, ``size`` sequence numbers a part: (trace_id, part_no, events)."""
-    one = F.struct("seq", "event_id", "ts_ms", "type", F.struct(F.col("actor_kind").alias("kind"), F.lit(None).cast("string").alias("id")).alias("actor"),
-                   F.col("payload_json").alias("payload"))
+    ``seq``, ``size`` sequence numbers a part: (trace_id, part_no, events).
+    Stored events carry their actor and context; others have a kind only."""
+    stored = "actor" in events.columns
+    actor = F.col("actor") if stored else F.struct(F.col("actor_kind").alias("kind"), F.lit(None).cast("string").alias("id"))
+    context = F.col("context") if stored else F.lit(None).cast(STORED_EVENT["context"].dataType)
+    one = F.struct("seq", "event_id", "ts_ms", "type", actor.alias("actor"), context.alias("context"), F.col("payload_json").alias("payload"))
     return (events.withColumn("part_no", ((F.col("seq") - 1) / size).cast("int"))
             .groupBy("trace_id", "part_no").agg(F.array_sort(F.collect_list(one)).alias("events")))
 

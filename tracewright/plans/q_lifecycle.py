@@ -226,26 +226,26 @@ SELECT r.trace_id, '1.0' AS trace_version, t.status, r.created_at_ms,
        {_BOOL.format(p='developer.consent_flags.allow_llm_judge', d='true')} AS allow_llm_judge,
        json_extract_string(body_json, '$.environment.os') AS os, json_extract_string(body_json, '$.environment.ide.version') AS ide_version,
        json_extract_string(body_json, '$.environment.timezone') AS timezone, f.commit_head, f.pr_title, q.runner, q.n_invocations, q.final_passed,
-       j.overall, j.clarity, j.rationale_blob_id, true AS ingestion_null
-FROM pk_reg r JOIN tel_traces t USING (trace_id) LEFT JOIN pk_finals f USING (trace_id) LEFT JOIN lc_tests q USING (trace_id) LEFT JOIN jg_results j USING (trace_id)"""
+       j.overall, j.clarity, j.rationale_blob_id, true AS ingestion_null,
+       CASE WHEN q.trace_id IS NOT NULL OR j.trace_id IS NOT NULL OR s.schema_valid IS NOT NULL THEN coalesce(s.schema_valid, true) END AS schema_valid
+FROM pk_reg r JOIN tel_traces t USING (trace_id) LEFT JOIN pk_finals f USING (trace_id) LEFT JOIN lc_tests q USING (trace_id) LEFT JOIN jg_results j USING (trace_id)
+LEFT JOIN lc_stages s USING (trace_id)"""
 
 
 @query("trace_document_store", _sql(_DOC_FLAT))
 def trace_document_store(spark, sf):
     """Nested documents written to the shared folder and read back, sections flattened for comparison."""
-    import uuid
-
-    from tracewright.session import scratch_path
     tr = (q_packet.registered(spark, sf).drop("status").join(B.tel_traces(spark, sf).select("trace_id", "status"), "trace_id"))
     path = scratch_path(spark, f"tw-documents-{uuid.uuid4().hex}")
-    LC.nested_documents(tr, q_packet.finals(spark, sf), _tests(spark, sf), q_judge._results(spark, sf)).write.parquet(path)
+    valid = LC.qa_stages(B.tel_traces(spark, sf), _tests(spark, sf), _judge(spark, sf)).select("trace_id", "schema_valid")
+    LC.nested_documents(tr, q_packet.finals(spark, sf), _tests(spark, sf), q_judge._results(spark, sf), valid).write.parquet(path)
     d = spark.read.parquet(path)
     return d.select("trace_id", "trace_version", "status", "created_at_ms", "repo.repo_id", "repo.remote_url", "repo.repo_fingerprint.tree_hash",
                     "task.task_id", "task.bug_report.title", "task.bug_report.expected", F.array_join("task.bug_report.links", ",").alias("links"),
                     F.array_join("task.labels", ",").alias("labels"), "developer.consent_flags.store_raw_code", "developer.consent_flags.allow_llm_judge",
                     "environment.os", F.col("environment.ide.version").alias("ide_version"), "environment.timezone", "final_state.commit_head",
                     F.col("final_state.pr.title").alias("pr_title"), "qa.tests.runner", "qa.tests.n_invocations", "qa.tests.final_passed", "qa.judge.overall",
-                    F.col("qa.judge.scores.clarity").alias("clarity"), "qa.judge.rationale_blob_id", F.col("ingestion").isNull().alias("ingestion_null"))
+                    F.col("qa.judge.scores.clarity").alias("clarity"), "qa.judge.rationale_blob_id", F.col("ingestion").isNull().alias("ingestion_null"), "qa.schema_valid")
 
 
 @query("trace_event_arrays", _sql(f"""
