@@ -14,6 +14,9 @@ of each range is sent to the range before it as well, so every document meets th
 
 All sketches of a chunk are built and peeled together, cells of all documents in one array.
 
+A very long text is fingerprinted whole in the task
+that holds its row.
+
 Defined cases: a null text is empty; null ids come last in descending order; documents of equal ids are ordered by
 descending digests of their texts; repeated rows are rows like any other; one document alone is its own next;
 other columns are not read; an empty table gives an empty result.

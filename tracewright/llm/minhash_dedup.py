@@ -21,6 +21,9 @@
 
 Only links between nodes are followed; copies are never expanded into pairs.
 
+A text longer than a chunk makes a
+chunk of its own, so the longest text bounds a task's memory.
+
 Defined cases: null or empty text, or text without words, has an empty set, is linked with nothing and is its
 own component; fewer than five words give one shingle; null ids order before all others, and a component
 whose least id is null has a null component_id; rows that repeat an id share its component's fate; other

@@ -13,6 +13,9 @@ threshold, so documents are judged where they stand and no text is shuffled.
 
 Keys come from md5 of seed and id: reruns agree. Equal ids in a source share a key and are decided together.
 
+A very long text is a size like any other: it is taken
+whole or not.
+
 Defined cases: a null text has size 0 and nothing is taken of it; null sources are one source, ordered last;
 null ids draw one common key; with an empty table, or no words at all, every target is 0; input columns with
 an output's name give way to the output.

@@ -9,6 +9,9 @@ One projection, no shuffle: a document never leaves its row. Higher-order functi
 lambda variable, so it is computed once; repeated windows are found by sorting (window hash, position).
 Windows are compared by 64-bit hashes within one document.
 
+A very long text is judged whole, in its
+row.
+
 Defined cases: null or empty text has no words, fails the base rules and is not kept; blank lines are
 neither judged nor counted; lines are cut at ``\\n`` only; ids, ties and repeated rows play no part (each
 row is judged alone); input columns with an output's name give way to the output.

@@ -9,6 +9,9 @@ later shards allows (where one group outweighs a share, greedy cuts alone would
 Rows get their place in the shard from counts per group and a numbering inside slices of a group, so a text that
 a third of the rows have does not meet in one task.
 
+A very long text is a size like any other; a shard that
+holds it may be larger than the rest.
+
 Defined cases: a null text has size ``OVERHEAD`` and the CRC of no bytes; null ids come first in their group and repeated
 rows are rows like any other; columns other than id and text are not read; an empty table gives an empty
 result; a shard may be empty if there are fewer groups than shards.

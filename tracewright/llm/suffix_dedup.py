@@ -17,6 +17,8 @@
 
 Results are exact but for collisions of 128-bit digests (texts, windows, merged classes).
 
+A text longer than a piece makes a piece of its own, so the longest text bounds a task's memory.
+
 Defined cases: a null text is empty; texts shorter than ``width`` lose nothing unless covered (they cannot be);
 rows with equal texts are each other's copies, so all their bytes go if they are long enough; repeated
 rows and ids are rows like any other; other columns are not read; an empty table gives an empty result.

@@ -11,6 +11,9 @@ Records are rows of Parquet files, file n holding range n: the writer commits wh
 Spark reaches, and a lost executor's files are written anew. A record's global start is its range's start (a sum of
 at most ``MOST_RANGES`` totals) plus ``local``.
 
+A text longer than a record makes a
+record of its own.
+
 Defined cases: a null text is empty and gives the end id alone; a null id comes before all others; documents of
 equal ids are ordered by their texts; repeated rows are written each; other columns are not read; an empty
 table gives no records and an empty result.

@@ -8,6 +8,8 @@ verdicts go back to the rows by a join on the URL's subject (host and path).
 Among the fitting host rules the longest wins; without any, a fitting pattern rule blocks; else allow.
 The rule list is a parameter held by the driver; its index is broadcast up to ``BROADCAST_RULES`` rules.
 
+A very long URL is matched whole.
+
 Defined cases: a null URL or one without ``://`` has empty host and path, fits no rule and is allowed;
 ties between equally long host rules go to the greater name; repeated rows each get the verdict; an empty
 table gives an empty one; input columns with an output's name give way to the output.
