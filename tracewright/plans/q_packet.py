@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tracewright.operators import lifecycle as LC
 from tracewright.operators import packet as PK
+from tracewright.operators.popular import join_references
 from tracewright.plans.oracle_views import with_views
 from tracewright.plans.q_validate import _duck_explode, duck_doc_array
 from tracewright.plans.registry import query
@@ -134,6 +135,19 @@ def event_blob_preview(spark, sf):
     return ev.join(pv, "blob_id").select("event_id", "blob_id", "p500", "p200")
 
 
+@query("popular_blob_preview", _packet_sql("""
+SELECT e.event_id, e.blob_id, CASE WHEN length(b.content) > 200 THEN concat(substring(b.content, 1, 200), '...') ELSE b.content END AS p200
+FROM (SELECT event_id, CASE WHEN CAST(substring(event_id, 4) AS BIGINT) % 3 = 0 THEN (SELECT arg_min(blob_id, source_key) FROM tel_blobs) ELSE blob_id END AS blob_id
+      FROM tel_events) e LEFT JOIN pk_previews b ON b.blob_id = e.blob_id"""))
+def popular_blob_preview(spark, sf):
+    """J2 where every third event refers to one blob (the first uploaded): its preview is broadcast, the others meet by key."""
+    blobs = B.tel_blobs(spark, sf)
+    first = blobs.agg(F.min_by("blob_id", "source_key"))
+    n = F.substring("event_id", 4, 1 << 20).cast("bigint")
+    refs = B.tel_events(spark, sf).select("event_id", F.when(n % 3 == 0, first.scalar()).otherwise(F.col("blob_id")).alias("blob_id"))
+    return join_references(refs, PK.blob_previews(blobs, refs).select("blob_id", "p200"), "blob_id", "event_id")
+
+
 @query("packet_event_lines", _packet_sql("SELECT trace_id, seq, line FROM pk_lines"))
 def packet_event_lines(spark, sf):
     ev = B.tel_events(spark, sf)
