@@ -75,6 +75,10 @@ def test_index_finds_exactly_the_stored_ids_over_compactions(spark, monkeypatch)
     assert other.count() == 0  # ids of other traces: let through by full filters, not found
     assert {r.trace_id: r.high0 for r in index.highs(10).collect()} == {"hot": 90} | {f"t{e}": 5 for e in range(10)}
     assert len(index._parts("highs", 10)) == 2 and index._parts("filters", 10)[0].endswith("base=8")
+    names = lambda before: [p.rsplit("/", 1)[1] for p in index._id_parts(0, before)]
+    assert names(2) == ["epoch=0", "epoch=1"] and names(5) == ["run1=2", "epoch=3", "epoch=4"]
+    assert names(8) == ["run1=2", "run1=5", "epoch=6", "epoch=7"] and names(10) == ["run2=8", "epoch=9"]
+    assert spark.read.parquet(f"{index.path}/ids/run2=8").count() == 900  # retried epochs are merged once
 
 
 def test_an_epoch_reads_marks_and_filters_but_no_ids_without_a_hit(spark, monkeypatch):

@@ -143,13 +143,19 @@ def segmented_outcomes(summ: DataFrame) -> DataFrame:
                     F.array_distinct(F.concat(F.coalesce("sure_ids", none), F.coalesce("again", none))).alias("dup_ids"))
 
 
-def folded(summ: DataFrame, marked: DataFrame) -> DataFrame:
+def large_traces(batches: DataFrame) -> list[DataFrame]:
+    """The traces with more than ``WHOLE`` rows in ``batches`` (one row per batch), as one written table; no table if there are none."""
+    large = batches.groupBy("trace_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > WHOLE).select("trace_id")
+    return [] if large.isEmpty() else [written(large, "fold-large")]
+
+
+def folded(summ: DataFrame, marked: DataFrame, large: list[DataFrame] | None = None) -> DataFrame:
     """(trace_id, batch_no, outcome, high_before, dup_ids) for each batch summary: pre, lo, hi, internal_bad, dup_stored,
     dup_in_batch, rep_ids (ids that may occur in other batches of the trace), high0. ``summ`` is a written table,
-    ``marked`` has the same rows with ``dup_stored`` as it is to be."""
-    large = summ.groupBy("trace_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > WHOLE).select("trace_id")
-    if large.isEmpty():
+    ``marked`` has the same rows with ``dup_stored`` as it is to be. ``large``: ``large_traces`` of these batches, if known."""
+    found = large_traces(summ) if large is None else large
+    if not found:
         return replayed_outcomes(marked)
-    large = written(large, "fold-large")
+    large = found[0]
     rest, cut = marked.join(large, "trace_id", "left_anti"), written(marked.join(large, "trace_id", "left_semi"), "fold-cut")
     return replayed_outcomes(rest).unionByName(segmented_outcomes(cut))

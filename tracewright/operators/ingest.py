@@ -178,12 +178,13 @@ def batch_summaries(rows: DataFrame, traces: DataFrame, stored: DataFrame | None
     return summ.withColumn("pre", pre).withColumn("high0", F.coalesce(F.col("_high0"), F.lit(0)).cast("int"))
 
 
-def fold_outcomes(summ: DataFrame, replay_all: bool = False, stored: DataFrame | None = None) -> DataFrame:
+def fold_outcomes(summ: DataFrame, replay_all: bool = False, stored: DataFrame | None = None, large: list[DataFrame] | None = None) -> DataFrame:
     """The outcome of each batch against what its trace has accepted (``operators/fold.py``) and against ids
-    ``stored`` before (V13). ``replay_all`` replays every trace whole, however many batches it has."""
+    ``stored`` before (V13). ``replay_all`` replays every trace whole, however many batches it has. ``large``: its
+    large traces, if they are known."""
     if stored is None:
-        return replayed_outcomes(summ) if replay_all else folded(summ, summ)
-    return folded(summ, mark_stored(summ, stored))
+        return replayed_outcomes(summ) if replay_all else folded(summ, summ, large)
+    return folded(summ, mark_stored(summ, stored), large)
 
 
 def request_summaries(subs: DataFrame, traces: DataFrame, stored_high: DataFrame | None = None) -> DataFrame:

@@ -28,10 +28,10 @@ def _add_kinds(df: DataFrame, d: SparkDialect, rules_by_gate: Mapping[str | None
             users.setdefault(p, []).append(g)
     cols = []
     for p, gates in users.items():
-        e = sql_expr(d.kind_expr(p))
+        e = d.kind_expr(p)
         if gate_col is not None and None not in gates:
-            e = F.when(F.col(gate_col).isin(*gates), e)
-        cols.append(e.alias(d.col_name(p)))
+            e = f"CASE WHEN `{gate_col}` IN ({', '.join(_quoted(g) for g in gates)}) THEN {e} END"
+        cols.append(sql_expr(f"{e} AS {d.col_name(p)}"))
     return df.select("*", *cols)
 
 

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tracewright.operators import ingest as I
 from tracewright.operators.common import written
+from tracewright.operators.fold import large_traces
 from tracewright.schemas import SUBMISSION_TABLE
 from tracewright.session import scratch_path
 from tracewright.streaming.state import StateIndex
@@ -55,11 +56,15 @@ def stored_events(spark: SparkSession, table: str, before_epoch: int | None = No
 
 def ingest_epoch(spark: SparkSession, batch: DataFrame, epoch_id: int, traces: DataFrame,
                  events_table: str, outcomes_table: str) -> None:
-    """One micro-batch: fold its request batches onto the state that earlier epochs left. The index stands beside the event table."""
+    """One micro-batch: fold its request batches onto the state that earlier epochs left. The index stands beside the event
+    table. What needs only the batch (summaries, the look-up of its ids, its large traces) runs side by side, and so do the writes."""
     index = StateIndex(spark, os.path.join(os.path.dirname(events_table), "state"))
-    summ = written(I.request_summaries(batch, traces, index.highs(epoch_id)), "epoch-summaries")
-    ids = summ.where(F.col("pre").isNull() & ~F.col("internal_bad")).select("trace_id", F.explode("rep_ids").alias("event_id"))
-    outcomes = I.fold_outcomes(summ, stored=index.stored_ids(ids, epoch_id))
+    with ThreadPoolExecutor(3) as pool:
+        summaries = pool.submit(lambda: written(I.request_summaries(batch, traces, index.highs(epoch_id)), "epoch-summaries"))
+        stored = pool.submit(index.stored_ids, batch.select("trace_id", "event_id"), epoch_id)
+        large = pool.submit(large_traces, batch.select("trace_id", "batch_no").distinct())
+        summ = summaries.result()
+        outcomes = I.fold_outcomes(summ, stored=stored.result(), large=large.result())
     out = I.respond(summ, outcomes).select("trace_id", "batch_no", "n_events", "outcome", "http_status", "accepted", "seq_high", "high_before")
     at = f"{outcomes_table}/epoch={epoch_id}"
     out.write.mode("overwrite").parquet(at)

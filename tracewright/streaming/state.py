@@ -11,12 +11,16 @@ An epoch probes the filters with its own ids and looks up in ``ids`` only what t
 concerned: the marks and filters it reads follow the number of traces and buckets, not the events stored.
 
 Every ``COMPACT`` epochs the marks are merged to one row per trace and the filters to as few rows per bucket as keep each
-at most half full, into a part ``base=N``; an epoch reads the last base before it and the parts since. A retried epoch
-writes its own parts again and never reads them.
+at most half full, into a part ``base=N``; an epoch reads the last base before it and the parts since. The id lists are
+merged in tiers: ``COMPACT`` parts that end with epoch N become one ``run<tier>=N``, sorted by bucket again, and so do
+``COMPACT`` of those; an id is rewritten once a tier, and after E epochs fewer than ``COMPACT`` parts of each of log E tiers
+are read. A retried epoch writes its own parts and merges again and never reads them.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -116,15 +120,43 @@ class StateIndex:
         buckets = [r["bucket"] for r in passed.select("bucket").distinct().collect()]
         if not buckets:
             return None
-        parts = [f"{self.path}/ids/epoch={n}" for n in range(before) if self._committed("ids", n)]
-        held = self.spark.read.schema(_IDS).parquet(*parts).where(F.col("bucket").isin(buckets))
+        held = self.spark.read.schema(_IDS).parquet(*self._id_parts(0, before)).where(F.col("bucket").isin(buckets))
         return passed.join(held, ["bucket", "trace_id", "event_id"], "left_semi").select("trace_id", "event_id")
 
-    def _committed(self, kind: str, epoch: int) -> bool:
+    def _committed(self, part: str) -> bool:
         jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/epoch={epoch}/_SUCCESS")
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}/_SUCCESS")
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
+    def _id_parts(self, first: int, before: int, top: int = 64) -> list[str]:
+        """The fewest committed parts, of tiers up to ``top``, that hold the id lists of epochs ``first`` to ``before`` - 1.
+        A merged part is used only if it ends before ``before``; an epoch without a committed part stored nothing."""
+        parts, at = [], first
+        while at < before:
+            tier = 0
+            while tier < top and at % COMPACT ** (tier + 1) == 0 and at + COMPACT ** (tier + 1) <= before:
+                tier += 1
+            while tier and not self._committed(f"ids/run{tier}={at + COMPACT ** tier - 1}"):
+                tier -= 1
+            last = at + COMPACT ** tier - 1
+            part = f"ids/run{tier}={last}" if tier else f"ids/epoch={at}"
+            if tier or self._committed(part):
+                parts.append(f"{self.path}/{part}")
+            at = last + 1
+        return parts
+
+    def _list(self, ids: DataFrame, path: str) -> None:
+        ids.repartition("bucket").sortWithinPartitions("bucket").select("bucket", "trace_id", "event_id").write.mode("overwrite").parquet(path)
+
+    def _merge_ids(self, epoch: int) -> None:
+        """The merges that ``epoch`` completes, the least tier first, each from parts of the tier below."""
+        tier = 1
+        while (epoch + 1) % COMPACT ** tier == 0:
+            parts = self._id_parts(epoch + 1 - COMPACT ** tier, epoch + 1, tier - 1)
+            if parts:
+                self._list(self.spark.read.schema(_IDS).parquet(*parts), f"{self.path}/ids/run{tier}={epoch}")
+            tier += 1
+
     def add_highs(self, highs: DataFrame, epoch: int) -> None:
         """``highs``: (trace_id, high0) that the epoch's accepted batches leave."""
         highs.write.mode("overwrite").parquet(f"{self.path}/highs/epoch={epoch}")
@@ -133,11 +165,19 @@ class StateIndex:
 
     def add_ids(self, ids: DataFrame, epoch: int) -> None:
         """``ids``: (trace_id, event_id) that the epoch stored."""
-        path = f"{self.path}/ids/epoch={epoch}"
-        self.keyed(ids).repartition("bucket").sortWithinPartitions("bucket").select("bucket", "trace_id", "event_id").write.mode("overwrite").parquet(path)
-        size = self.bits
-        made = self.keyed(self.spark.read.schema(_IDS).parquet(path)).select("bucket", "a", "b").groupBy("bucket").applyInArrow(lambda t: _filter_of(t, size), _FILTERS)
-        made.write.mode("overwrite").parquet(f"{self.path}/filters/epoch={epoch}")
-        if (epoch + 1) % COMPACT == 0:
-            merged = self._read("filters", _FILTERS, epoch + 1).groupBy("bucket").applyInArrow(_merged, _FILTERS)
-            merged.write.mode("overwrite").parquet(f"{self.path}/filters/base={epoch}")
+        size, keyed = self.bits, self.keyed(ids)
+
+        def lists() -> None:
+            self._list(keyed, f"{self.path}/ids/epoch={epoch}")
+            self._merge_ids(epoch)
+
+        def filters() -> None:
+            made = keyed.select("bucket", "a", "b").groupBy("bucket").applyInArrow(lambda t: _filter_of(t, size), _FILTERS)
+            made.write.mode("overwrite").parquet(f"{self.path}/filters/epoch={epoch}")
+            if (epoch + 1) % COMPACT == 0:
+                merged = self._read("filters", _FILTERS, epoch + 1).groupBy("bucket").applyInArrow(_merged, _FILTERS)
+                merged.write.mode("overwrite").parquet(f"{self.path}/filters/base={epoch}")
+
+        with ThreadPoolExecutor(2) as pool:
+            for f in [pool.submit(w) for w in (lists, filters)]:
+                f.result()
