@@ -194,3 +194,29 @@ def test_mixing_sql_agrees(spark):
     got = Counter((r.doc_id, r["size"], r.source_size, round(r.target, 6), r.taken) for r in mix_sources(df).collect())
     # the three rows of id 5 meet three rows of the SQL's keyed join once each
     assert set(got) == set(want)
+
+
+def test_mix_keeps_columns_named_like_its_own_and_spreads_a_hot_source(spark):
+    rows = [(i, "hot" if i % 3 else None if i % 9 else f"s{i}", "w " * (i % 13), "mine") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, cut string")
+    for name in ("fill", "filled", "key", "n", "e", "rest", "cell"):
+        df = df.withColumn(name, df["cut"])
+    got = mix_sources(df)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    plain = {(r.doc_id, r.taken) for r in mix_sources(df.select("doc_id", "source", "text")).collect()}
+    out = got.collect()
+    assert {(r.doc_id, r.taken) for r in out} == plain and len(out) == 900
+    assert all(r[c] == "mine" for r in out for c in ("cut", "fill", "filled", "key", "n", "e", "rest", "cell"))
+    assert "BroadcastHashJoin" in plan  # thresholds go to the documents of the hot source
+
+
+def test_targets_of_many_sources_in_many_ranges(spark):
+    r = random.Random(3)
+    sizes = {f"s{i:05d}": r.choice([0, 1, 7, 7, 500, r.randint(1, 10 ** 6)]) for i in range(3000)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(5)
+        got = {x.source: x.target for x in source_targets(df, (1, 2, 3), 3).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == pytest.approx(shared(sizes, (1, 2, 3), 3))
