@@ -38,3 +38,32 @@ def test_event_lines(spark):
     assert got[7] == "[seq=7, ts=1006] **commit**: 0123456789ab - " + "m" * 100
     assert 8 not in got
     assert got[9] == "[seq=9, ts=1008] **error**: ValueError: "
+
+
+def test_lines_without_a_blob_do_not_meet_in_one_task(spark):
+    """They have no key to join by; a shuffle by the null key would gather them all."""
+    n = 4000
+    events = spark.range(n, numPartitions=8).selectExpr(
+        "concat('t', id % 7) as trace_id", "cast(id as int) as seq", "id as ts_ms",
+        "case when id % 4 = 0 then 'thought' when id % 4 = 1 then 'terminal_output' when id % 4 = 2 then 'commit' else 'error' end as type",
+        "case when id % 4 = 0 and id % 8 = 0 then concat('{\"kind\":\"plan\",\"content_blob_id\":\"b', id % 50, '\"}') when id % 4 = 1 then '{\"chunk_blob_id\":null}' else '{}' end as payload_json")
+    previews = spark.range(40).selectExpr("concat('b', id) as blob_id", "concat('long ', id) as p500", "concat('short ', id) as p200")
+    names = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    was = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in zip(names, ("false", "-1")):
+            spark.conf.set(k, v)
+        got = event_lines(events, previews).selectExpr("*", "spark_partition_id() as part").collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert sorted(r.seq for r in got) == list(range(n))
+    parts = {}
+    for r in got:
+        b = r.seq % 50
+        want = {0: ("(plan): " + (f"long {b}" if b < 40 else f"[blob: b{b}]")) if r.seq % 8 == 0 else "(N/A): [blob: ]",
+                1: "(N/A): [truncated=False]", 2: "N/A - ", 3: "N/A: "}[r.seq % 4]
+        assert r.line.startswith(f"[seq={r.seq}, ts={r.seq}] **") and r.line.endswith(want)
+        if r.seq % 8:
+            parts[r.part] = parts.get(r.part, 0) + 1
+    assert len(parts) == 8 and max(parts.values()) < 2 * sum(parts.values()) / 8
