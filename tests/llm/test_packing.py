@@ -116,3 +116,20 @@ def test_units_give_the_ids_of_whole_texts(whole):
     ids, first = encode(*joined(texts), PATH, "byte")
     for i, t in enumerate(texts.to_pylist()):
         assert ids[first[i]:first[i + 1]].tolist() == whole(t)[:-1]
+
+
+def test_the_search_is_the_same_for_any_number_of_pieces():
+    """Sequences cut in three at random: full ones exist, for a few pieces as for thousands."""
+    for n in (20, 140, 1000, 4000):
+        r = random.Random(n)
+        counts = Counter()
+        for _ in range(n):
+            a, b = sorted(r.sample(range(1, 2048), 2))
+            counts.update((a, b - a, 2048 - b))
+        assert check(best_fit(counts, 2048), counts, 2048) == n + 1
+        assert check(pack_counts(counts), counts, 2048) == n
+
+
+def test_long_fillings_do_not_recurse():
+    counts = {1: 5000, 2040: 3}
+    assert check(complete(counts, 2048, 7, 100), counts, 2048) == 6

@@ -5,9 +5,9 @@ pieces per length and the driver packs the counts: a packing is a list of patter
 lengths) with multiplicities. Best-fit decreasing gives the incumbent. If it stands above the lower bound,
 bin completion looks for better: around the largest length left it enumerates undominated fillings
 (no left-out length could replace a smaller one in them, none fits besides), takes fuller ones first,
-and drops a branch once its waste leaves no room to beat the incumbent. Where counts are large a filling is
-taken as often as they allow. The search stops at the lower bound or after ``nodes`` fillings and then
-keeps the best packing found.
+and drops a branch once its waste leaves no room to beat the incumbent. A filling is taken as often as counts
+allow, then half as often and so on down to once; limits are the same for any number of pieces. The search stops at the
+lower bound, or after ``nodes`` fillings or ``WORK`` choices for each of them, and then keeps the best packing found.
 
 Pieces are numbered within their length without gathering a length in one task, and each number falls on a place
 in a pattern: sequences are filled without moving texts.
@@ -36,7 +36,10 @@ from tracewright.llm.ranking import number_within
 from tracewright.llm.tokens import ENCODE_BYTES, encode
 
 CAPACITY = 2048
-NODES = 20_000
+NODES = 20_000   # fillings that a search may take
+TRIES = 4096
+KEPT = 40        # fillings that a step may branch to
+WORK = 400       # choices that a search may try, per filling it may take
 Pattern = tuple[int, tuple[tuple[int, int], ...]]  # times, ((length, pieces), ...) from long to short
 
 
@@ -101,16 +104,15 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def fillings(counts: dict[int, int], lengths: list[int], room: int, most: int, waste: int) -> list[tuple[int, tuple]]:
-    """Undominated fillings of ``room`` with waste up to ``waste``, fuller and longer first; ``most`` nodes are tried.
-    ``lengths`` ascends and holds the lengths left."""
+def fillings(counts: dict[int, int], lengths: list[int], room: int, waste: int) -> tuple[list[tuple[int, tuple]], int]:
+    """Undominated fillings of ``room`` with waste up to ``waste``, fuller and longer first, of the first ``TRIES``
+    choices, and how many choices that took. ``lengths`` ascends and holds the lengths left."""
     found: list[tuple[int, tuple]] = []
-    tried = 0
+    chosen: list[int] = []
+    used: dict[int, int] = {}
+    tried = 1
 
-    def undominated(chosen: list[int], left: int) -> bool:
-        used: dict[int, int] = {}
-        for x in chosen:
-            used[x] = used.get(x, 0) + 1
+    def undominated(left: int) -> bool:
         for x in {0, *chosen}:  # the greatest length that could stand in for x
             i = bisect_left(lengths, x + left + 1) - 1
             while i >= 0 and lengths[i] > x:
@@ -119,30 +121,35 @@ def fillings(counts: dict[int, int], lengths: list[int], room: int, most: int, w
                 i -= 1
         return True
 
-    def walk(top: int, left: int, chosen: list[int]) -> None:
-        nonlocal tried
-        tried += 1
-        i = min(top, bisect_left(lengths, left + 1) - 1)
-        branched = False
-        while i >= 0 and tried < most and (not found or found[-1][0] or len(found) < 8):
+    stack = [[bisect_left(lengths, room + 1) - 1, room, False]]  # per choice: next length to try, room left, whether one fitted
+    while stack:
+        frame = stack[-1]
+        i, left, branched = frame
+        if i >= 0 and tried < TRIES and (not found or found[-1][0] or len(found) < 8):
+            frame[0] -= 1
             x = lengths[i]
-            if counts[x] > chosen.count(x):
-                branched = True
-                walk(i, left - x, [*chosen, x])
-            i -= 1
-        if (not branched or not left) and left <= waste and undominated(chosen, left):
+            if counts[x] > used.get(x, 0):
+                frame[2] = True
+                tried += 1
+                chosen.append(x)
+                used[x] = used.get(x, 0) + 1
+                stack.append([min(i, bisect_left(lengths, left - x + 1) - 1), left - x, False])
+            continue
+        if (not branched or not left) and left <= waste and undominated(left):
             found.append((left, tuple(chosen)))
-
-    walk(len(lengths) - 1, room, [])
-    return sorted(set(found), key=lambda f: (f[0], [-x for x in f[1]]))
+        stack.pop()
+        if chosen:
+            used[chosen.pop()] -= 1
+    return sorted(set(found), key=lambda f: (f[0], [-x for x in f[1]])), tried
 
 
 def complete(counts: dict[int, int], capacity: int, below: int, nodes: int) -> list[Pattern] | None:
-    """A packing in fewer than ``below`` bins, if the search finds one within ``nodes`` fillings."""
+    """A packing in fewer than ``below`` bins, if the search finds one within ``nodes`` fillings and ``WORK`` choices
+    a filling on average. One search for inputs of any size: a filling is taken as often as counts and waste allow, then
+    half as often, and so on down to once, so what single fillings reach stays within reach."""
     volume = sum(a * b for a, b in counts.items())
     left = dict(counts)
-    bulk = sum(counts.values()) > 400
-    spent = 0
+    spent = tried = 0
 
     def take(filling: tuple, times: int) -> None:
         for x in filling:
@@ -155,16 +162,18 @@ def complete(counts: dict[int, int], capacity: int, below: int, nodes: int) -> l
             left[x] = left.get(x, 0) + times
 
     path: list[Pattern] = []
-    stack: list[list] = []   # per depth: [fillings still to try, (filling, times) now taken]
+    stack: list[list] = []   # per depth: [(waste, filling, most times) still to try, (waste, filling, times) now taken]
 
     def options(waste: int) -> list[tuple]:
+        nonlocal tried
         top = max(left)
         left[top] -= 1
         if not left[top]:
             del left[top]
-        got = fillings(left, sorted(left), capacity - top, 400 if bulk else 2000, waste)
+        got, n = fillings(left, sorted(left), capacity - top, waste)
         left[top] = left.get(top, 0) + 1
-        return [(w, (top, *f)) for w, f in got][:3 if bulk else 40]
+        tried += n
+        return [(w, (top, *f), left[top]) for w, f in got][:KEPT]
 
     budget = (below - 1) * capacity - volume   # waste that still beats the incumbent
     if budget < 0:
@@ -179,16 +188,18 @@ def complete(counts: dict[int, int], capacity: int, below: int, nodes: int) -> l
             path.pop()
             used -= w * times
             frame[1] = None
-        if not frame[0] or spent >= nodes:
+        if not frame[0] or spent >= nodes or tried >= nodes * WORK:
             stack.pop()
             continue
-        w, filling = frame[0].pop(0)
+        w, filling, most = frame[0].pop(0)
         spent += 1
-        times = min(left[x] // filling.count(x) for x in set(filling)) if bulk else 1
+        times = min(most, *(left[x] // filling.count(x) for x in set(filling)))
         if w:
             times = min(times, (budget - used) // w)
         if times < 1:
             continue
+        if times > 1:
+            frame[0].insert(0, (w, filling, times // 2))
         take(filling, times)
         used += w * times
         path.append((times, tuple((x, filling.count(x)) for x in sorted(set(filling), reverse=True))))
