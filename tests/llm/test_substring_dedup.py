@@ -76,3 +76,24 @@ def test_granules_survive_the_byte_codes(width):
     gaps = bytes([1, 0, 255, 4, 3])
     live = S.live_granules([S._codes_to_bytes(codes, width)], [gaps], width)
     assert [x.tolist() for x in live] == [[1, 260]]
+
+
+def test_hashing_words_takes_a_few_bytes_a_byte_of_text():
+    """Prefix hashes of a whole chunk would take some 35."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tracewright.llm.common import HASH_BYTES, joined
+    r = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in r.integers(0, 50_000, 500)) for _ in range(1_000)] + ["", "  ", "x" * (HASH_BYTES + 9), "one"]
+    buf, start, end = joined(pa.array(texts))
+    tracemalloc.start()
+    h, first = S._words(buf, start, end)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15 * len(buf)
+    for i in (0, 1, 500, 999, 1000, 1001, 1002, 1003):  # the same hashes wherever a text stands
+        alone, _ = S._words(*joined(pa.array([texts[i]])))
+        assert h[first[i]:first[i + 1]].tolist() == alone.tolist()

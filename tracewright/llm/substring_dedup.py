@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.llm.common import (
-    U64, distinct_texts, grams, n_partitions, prefix_hash, rows_by_key, runs, span_hash, text_chunks, word_spans,
+    U64, distinct_texts, grams, n_partitions, rows_by_key, runs, span_hashes, text_chunks, word_spans,
 )
 
 WINDOW = 20
@@ -48,7 +48,7 @@ ROUND = 1 << 25          # bytes of starts that a task gathers before it emits t
 def _words(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word, and the index of each text's first word (one more at the end)."""
     ws, we = word_spans(buf, start, end)
-    h = span_hash(prefix_hash(buf), ws, we)
+    h = span_hashes(buf, ws, we)
     return h, np.append(np.searchsorted(ws, start, side="left"), len(ws))
 
 

@@ -23,10 +23,9 @@ import re
 
 import numpy as np
 
-from tracewright.llm.common import prefix_hash, span_hash, word_spans
+from tracewright.llm.common import span_hashes, word_spans
 
 ENCODE_BYTES = 1 << 22   # bytes of text whose units are told apart together
-_HASH_BYTES = 1 << 20
 KNOWN_UNITS = 1_000_000  # whose ids a Python worker remembers
 _loaded: dict = {}
 
@@ -91,13 +90,7 @@ def encode(buf: np.ndarray, start: np.ndarray, end: np.ndarray, path: str, cuts:
     first_unit = np.append(np.searchsorted(us, start, side="left"), len(us))
     if not len(us):
         return np.zeros(0, dtype=np.uint32), first_unit
-    h = np.empty(len(us), dtype=np.uint64)
-    a = 0
-    while a < len(us):  # hash a few megabytes at a time
-        b = max(a + 1, int(np.searchsorted(ue, us[a] + _HASH_BYTES, side="right")))
-        part = prefix_hash(buf[us[a]:ue[b - 1]])
-        h[a:b] = span_hash(part, us[a:b] - us[a], ue[a:b] - us[a])
-        a = b
+    h = span_hashes(buf, us, ue)
     code, _ = pd.factorize(h)
     lead = np.flatnonzero(code > np.concatenate(([-1], np.maximum.accumulate(code)[:-1])))
     raw = buf.tobytes()
