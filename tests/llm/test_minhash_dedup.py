@@ -135,3 +135,26 @@ def test_eight_words_and_the_same_less_one(spark):
         rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[1:] if r.random() < 0.5 else words[:-1]))]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert {(x.doc_id, x.component_id) for x in minhash_dedup(df).collect()} == {(i, i // 2 * 2) for i in range(8000)}
+
+
+def test_sets_of_a_group_take_a_few_bytes_a_byte_of_text():
+    """A group's texts come at once; what their sets take beside must not be a multiple as by prefix hashes of all (35)."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tracewright.llm.common import joined
+    from tracewright.llm.minhash_dedup import SET_BYTES, shingle_sets
+    r = np.random.default_rng(6)
+    texts = [" ".join(f"W{x}" for x in r.integers(0, 50_000, 500)) for _ in range(1_000)] + ["", " ", "a b", "x" * (SET_BYTES + 9), "a B", "A b c d e f"]
+    buf, start, end = joined(pa.array(texts))
+    tracemalloc.start()
+    d, h = shingle_sets(buf, start, end)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15 * len(buf)
+    assert (np.diff(d) >= 0).all()
+    for i in (0, 1, 500, 999, *range(1000, 1006)):  # the same set wherever a text stands
+        _, alone = shingle_sets(*joined(pa.array([texts[i]])))
+        assert h[d == i].tolist() == alone.tolist()
+    assert h[d == 1002].tolist() == h[d == 1004].tolist() and not (d == 1000).any()

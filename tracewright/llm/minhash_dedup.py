@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.llm.common import (
-    LEAST, U64, grams, joined, mix, n_partitions, order_value, prefix_hash, saved, span_hash, text_chunks, text_key,
+    LEAST, U64, grams, joined, mix, n_partitions, order_value, saved, span_hashes, text_chunks, text_key,
     word_spans,
 )
 from tracewright.llm.components import components
@@ -52,6 +52,7 @@ BANDS, ROWS = 50, 4
 LOW_BITS = 2
 GATE = 0.55           # estimated similarity below which a pair is not confirmed on full sets
 SMALL = 32            # shingles of the smaller set below which a pair is confirmed whatever its estimate
+SET_BYTES = 1 << 19   # bytes of text whose shingles are made at once
 BLOCK = 1024          # nodes of one unsettled key on either side of a group
 _rng = np.random.default_rng(20240731)
 _FACTOR = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -63,12 +64,25 @@ _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
 
 def shingle_sets(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, shingle) pairs, distinct, in the order of document and shingle."""
+    """(document, shingle) pairs, distinct, in the order of document and shingle. About ``SET_BYTES`` of text are worked on
+    at a time, whatever the documents hold together; a longer document is worked on alone."""
+    docs, hashes = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
+    a = 0
+    while a < len(start):
+        b = max(a + 1, int(np.searchsorted(end, start[a] + SET_BYTES, side="right")))
+        d, h = _shingles(buf[start[a]:end[b - 1]], start[a:b] - start[a], end[a:b] - start[a])
+        docs.append(d + a)
+        hashes.append(h)
+        a = b
+    return np.concatenate(docs), np.concatenate(hashes)
+
+
+def _shingles(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low = _LOWER[buf]
     ws, we = word_spans(low, start, end)
     if not len(ws):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    words = span_hash(prefix_hash(low), ws, we)
+    words = span_hashes(low, ws, we)
     doc = np.searchsorted(start, ws, side="right") - 1
     full = grams(words, SHINGLE)
     same = doc[:len(full)] == doc[SHINGLE - 1:] if len(full) else np.zeros(0, dtype=bool)
